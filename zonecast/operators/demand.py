@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns
 from zonecast.functions.time import floor_time, hour_series
+from zonecast.session import checkpoint_dir
 
 
 def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
               key: str = "PULocationID", ts: str = "pickup_datetime",
               grain: str = "hour", out_key: str = "zone_id",
-              out_time: str = "hour", out_count: str = "demand") -> DataFrame:
+              out_time: str = "hour", out_count: str = "demand",
+              materialize: str = "checkpoint") -> DataFrame:
     """Count rows per (key, floored time) → ``(zone_id, hour, demand)``.
 
     Rows with a null key or time are not counted.  With
@@ -31,7 +33,8 @@ def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
                            floor_time(ts, grain).alias(out_time))
                   .agg(F.count(F.lit(1)).alias(out_count)))
     if fill_missing_hours:
-        panel = fill_grid(panel, key=out_key, time=out_time, value=out_count, grain=grain)
+        panel = fill_grid(panel, key=out_key, time=out_time, value=out_count, grain=grain,
+                          materialize=materialize)
     return panel
 
 
@@ -44,10 +47,33 @@ def grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
                 .select(key, F.explode(hour_series("_lo", "_hi", grain)).alias(time)))
 
 
+def materialized(df: DataFrame, how: str) -> DataFrame:
+    """Cut the lineage of a frame that several branches of one plan read.
+
+    ``"checkpoint"`` writes it once to the shared ``spark.checkpoint.dir``
+    (survives executor loss); ``"none"`` keeps the plan lazy, so each branch
+    recomputes it from the source.
+    """
+    if how == "none":
+        return df
+    if how == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    raise ValueError(f"materialize must be 'checkpoint' or 'none', got {how!r}")
+
+
 def fill_grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
-              value: str = "demand", grain: str = "hour") -> DataFrame:
-    """Left-join a panel onto its complete grid; missing cells get 0."""
+              value: str = "demand", grain: str = "hour",
+              materialize: str = "checkpoint") -> DataFrame:
+    """Left-join a panel onto its complete grid; missing cells get 0.
+
+    The panel feeds three branches (keys, bounds, join side).  Materialising
+    it once means the raw trips are scanned once, not three times.  The grid
+    inherits the zone partitioning of the key aggregate, so the join and any
+    following per-zone window add no grid-sized shuffle.
+    """
     require_columns(panel, (key, time, value), "demand panel")
+    panel = materialized(panel, materialize)
     g = grid(panel, key=key, time=time, grain=grain)
     return (g.join(panel, [key, time], "left")
              .select(key, time, F.coalesce(F.col(value), F.lit(0)).cast("bigint").alias(value)))

@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it has at most this many rows; beyond it
+# the join stays a shuffle join (and AQE may still convert it at run time
+# from measured shuffle sizes).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``broadcast`` only after counting at most ``max_rows + 1`` rows.
+
+    The probe is ``limit(max_rows + 1).count()`` on the small side alone, so it
+    stops early on a large input instead of scanning it.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -20,6 +20,7 @@ from zonecast.operators.demand import aggregate
 from zonecast.operators.windows import add_lags, add_rolling_features
 from zonecast.plans import sql_oracle as S
 from zonecast.plans.features import build_features
+from zonecast.session import configure
 from zonecast.sources.trips import read_events_trips
 
 NUM_ZONES = S.NUM_ZONES
@@ -30,7 +31,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -174,6 +180,413 @@ def q_build_features_full(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum end-to-end slice: features on the filled hourly grid."""
+    configure(spark)
     feats = build_features(clean_events(spark, sf_dir), lags=(1, 24), rolling_windows=(24,),
                            fill_missing_hours=True)
     return feats.orderBy("zone_id", "hour")
+
+
+# ------------------------------------------------------------------ zones ---
+
+from zonecast.operators.zones import (annotate, borough_demand, known_ids,  # noqa: E402
+                                      unresolved_ids, zone_label, zones_without_demand)
+from zonecast.sources.zones import zone_dim_from_tables  # noqa: E402
+
+
+def zone_dim(spark, sf_dir):
+    return zone_dim_from_tables(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"),
+                                table(spark, sf_dir, "region"))
+
+
+_DIM_SQL = ("dim AS (SELECT CAST(s_suppkey AS BIGINT) AS LocationID, r_name AS Borough, "
+            "s_name AS Zone, n_name AS service_zone FROM supplier "
+            "LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)")
+_DIM1_SQL = ("dim1 AS (SELECT LocationID, max(struct_pack(b := Borough, z := Zone, s := service_zone)) AS p "
+             "FROM dim WHERE LocationID IS NOT NULL GROUP BY LocationID), "
+             "dimu AS (SELECT LocationID, p.b AS Borough, p.z AS Zone, p.s AS service_zone FROM dim1)")
+
+
+@register("annotate_zones", S.base_ctes() + ", " + _DIM_SQL + ", " + _DIM1_SQL + """
+  SELECT c.pickup_datetime, c.PULocationID, c.DOLocationID,
+         p.Borough AS PU_borough, p.Zone AS PU_zone, p.service_zone AS PU_service_zone,
+         d.Borough AS DO_borough, d.Zone AS DO_zone, d.service_zone AS DO_service_zone
+  FROM clean c LEFT JOIN dimu p ON c.PULocationID = p.LocationID
+               LEFT JOIN dimu d ON c.DOLocationID = d.LocationID""")
+def q_annotate_zones(spark, sf_dir):
+    dim = zone_dim(spark, sf_dir)
+    return annotate(annotate(clean_events(spark, sf_dir), dim, "PULocationID", "PU"),
+                    dim, "DOLocationID", "DO")
+
+
+@register("zone_label", S.base_ctes() + ", " + _DIM_SQL + ", " + _DIM1_SQL + """,
+  ids AS (SELECT DISTINCT PULocationID AS zone_id FROM clean)
+  SELECT i.zone_id, CASE WHEN d.Zone IS NULL OR d.Borough IS NULL
+                         THEN 'zone ' || i.zone_id || ' (unknown)'
+                         ELSE 'zone ' || i.zone_id || ' (' || d.Zone || ', ' || d.Borough || ')' END AS label
+  FROM ids i LEFT JOIN dimu d ON i.zone_id = d.LocationID""")
+def q_zone_label(spark, sf_dir):
+    ids = clean_events(spark, sf_dir).select(F.col("PULocationID").alias("zone_id")).distinct()
+    lab = annotate(ids, zone_dim(spark, sf_dir), "zone_id", "z")
+    return lab.select("zone_id", zone_label("zone_id", "z_zone", "z_borough").alias("label"))
+
+
+@register("known_ids", S.base_ctes() + ", " + _DIM_SQL + """
+  SELECT count(*) AS n_rows, count(DISTINCT PULocationID) AS n_ids FROM clean
+  WHERE PULocationID IN (SELECT LocationID FROM dim)""")
+def q_known_ids(spark, sf_dir):
+    k = known_ids(clean_events(spark, sf_dir), zone_dim(spark, sf_dir))
+    return k.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("PULocationID").alias("n_ids"))
+
+
+@register("unresolved_ids", S.base_ctes() + ", " + _DIM_SQL + """
+  SELECT PULocationID AS zone_id, count(*) AS n_rows FROM clean
+  WHERE PULocationID NOT IN (SELECT LocationID FROM dim WHERE LocationID IS NOT NULL)
+  GROUP BY 1""")
+def q_unresolved_ids(spark, sf_dir):
+    return unresolved_ids(clean_events(spark, sf_dir), zone_dim(spark, sf_dir))
+
+
+@register("zones_without_demand", S.base_ctes() + ", " + _DIM_SQL + ", " + _DIM1_SQL + """
+  SELECT LocationID, Borough, Zone, service_zone FROM dimu
+  WHERE LocationID NOT IN (SELECT PULocationID FROM clean)""")
+def q_zones_without_demand(spark, sf_dir):
+    return zones_without_demand(zone_dim(spark, sf_dir), clean_events(spark, sf_dir))
+
+
+@register("borough_demand", S.base_ctes(grid=True) + ", " + _DIM_SQL + ", " + _DIM1_SQL + """
+  SELECT d.Borough AS borough, f.hour, CAST(sum(f.demand) AS BIGINT) AS demand
+  FROM filled f LEFT JOIN dimu d ON f.zone_id = d.LocationID GROUP BY 1, 2""")
+def q_borough_demand(spark, sf_dir):
+    return borough_demand(hourly(spark, sf_dir, fill=True), zone_dim(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- splits ---
+
+from zonecast.operators.splits import (cv_folds, cv_folds_by_hour,  # noqa: E402
+                                       label_time_split)
+from zonecast.plans.forecast import lag_feature_frame  # noqa: E402
+
+_FEATS_SQL = (", feats AS (SELECT zone_id, hour, demand,"
+              " CAST(lag(demand, 1) OVER w AS DOUBLE) AS lag_1h,"
+              " CAST(lag(demand, 24) OVER w AS DOUBLE) AS lag_24h"
+              " FROM filled WINDOW w AS (PARTITION BY zone_id ORDER BY hour)),"
+              " complete AS (SELECT * FROM feats WHERE lag_1h IS NOT NULL AND lag_24h IS NOT NULL),"
+              " hours AS (SELECT hour, row_number() OVER (ORDER BY hour) - 1 AS idx,"
+              " count(*) OVER () AS n FROM (SELECT DISTINCT hour FROM complete)),"
+              " cut AS (SELECT hour AS cut_hour FROM hours WHERE n >= 2 AND idx = greatest(1, floor(n * 0.8))),"
+              " labelled AS (SELECT c.*, CASE WHEN cut.cut_hour IS NULL OR c.hour < cut.cut_hour"
+              " THEN 'train' ELSE 'test' END AS split FROM complete c LEFT JOIN cut ON TRUE),"
+              " train AS (SELECT * FROM labelled WHERE split = 'train'),"
+              " test AS (SELECT * FROM labelled WHERE split = 'test')")
+FEATS_SQL = S.base_ctes(grid=True) + _FEATS_SQL
+
+
+def features(spark, sf_dir):
+    return lag_feature_frame(clean_events(spark, sf_dir))
+
+
+@register("time_split", FEATS_SQL + " SELECT zone_id, hour, split FROM labelled")
+def q_time_split(spark, sf_dir):
+    return label_time_split(features(spark, sf_dir)).select("zone_id", "hour", "split")
+
+
+@register("time_split_counts", FEATS_SQL + """ SELECT split, count(*) AS n_rows,
+  count(DISTINCT hour) AS n_hours, min(hour) AS first_hour, max(hour) AS last_hour
+  FROM labelled GROUP BY split""")
+def q_time_split_counts(spark, sf_dir):
+    return (label_time_split(features(spark, sf_dir)).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hour").alias("n_hours"),
+                 F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour")))
+
+
+_CV_K = 5
+_CV_BOUNDS_SQL = (f"folds AS (SELECT CAST(f AS INTEGER) AS fold FROM range({_CV_K}) t(f)), "
+                  f"b AS (SELECT fold, n - ({_CV_K} - fold) * greatest(1, n // {_CV_K + 1}) AS train_end, "
+                  f"greatest(1, n // {_CV_K + 1}) AS t FROM folds, cnt), "
+                  "bounds AS (SELECT fold, train_end, train_end + t AS test_end FROM b WHERE train_end > 0)")
+
+
+@register("cv_folds", FEATS_SQL + ", pos AS (SELECT *, row_number() OVER (ORDER BY zone_id, hour) - 1 AS p"
+          " FROM complete), cnt AS (SELECT count(*) AS n FROM pos), " + _CV_BOUNDS_SQL + """
+  SELECT fold, CASE WHEN p < train_end THEN 'train' ELSE 'test' END AS role,
+         count(*) AS n_rows, min(p) AS first_pos, max(p) AS last_pos,
+         CAST(sum(demand) AS BIGINT) AS demand_sum
+  FROM pos JOIN bounds ON p < test_end GROUP BY 1, 2""")
+def q_cv_folds(spark, sf_dir):
+    folds = cv_folds(features(spark, sf_dir), _CV_K, ("zone_id", "hour"))
+    return folds.groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("pos").alias("first_pos"),
+        F.max("pos").alias("last_pos"), F.sum("demand").cast("bigint").alias("demand_sum"))
+
+
+@register("cv_folds_by_hour", FEATS_SQL + ", hidx AS (SELECT hour, row_number() OVER (ORDER BY hour) - 1 AS p"
+          " FROM (SELECT DISTINCT hour FROM complete)), cnt AS (SELECT count(*) AS n FROM hidx), "
+          + _CV_BOUNDS_SQL + """,
+  lab AS (SELECT hour, fold, CASE WHEN p < train_end THEN 'train' ELSE 'test' END AS role
+          FROM hidx JOIN bounds ON p < test_end)
+  SELECT fold, role, count(*) AS n_rows, count(DISTINCT c.hour) AS n_hours,
+         min(c.hour) AS first_hour, max(c.hour) AS last_hour
+  FROM complete c JOIN lab ON c.hour = lab.hour GROUP BY 1, 2""")
+def q_cv_folds_by_hour(spark, sf_dir):
+    folds = cv_folds_by_hour(features(spark, sf_dir), _CV_K)
+    return folds.groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hour").alias("n_hours"),
+        F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
+
+
+# ---------------------------------------------------------------- metrics ---
+
+from zonecast.functions.metrics import metric_columns  # noqa: E402
+from zonecast.ml.evaluate import evaluate_model, model_comparison, naive_baseline  # noqa: E402
+from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster  # noqa: E402
+from zonecast.ml.models import make_pipeline, linear_coefficients  # noqa: E402
+from zonecast.operators.splits import time_split  # noqa: E402
+
+
+def _metric_sql(y: str, p: str, prefix: str, with_mape: bool = True) -> str:
+    sql = (f"round(avg(abs({y} - {p})), 6) AS {prefix}mae, "
+           f"round(sqrt(avg(({y} - {p}) * ({y} - {p}))), 6) AS {prefix}rmse")
+    if with_mape:
+        sql += f", round(avg(abs({y} - {p}) / (abs({y}) + 1e-9)), 6) AS {prefix}mape"
+    return sql
+
+
+@register("naive_baseline_metrics", FEATS_SQL + " SELECT count(*) AS n_rows, "
+          + _metric_sql("demand", "lag_24h", "baseline_") + " FROM complete")
+def q_naive_baseline_metrics(spark, sf_dir):
+    b = naive_baseline(features(spark, sf_dir))
+    return round_doubles(b.agg(F.count(F.lit(1)).alias("n_rows"),
+                               *metric_columns("demand", "baseline", "baseline_", include_mape=True)))
+
+
+_OLS_SQL = (", st AS (SELECT count(*) AS n, avg(demand) AS my, avg(lag_1h) AS m1, avg(lag_24h) AS m2,"
+            " var_pop(lag_1h) AS s11, var_pop(lag_24h) AS s22, covar_pop(lag_1h, lag_24h) AS s12,"
+            " covar_pop(lag_1h, demand) AS s1y, covar_pop(lag_24h, demand) AS s2y FROM train),"
+            " ols AS (SELECT n, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,"
+            " (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, my, m1, m2 FROM st),"
+            " coef AS (SELECT n, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM ols)")
+
+
+def _train_test(spark, sf_dir):
+    return time_split(features(spark, sf_dir))
+
+
+@register("ols_coefficients", FEATS_SQL + _OLS_SQL + """ SELECT n AS n_train,
+  round(b0, 6) AS intercept, round(b1, 6) AS coef_lag_1h, round(b2, 6) AS coef_lag_24h FROM coef""")
+def q_ols_coefficients(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    m = DemandForecaster().fit(train)
+    c = m.coefficients()
+    n = train.dropna(subset=m.feature_columns).count()
+    return round_doubles(spark.createDataFrame(
+        [(n, c["intercept"], c["coef_lag_1h"], c["coef_lag_24h"])],
+        "n_train bigint, intercept double, coef_lag_1h double, coef_lag_24h double"))
+
+
+@register("ols_metrics", FEATS_SQL + _OLS_SQL + """,
+  scored AS (SELECT t.demand, t.lag_24h, c.b0 + c.b1 * t.lag_1h + c.b2 * t.lag_24h AS prediction
+             FROM test t, coef c)
+  SELECT """ + _metric_sql("demand", "prediction", "model_", False) + ", "
+          + _metric_sql("demand", "lag_24h", "baseline_", False) + " FROM scored")
+def q_ols_metrics(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    m = DemandForecaster().fit(train)
+    return round_doubles(evaluate_model(m, test))
+
+
+_RIDGE_ALPHA = 1.0
+
+
+@register("ridge_coefficients", FEATS_SQL + _OLS_SQL + f""",
+  z AS (SELECT n, my, m1, m2, sqrt(s11) AS d1, sqrt(s22) AS d2, s12 / sqrt(s11 * s22) AS r,
+               s1y / sqrt(s11) AS c1, s2y / sqrt(s22) AS c2, 1 + {_RIDGE_ALPHA} / n AS a FROM st),
+  beta AS (SELECT n, my, m1, m2, d1, d2, (a * c1 - r * c2) / (a * a - r * r) / d1 AS b1,
+                  (a * c2 - r * c1) / (a * a - r * r) / d2 AS b2 FROM z)
+  SELECT n AS n_train, round(my - b1 * m1 - b2 * m2, 6) AS intercept,
+         round(b1, 6) AS coef_lag_1h, round(b2, 6) AS coef_lag_24h FROM beta""")
+def q_ridge_coefficients(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    rows = train.dropna(subset=["lag_1h", "lag_24h"])
+    model = make_pipeline("ridge").fit(rows)
+    c = linear_coefficients(model, ("lag_1h", "lag_24h"))
+    return round_doubles(spark.createDataFrame(
+        [(rows.count(), c["intercept"], c["coef_lag_1h"], c["coef_lag_24h"])],
+        "n_train bigint, intercept double, coef_lag_1h double, coef_lag_24h double"))
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    multi = MultiModelForecaster().fit(train)
+    return round_doubles(model_comparison(multi, test))
+
+
+# ---------------------------------------------------------------- reports ---
+
+from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,  # noqa: E402
+                                        demand_heatmap, forecast_vs_actual, top_zones,
+                                        top_zones_share, weekday_zscore)
+from zonecast.plans.forecast import top_k_forecast  # noqa: E402
+from zonecast.sources.trips import schema_profile  # noqa: E402
+
+
+@register("topk_forecast", FEATS_SQL + _OLS_SQL + ", " + _DIM_SQL + ", " + _DIM1_SQL + """,
+  last AS (SELECT * FROM complete WHERE hour = (SELECT max(hour) FROM complete)),
+  pred AS (SELECT l.zone_id, l.hour, l.demand, round(c.b0 + c.b1 * l.lag_1h + c.b2 * l.lag_24h, 6) AS p
+           FROM last l, coef c),
+  top AS (SELECT * FROM pred ORDER BY p DESC, zone_id LIMIT 10)
+  SELECT CAST(row_number() OVER (ORDER BY p DESC, zone_id) AS INTEGER) AS rank, t.zone_id,
+         CASE WHEN d.Zone IS NULL OR d.Borough IS NULL THEN 'zone ' || t.zone_id || ' (unknown)'
+              ELSE 'zone ' || t.zone_id || ' (' || d.Zone || ', ' || d.Borough || ')' END AS zone_name,
+         t.hour, t.p AS predicted_demand, t.demand AS actual_demand
+  FROM top t LEFT JOIN dimu d ON t.zone_id = d.LocationID""")
+def q_topk_forecast(spark, sf_dir):
+    feats = features(spark, sf_dir)
+    train, _ = time_split(feats)
+    m = DemandForecaster().fit(train)
+    return top_k_forecast(m, feats, zone_dim(spark, sf_dir), 10)
+
+
+_FVA_ZONE = 1
+
+
+@register("forecast_vs_actual", FEATS_SQL + _OLS_SQL + f"""
+  SELECT t.hour, t.demand, round(c.b0 + c.b1 * t.lag_1h + c.b2 * t.lag_24h, 6) AS prediction
+  FROM test t, coef c WHERE t.zone_id = {_FVA_ZONE}""")
+def q_forecast_vs_actual(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    m = DemandForecaster().fit(train)
+    return round_doubles(forecast_vs_actual(test, m, _FVA_ZONE))
+
+
+_HEAT_COLS = ", ".join(f"round(avg(demand) FILTER (WHERE hour(hour) = {h}), 6) AS h{h:02d}" for h in range(24))
+
+
+@register("demand_heatmap", S.base_ctes(grid=True) + f"""
+  SELECT zone_id, CAST(sum(demand) AS BIGINT) AS total_demand, {_HEAT_COLS}
+  FROM filled GROUP BY zone_id ORDER BY total_demand DESC, zone_id LIMIT 20""")
+def q_demand_heatmap(spark, sf_dir):
+    return round_doubles(demand_heatmap(hourly(spark, sf_dir, fill=True), 20))
+
+
+@register("top_zones", S.base_ctes() + """ SELECT zone_id, CAST(sum(demand) AS BIGINT) AS total_demand
+  FROM hourly GROUP BY zone_id ORDER BY total_demand DESC, zone_id LIMIT 20""")
+def q_top_zones(spark, sf_dir):
+    return top_zones(hourly(spark, sf_dir), 20)
+
+
+_DAILY_SQL = ", daily AS (SELECT CAST(pickup_datetime AS DATE) AS date, count(*) AS pickups FROM clean GROUP BY 1)"
+
+
+@register("daily_counts", S.base_ctes() + _DAILY_SQL + " SELECT date, pickups FROM daily")
+def q_daily_counts(spark, sf_dir):
+    return daily_counts(clean_events(spark, sf_dir))
+
+
+@register("daily_summary", S.base_ctes() + _DAILY_SQL + """ SELECT count(*) AS n_days,
+  CAST(sum(pickups) AS BIGINT) AS total_pickups, round(avg(pickups), 6) AS mean_pickups,
+  round(median(CAST(pickups AS DOUBLE)), 6) AS median_pickups,
+  arg_min(date, pickups * 100000000 + (date - DATE '1970-01-01')) AS quietest_day, min(pickups) AS quietest_pickups,
+  arg_max(date, pickups * 100000000 - (date - DATE '1970-01-01')) AS busiest_day, max(pickups) AS busiest_pickups
+  FROM daily""")
+def q_daily_summary(spark, sf_dir):
+    return round_doubles(daily_summary(daily_counts(clean_events(spark, sf_dir))))
+
+
+@register("weekday_zscore", S.base_ctes() + _DAILY_SQL + """,
+  peers AS (SELECT a.date, a.pickups, avg(b.pickups) AS m, stddev_samp(b.pickups) AS s, count(b.date) AS k
+            FROM daily a LEFT JOIN daily b ON isodow(a.date) = isodow(b.date) AND a.date <> b.date
+            GROUP BY a.date, a.pickups)
+  SELECT date, pickups, strftime(date, '%a') AS weekday_name, round(m, 6) AS peer_mean,
+         round(CASE WHEN k >= 2 AND s > 0 THEN (pickups - m) / s ELSE 0.0 END, 6) AS zscore
+  FROM peers""")
+def q_weekday_zscore(spark, sf_dir):
+    return round_doubles(weekday_zscore(daily_counts(clean_events(spark, sf_dir))))
+
+
+@register("top_zones_share", S.base_ctes() + """, c AS (SELECT PULocationID AS zone_id, count(*) AS pickups
+  FROM clean GROUP BY 1)
+  SELECT zone_id, pickups, round(pickups / (SELECT sum(pickups) FROM c), 6) AS share
+  FROM c ORDER BY pickups DESC, zone_id LIMIT 10""")
+def q_top_zones_share(spark, sf_dir):
+    return round_doubles(top_zones_share(clean_events(spark, sf_dir), 10))
+
+
+@register("column_profile", "WITH " + S.trips_cte() + f""" SELECT * FROM (
+  SELECT 'PULocationID' AS "column", 'bigint' AS type, count(*) FILTER (WHERE PULocationID IS NULL) AS null_count,
+         CAST(min(PULocationID) AS VARCHAR) AS min_value, CAST(max(PULocationID) AS VARCHAR) AS max_value,
+         count(DISTINCT PULocationID) AS n_distinct,
+         count(*) FILTER (WHERE NOT (PULocationID BETWEEN 1 AND {NUM_ZONES})) AS out_of_range FROM trips
+  UNION ALL
+  SELECT 'DOLocationID', 'bigint', count(*) FILTER (WHERE DOLocationID IS NULL),
+         CAST(min(DOLocationID) AS VARCHAR), CAST(max(DOLocationID) AS VARCHAR),
+         count(DISTINCT DOLocationID),
+         count(*) FILTER (WHERE NOT (DOLocationID BETWEEN 1 AND {NUM_ZONES})) FROM trips)""")
+def q_column_profile(spark, sf_dir):
+    return column_profile(read_events_trips(spark, sf_dir), ["PULocationID", "DOLocationID"],
+                          lo=1, hi=NUM_ZONES)
+
+
+@register("schema_profile")
+def q_schema_profile(spark, sf_dir):
+    return schema_profile(table(spark, sf_dir, "events"))
+
+
+# ------------------------------------------------------------------ links ---
+
+from zonecast.operators import links as L  # noqa: E402
+
+_PAGE_HREF_SQL = r"""WITH cleaned AS (SELECT page_id,
+    regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+      '(?is)<script\b.*?</script\s*>', '', 'g'), '(?is)<style\b.*?</style\s*>', '', 'g') AS body FROM pages),
+  ex AS (SELECT page_id, regexp_extract_all(body, '(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1) AS l
+         FROM cleaned),
+  raw AS (SELECT page_id, unnest(l) AS raw, generate_subscripts(l, 1) - 1 AS pos FROM ex),
+  hrefs AS (SELECT page_id, CAST(pos AS INTEGER) AS pos,
+    trim(replace(replace(replace(replace(replace(regexp_replace(raw, '^["'']|["'']$', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS href FROM raw)"""
+
+_WORD_RE = r"^/(\p{L}+)$"
+
+
+@register("page_links", _PAGE_HREF_SQL + """,
+  firsts AS (SELECT href AS url, min(struct_pack(page_id := page_id, pos := pos)) AS f
+             FROM hrefs WHERE length(href) > 0 GROUP BY href)
+  SELECT url, f.page_id AS page_id, f.pos AS pos FROM firsts""")
+def q_page_links(spark, sf_dir):
+    return L.extract_links(table(spark, sf_dir, "pages"), r"^(.+)$", {})
+
+
+@register("page_links_filtered", _PAGE_HREF_SQL + r""",
+  words AS (SELECT lower(regexp_extract(href, '^/(\p{L}+)$', 1)) AS term, href AS url, page_id, pos
+            FROM hrefs WHERE regexp_matches(href, '^/(\p{L}+)$')),
+  firsts AS (SELECT url, min(struct_pack(page_id := page_id, pos := pos, term := term)) AS f
+             FROM words GROUP BY url)
+  SELECT url, f.page_id AS page_id, f.pos AS pos, f.term AS term FROM firsts
+  WHERE f.term IN ('the', 'de', 'in', 'la')""")
+def q_page_links_filtered(spark, sf_dir):
+    cat = L.extract_links(table(spark, sf_dir, "pages"), _WORD_RE, {"term": (1, "lower")})
+    return L.filter_values(cat, "term", ["The", "de", "IN", "la"])
+
+
+# ----------------------------------------------------------------- groups ---
+
+from zonecast.operators.groups import apply_per_zone  # noqa: E402
+
+
+def _center_demand(pdf):
+    pdf = pdf.copy()
+    pdf["demand_centered"] = pdf["demand"].astype("float64") - pdf["demand"].astype("float64").mean()
+    pdf["demand_cummax"] = pdf["demand"].cummax()
+    return pdf
+
+
+@register("apply_per_zone", S.base_ctes(grid=True) + """ SELECT zone_id, hour, demand,
+  round(demand - avg(demand) OVER (PARTITION BY zone_id), 6) AS demand_centered,
+  max(demand) OVER (PARTITION BY zone_id ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AS demand_cummax FROM filled""")
+def q_apply_per_zone(spark, sf_dir):
+    out = apply_per_zone(hourly(spark, sf_dir, fill=True), _center_demand,
+                         "zone_id bigint, hour timestamp_ntz, demand bigint, "
+                         "demand_centered double, demand_cummax bigint")
+    return round_doubles(out)

@@ -19,6 +19,23 @@ _BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# SQL settings applied to any session that runs zonecast plans (also one the
+# caller built).  A panel is partitioned by zone, and a join on (zone, hour)
+# between two sides already hash-partitioned by zone needs no new shuffle;
+# Spark only accepts that when not all cluster keys are required.  Per-zone
+# rows are bounded by the hour span, so the coarser partitioning cannot skew.
+SQL_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply zonecast's SQL settings to an existing session."""
+    for k, v in SQL_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, app: str = "zonecast",
                 shuffle_partitions: int | None = None,
@@ -33,6 +50,7 @@ def get_session(master: str | None = None, app: str = "zonecast",
     if master:
         b = b.master(master)
     conf = dict(_BASE_CONF)
+    conf.update(SQL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

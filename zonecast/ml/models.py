@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -89,19 +90,28 @@ class ModelSpec:
         raise ValueError(f"Unknown model {self.name!r}; supported: {SUPPORTED_MODELS}")
 
     def fit(self, df: DataFrame) -> PipelineModel:
+        """Fit on rows complete in the features.
+
+        The rows are cached for the duration of the fit (the solvers make
+        several passes) and one aggregate gives the row count — the
+        empty-set check — and, for ridge, the label spread of the penalty.
+        """
         rows = training_rows(df, self.features, self.target)
-        n, y_std = None, None
-        if self.name == "ridge":
-            # one aggregate for the penalty scale (and the empty check)
+        owned = not rows.storageLevel.useMemory and not rows.storageLevel.useDisk
+        if owned:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
             stats = rows.agg(F.count(F.lit(1)).alias("n"),
                              F.stddev_pop(self.target).alias("s")).first()
-            n, y_std = stats["n"], stats["s"]
-            if not n:
-                raise ValueError("training set is empty after dropping rows with missing features")
-        elif rows.isEmpty():
-            raise ValueError("training set is empty after dropping rows with missing features")
-        pipe = Pipeline(stages=[_assembler(self.features), self._regressor(n, y_std)])
-        return pipe.fit(rows)
+            if not stats["n"]:
+                raise ValueError("training set is empty after dropping rows with missing "
+                                 f"features {list(self.features)}")
+            pipe = Pipeline(stages=[_assembler(self.features),
+                                    self._regressor(stats["n"], stats["s"])])
+            return pipe.fit(rows)
+        finally:
+            if owned:
+                rows.unpersist()
 
 
 def make_pipeline(model_name: str, *, scaler: bool = True,
@@ -117,7 +127,7 @@ def train_models(df: DataFrame, model_names=None, *, scaler: bool = True,
                  ) -> dict[str, PipelineModel]:
     """Fit one pipeline per model name on the same (cached) training rows."""
     names = check_model_names(SUPPORTED_MODELS if model_names is None else model_names)
-    rows = training_rows(df, features, target).persist()
+    rows = training_rows(df, features, target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {n: make_pipeline(n, scaler=scaler, random_state=random_state,
                                  features=features, target=target).fit(rows) for n in names}

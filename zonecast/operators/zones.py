@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns
-from zonecast.operators.joins import broadcast_if_small
+from zonecast.operators.joins import BROADCAST_MAX_ROWS
 from zonecast.sources.zones import EXPECTED_COLUMNS
 
 
@@ -28,23 +28,63 @@ def one_row_per_id(dim: DataFrame, order: str | None = None) -> DataFrame:
                .select("LocationID", *[F.col(f"_p.{c}").alias(c) for c in EXPECTED_COLUMNS[1:]]))
 
 
-def annotate(df: DataFrame, dim: DataFrame, id_column: str = "PULocationID",
-             prefix: str = "PU", *, dedupe: bool = True) -> DataFrame:
-    """Append ``{prefix}_borough, {prefix}_zone, {prefix}_service_zone``.
+class ZoneResolver:
+    """A zone dimension prepared once: one row per id, size measured once.
 
-    Unknown or null ids get null labels; the row count never changes.  The
-    dimension is broadcast only after its size is measured.
+    The dimension is broadcast in every join only if the single size probe
+    found it small; otherwise joins stay shuffle joins.
     """
-    require_columns(df, (id_column,), "DataFrame")
-    d = one_row_per_id(dim) if dedupe else dim.select(*EXPECTED_COLUMNS)
-    key = f"_{prefix}_key"
-    d = d.select(F.col("LocationID").alias(key),
-                 F.col("Borough").alias(f"{prefix}_borough"),
-                 F.col("Zone").alias(f"{prefix}_zone"),
-                 F.col("service_zone").alias(f"{prefix}_service_zone"))
-    d = broadcast_if_small(d)
-    out = df.join(d, F.col(id_column).cast("bigint") == F.col(key), "left")
-    return out.drop(key)
+
+    def __init__(self, dim: DataFrame, *, dedupe: bool = True,
+                 max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+        require_columns(dim, EXPECTED_COLUMNS, "zone lookup")
+        self.dim = one_row_per_id(dim) if dedupe else dim.select(*EXPECTED_COLUMNS)
+        self.small = self.dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+
+    def _side(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
+
+    def annotate(self, df: DataFrame, id_column: str = "PULocationID", prefix: str = "PU") -> DataFrame:
+        """Append ``{prefix}_borough, {prefix}_zone, {prefix}_service_zone``.
+
+        Unknown or null ids get null labels; the row count never changes.
+        """
+        require_columns(df, (id_column,), "DataFrame")
+        key = f"_{prefix}_key"
+        d = self._side(self.dim.select(F.col("LocationID").alias(key),
+                                       F.col("Borough").alias(f"{prefix}_borough"),
+                                       F.col("Zone").alias(f"{prefix}_zone"),
+                                       F.col("service_zone").alias(f"{prefix}_service_zone")))
+        return df.join(d, F.col(id_column).cast("bigint") == F.col(key), "left").drop(key)
+
+    def label(self, df: DataFrame, id_column: str = "zone_id", out: str = "label") -> DataFrame:
+        """Append ``zone {id} ({zone}, {borough})`` / ``zone {id} (unknown)``."""
+        lab = self.annotate(df, id_column, "_lab")
+        return lab.withColumn(out, zone_label(id_column, "_lab_zone", "_lab_borough")) \
+                  .drop("_lab_borough", "_lab_zone", "_lab_service_zone")
+
+    def known(self, df: DataFrame, id_column: str = "PULocationID") -> DataFrame:
+        """Rows whose id is in the dimension (left semi join)."""
+        d = self._side(self.dim.select(F.col("LocationID").alias("_k")))
+        return df.join(d, F.col(id_column).cast("bigint") == F.col("_k"), "left_semi")
+
+    def unresolved(self, df: DataFrame, id_column: str = "PULocationID") -> DataFrame:
+        """Distinct ids missing from the dimension, with their row counts.
+
+        Counting first (partial aggregation) keeps the join input at one row
+        per id however many rows a hot id has.
+        """
+        counts = (df.where(F.col(id_column).isNotNull())
+                    .groupBy(F.col(id_column).cast("bigint").alias("zone_id"))
+                    .agg(F.count(F.lit(1)).alias("n_rows")))
+        d = self._side(self.dim.select(F.col("LocationID").alias("_k")))
+        return counts.join(d, F.col("zone_id") == F.col("_k"), "left_anti")
+
+
+def annotate(df: DataFrame, dim: DataFrame, id_column: str = "PULocationID",
+             prefix: str = "PU", *, dedupe: bool = True) -> DataFrame:
+    """One-off :meth:`ZoneResolver.annotate`."""
+    return ZoneResolver(dim, dedupe=dedupe).annotate(df, id_column, prefix)
 
 
 def zone_label(zone_id: Column | str, zone: Column | str, borough: Column | str) -> Column:
@@ -62,22 +102,11 @@ def display_name(zone: Column | str, borough: Column | str) -> Column:
 
 
 def known_ids(df: DataFrame, dim: DataFrame, id_column: str = "PULocationID") -> DataFrame:
-    """Rows whose id is in the dimension (left semi join)."""
-    d = broadcast_if_small(dim.select(F.col("LocationID").alias("_k")).distinct())
-    return df.join(d, F.col(id_column).cast("bigint") == F.col("_k"), "left_semi")
+    return ZoneResolver(dim).known(df, id_column)
 
 
 def unresolved_ids(df: DataFrame, dim: DataFrame, id_column: str = "PULocationID") -> DataFrame:
-    """Distinct ids not found in the dimension, with how many rows carry them.
-
-    Counting first (partial aggregation) keeps the join input at one row per
-    id however many rows a hot id has.
-    """
-    counts = (df.where(F.col(id_column).isNotNull())
-                .groupBy(F.col(id_column).cast("bigint").alias("zone_id"))
-                .agg(F.count(F.lit(1)).alias("n_rows")))
-    d = broadcast_if_small(dim.select(F.col("LocationID").alias("_k")).distinct())
-    return counts.join(d, F.col("zone_id") == F.col("_k"), "left_anti")
+    return ZoneResolver(dim).unresolved(df, id_column)
 
 
 def zones_without_demand(dim: DataFrame, trips: DataFrame, id_column: str = "PULocationID") -> DataFrame:
@@ -87,10 +116,11 @@ def zones_without_demand(dim: DataFrame, trips: DataFrame, id_column: str = "PUL
     return one_row_per_id(dim).join(seen, F.col("LocationID") == F.col("_k"), "left_anti")
 
 
-def borough_demand(panel: DataFrame, dim: DataFrame, *, key: str = "zone_id",
+def borough_demand(panel: DataFrame, dim, *, key: str = "zone_id",
                    time: str = "hour", value: str = "demand") -> DataFrame:
     """Roll zone demand up to (borough, hour); unknown zones go to a null borough."""
     require_columns(panel, (key, time, value), "demand panel")
-    labelled = annotate(panel, dim, key, "z")
+    resolver = dim if isinstance(dim, ZoneResolver) else ZoneResolver(dim)
+    labelled = resolver.annotate(panel, key, "z")
     return (labelled.groupBy(F.col("z_borough").alias("borough"), time)
                     .agg(F.sum(value).cast("bigint").alias(value)))

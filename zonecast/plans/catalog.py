@@ -188,8 +188,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ zones ---
 
-from zonecast.operators.zones import (annotate, borough_demand, known_ids,  # noqa: E402
-                                      unresolved_ids, zone_label, zones_without_demand)
+from zonecast.operators.zones import (ZoneResolver, borough_demand,  # noqa: E402
+                                      zones_without_demand)
 from zonecast.sources.zones import zone_dim_from_tables  # noqa: E402
 
 
@@ -213,9 +213,9 @@ _DIM1_SQL = ("dim1 AS (SELECT LocationID, max(struct_pack(b := Borough, z := Zon
   FROM clean c LEFT JOIN dimu p ON c.PULocationID = p.LocationID
                LEFT JOIN dimu d ON c.DOLocationID = d.LocationID""")
 def q_annotate_zones(spark, sf_dir):
-    dim = zone_dim(spark, sf_dir)
-    return annotate(annotate(clean_events(spark, sf_dir), dim, "PULocationID", "PU"),
-                    dim, "DOLocationID", "DO")
+    zones = ZoneResolver(zone_dim(spark, sf_dir))
+    return zones.annotate(zones.annotate(clean_events(spark, sf_dir), "PULocationID", "PU"),
+                          "DOLocationID", "DO")
 
 
 @register("zone_label", S.base_ctes() + ", " + _DIM_SQL + ", " + _DIM1_SQL + """,
@@ -226,15 +226,14 @@ def q_annotate_zones(spark, sf_dir):
   FROM ids i LEFT JOIN dimu d ON i.zone_id = d.LocationID""")
 def q_zone_label(spark, sf_dir):
     ids = clean_events(spark, sf_dir).select(F.col("PULocationID").alias("zone_id")).distinct()
-    lab = annotate(ids, zone_dim(spark, sf_dir), "zone_id", "z")
-    return lab.select("zone_id", zone_label("zone_id", "z_zone", "z_borough").alias("label"))
+    return ZoneResolver(zone_dim(spark, sf_dir)).label(ids, "zone_id")
 
 
 @register("known_ids", S.base_ctes() + ", " + _DIM_SQL + """
   SELECT count(*) AS n_rows, count(DISTINCT PULocationID) AS n_ids FROM clean
   WHERE PULocationID IN (SELECT LocationID FROM dim)""")
 def q_known_ids(spark, sf_dir):
-    k = known_ids(clean_events(spark, sf_dir), zone_dim(spark, sf_dir))
+    k = ZoneResolver(zone_dim(spark, sf_dir)).known(clean_events(spark, sf_dir))
     return k.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("PULocationID").alias("n_ids"))
 
 
@@ -243,7 +242,7 @@ def q_known_ids(spark, sf_dir):
   WHERE PULocationID NOT IN (SELECT LocationID FROM dim WHERE LocationID IS NOT NULL)
   GROUP BY 1""")
 def q_unresolved_ids(spark, sf_dir):
-    return unresolved_ids(clean_events(spark, sf_dir), zone_dim(spark, sf_dir))
+    return ZoneResolver(zone_dim(spark, sf_dir)).unresolved(clean_events(spark, sf_dir))
 
 
 @register("zones_without_demand", S.base_ctes() + ", " + _DIM_SQL + ", " + _DIM1_SQL + """
@@ -264,6 +263,7 @@ def q_borough_demand(spark, sf_dir):
 
 from zonecast.operators.splits import (cv_folds, cv_folds_by_hour,  # noqa: E402
                                        label_time_split)
+from zonecast.operators.demand import materialized  # noqa: E402
 from zonecast.plans.forecast import lag_feature_frame  # noqa: E402
 
 _FEATS_SQL = (", feats AS (SELECT zone_id, hour, demand,"
@@ -282,7 +282,8 @@ FEATS_SQL = S.base_ctes(grid=True) + _FEATS_SQL
 
 
 def features(spark, sf_dir):
-    return lag_feature_frame(clean_events(spark, sf_dir))
+    """Lag features on the filled grid, materialised once for the model passes."""
+    return materialized(lag_feature_frame(clean_events(spark, sf_dir)), "checkpoint")
 
 
 @register("time_split", FEATS_SQL + " SELECT zone_id, hour, split FROM labelled")

@@ -12,7 +12,7 @@ from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster
 from zonecast.operators.demand import aggregate, materialized
 from zonecast.operators.splits import time_split
 from zonecast.operators.windows import lag_columns
-from zonecast.operators.zones import annotate, zone_label
+from zonecast.operators.zones import ZoneResolver
 
 DEFAULT_TOP_K = 10
 
@@ -41,8 +41,9 @@ def top_k_forecast(model, rows: DataFrame, dim: DataFrame | None = None,
                   .withColumn("predicted_demand", F.round("prediction", 6))
     top = scored.orderBy(F.desc("predicted_demand"), "zone_id").limit(k)
     if dim is not None:
-        top = annotate(top, dim, "zone_id", "z")
-        name = zone_label("zone_id", "z_zone", "z_borough")
+        resolver = dim if isinstance(dim, ZoneResolver) else ZoneResolver(dim)
+        top = resolver.label(top, "zone_id", "zone_name")
+        name = F.col("zone_name")
     else:
         name = F.format_string("zone %d", F.col("zone_id"))
     rank = F.row_number().over(Window.orderBy(F.desc("predicted_demand"), "zone_id"))

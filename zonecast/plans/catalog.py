@@ -575,11 +575,16 @@ def q_page_links_filtered(spark, sf_dir):
 from zonecast.operators.groups import apply_per_zone  # noqa: E402
 
 
-def _center_demand(pdf):
-    pdf = pdf.copy()
-    pdf["demand_centered"] = pdf["demand"].astype("float64") - pdf["demand"].astype("float64").mean()
-    pdf["demand_cummax"] = pdf["demand"].cummax()
-    return pdf
+def _center_demand_fn():
+    # built as a closure so cloudpickle ships it by value: the Python workers
+    # need not import this package
+    def center(pdf):
+        pdf = pdf.copy()
+        d = pdf["demand"].astype("float64")
+        pdf["demand_centered"] = d - d.mean()
+        pdf["demand_cummax"] = pdf["demand"].cummax()
+        return pdf
+    return center
 
 
 @register("apply_per_zone", S.base_ctes(grid=True) + """ SELECT zone_id, hour, demand,
@@ -587,7 +592,7 @@ def _center_demand(pdf):
   max(demand) OVER (PARTITION BY zone_id ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
     AS demand_cummax FROM filled""")
 def q_apply_per_zone(spark, sf_dir):
-    out = apply_per_zone(hourly(spark, sf_dir, fill=True), _center_demand,
+    out = apply_per_zone(hourly(spark, sf_dir, fill=True), _center_demand_fn(),
                          "zone_id bigint, hour timestamp_ntz, demand bigint, "
                          "demand_centered double, demand_cummax bigint")
     return round_doubles(out)

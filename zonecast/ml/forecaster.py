@@ -29,6 +29,14 @@ class DemandForecaster:
                                    target=self.target_column).fit(df)
         return self
 
+    @classmethod
+    def from_model(cls, model: PipelineModel, feature_columns=DEFAULT_FEATURE_COLUMNS,
+                   target_column: str = DEFAULT_TARGET) -> "DemandForecaster":
+        """Wrap an already fitted linear pipeline (e.g. one of a multi-model fit)."""
+        out = cls(feature_columns, target_column)
+        out.model = model
+        return out
+
     def _fitted(self) -> PipelineModel:
         if self.model is None:
             raise RuntimeError("model is not fitted; call fit() first")

@@ -24,6 +24,7 @@ TRIP_LINK_RE = (r"(?i)^(https?://[^/]+/trip-data/(yellow|green|fhv|fhvhv)_tripda
                 r"(\d{4})-(\d{2})\.parquet)$")
 TRIP_LINK_FIELDS = {"taxi_type": (2, "lower"), "year": (3, "int"), "month": (4, "int")}
 SUPPORTED_TAXI_TYPES = ("yellow", "green", "fhv", "fhvhv")
+TRIP_LINK_SCHEMA = "taxi_type string, year int, month int, url string"
 
 
 def _decode(c: Column) -> Column:

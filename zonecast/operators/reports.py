@@ -104,6 +104,22 @@ def weekday_zscore(daily: DataFrame, *, date: str = "date", value: str = "pickup
                         peer_mean.alias("peer_mean"), z.alias("zscore"))
 
 
+def weekday_anomalies(daily: DataFrame, holidays=None, *, date: str = "date",
+                      value: str = "pickups") -> DataFrame:
+    """Daily counts with their weekday z-score and a holiday flag.
+
+    The calendar is a bounded date table (built-in rules or a caller's list)
+    joined by broadcast; a caller's DataFrame is left to AQE.
+    """
+    from zonecast.functions.holidays import holiday_dates
+    hol = holiday_dates(daily.sparkSession, holidays).withColumnRenamed("holiday_date", "_h")
+    if not isinstance(holidays, DataFrame):
+        hol = F.broadcast(hol)
+    z = weekday_zscore(daily, date=date, value=value)
+    return (z.join(hol, F.col(date) == F.col("_h"), "left")
+             .select(*z.columns, F.col("_h").isNotNull().cast("int").alias("is_holiday")))
+
+
 def top_zones_share(trips: DataFrame, k: int = 10, *, id_column: str = "PULocationID") -> DataFrame:
     """Busiest pickup zones with their share of all trips.
 

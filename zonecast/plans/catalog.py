@@ -103,6 +103,25 @@ def q_lineitem_daily_demand(spark, sf_dir):
                      grain="day", out_time="day", fill_missing_hours=True)
 
 
+@register("orders_daily_demand", "WITH daily AS (SELECT o_custkey AS zone_id, "
+          "date_trunc('day', o_orderdate) AS day, count(*) AS demand FROM orders "
+          "WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY 1, 2) "
+          "SELECT zone_id, day, demand FROM daily")
+def q_orders_daily_demand(spark, sf_dir):
+    return aggregate(table(spark, sf_dir, "orders"), key="o_custkey", ts="o_orderdate",
+                     grain="day", out_time="day")
+
+
+@register("hour_bounds", S.base_ctes() + """ SELECT min(hour) AS first_hour, max(hour) AS last_hour,
+  count(DISTINCT hour) AS n_hours, count(DISTINCT zone_id) AS n_zones, CAST(sum(demand) AS BIGINT) AS n_trips
+  FROM hourly""")
+def q_hour_bounds(spark, sf_dir):
+    h = hourly(spark, sf_dir)
+    return h.agg(F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"),
+                 F.count_distinct("hour").alias("n_hours"), F.count_distinct("zone_id").alias("n_zones"),
+                 F.sum("demand").cast("bigint").alias("n_trips"))
+
+
 # ---------------------------------------------------------------- windows ---
 
 _LAG_SQL = (" SELECT zone_id, hour, demand,"
@@ -426,7 +445,8 @@ def q_model_comparison(spark, sf_dir):
 
 from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,  # noqa: E402
                                         demand_heatmap, forecast_vs_actual, top_zones,
-                                        top_zones_share, weekday_zscore)
+                                        top_zones_share, weekday_anomalies, weekday_zscore,
+                                        zone_totals)
 from zonecast.plans.forecast import top_k_forecast  # noqa: E402
 from zonecast.sources.trips import schema_profile  # noqa: E402
 
@@ -505,6 +525,24 @@ def q_weekday_zscore(spark, sf_dir):
     return round_doubles(weekday_zscore(daily_counts(clean_events(spark, sf_dir))))
 
 
+@register("weekday_anomalies", S.base_ctes() + _DAILY_SQL + ", " + S.holidays_cte("federal") + """,
+  peers AS (SELECT a.date, a.pickups, avg(b.pickups) AS m, stddev_samp(b.pickups) AS s, count(b.date) AS k
+            FROM daily a LEFT JOIN daily b ON isodow(a.date) = isodow(b.date) AND a.date <> b.date
+            GROUP BY a.date, a.pickups)
+  SELECT date, pickups, strftime(date, '%a') AS weekday_name, round(m, 6) AS peer_mean,
+         round(CASE WHEN k >= 2 AND s > 0 THEN (pickups - m) / s ELSE 0.0 END, 6) AS zscore,
+         CAST(date IN (SELECT holiday_date FROM holidays) AS INTEGER) AS is_holiday
+  FROM peers""")
+def q_weekday_anomalies(spark, sf_dir):
+    return round_doubles(weekday_anomalies(daily_counts(clean_events(spark, sf_dir))))
+
+
+@register("zone_totals", S.base_ctes() + """ SELECT zone_id, CAST(sum(demand) AS BIGINT) AS total_demand
+  FROM hourly GROUP BY zone_id""")
+def q_zone_totals(spark, sf_dir):
+    return zone_totals(hourly(spark, sf_dir))
+
+
 @register("top_zones_share", S.base_ctes() + """, c AS (SELECT PULocationID AS zone_id, count(*) AS pickups
   FROM clean GROUP BY 1)
   SELECT zone_id, pickups, round(pickups / (SELECT sum(pickups) FROM c), 6) AS share

@@ -70,8 +70,11 @@ def forecast_report(trips: DataFrame, dim: DataFrame | None = None, *, top_k: in
     """
     feats = materialized(lag_feature_frame(trips), materialize)
     train, test = time_split(feats, train_frac)
-    ols = DemandForecaster().fit(train)
+    names = list(model_names or ("linear", "ridge", "random_forest"))
+    if "linear" not in names:
+        names.insert(0, "linear")
+    multi = MultiModelForecaster(model_names=names).fit(train)
+    ols = DemandForecaster.from_model(multi.models["linear"])   # same OLS fit, not refitted
     metrics = evaluate_model(ols, test, include_mape=True)
-    multi = MultiModelForecaster(model_names=model_names).fit(train)
     table = model_comparison(multi, test)
     return ForecastReport(metrics, table, top_k_forecast(ols, feats, dim, top_k), ols, multi)

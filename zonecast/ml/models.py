@@ -96,22 +96,55 @@ class ModelSpec:
         several passes) and one aggregate gives the row count — the
         empty-set check — and, for ridge, the label spread of the penalty.
         """
-        rows = training_rows(df, self.features, self.target)
-        owned = not rows.storageLevel.useMemory and not rows.storageLevel.useDisk
-        if owned:
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats = rows.agg(F.count(F.lit(1)).alias("n"),
-                             F.stddev_pop(self.target).alias("s")).first()
-            if not stats["n"]:
-                raise ValueError("training set is empty after dropping rows with missing "
-                                 f"features {list(self.features)}")
-            pipe = Pipeline(stages=[_assembler(self.features),
-                                    self._regressor(stats["n"], stats["s"])])
-            return pipe.fit(rows)
-        finally:
-            if owned:
-                rows.unpersist()
+        with _prepared(df, self.features, self.target) as (rows, n, y_std):
+            return self.fit_prepared(rows, n, y_std)
+
+    def fit_prepared(self, rows: DataFrame, n: int, y_std: float) -> PipelineModel:
+        """Fit on rows already cleaned by :func:`training_rows` and summarised."""
+        pipe = Pipeline(stages=[_assembler(self.features), self._regressor(n, y_std)])
+        return pipe.fit(rows)
+
+
+# Training rows are spread over about one partition per this many rows (up to
+# the cluster's parallelism) when the set is small enough for the count to be
+# the right sizing signal; larger sets keep their byte-sized partitions.
+ROWS_PER_FIT_PARTITION = 5_000
+RESIZE_MAX_ROWS = 50_000_000
+
+
+class _prepared:
+    """Context: cleaned, cached training rows with their count and label std.
+
+    One aggregate gives the row count (the empty-set check) and the label's
+    population std (the ridge penalty scale).  Small sets are spread over
+    the cluster before caching: adaptive execution coalesces a small shuffle
+    into very few partitions, which would leave the solvers' many passes on
+    a single core.
+    """
+
+    def __init__(self, df: DataFrame, features, target):
+        self.features, self.target = list(features), target
+        self.rows = training_rows(df, features, target)
+        self.cached = None
+
+    def __enter__(self):
+        stats = self.rows.agg(F.count(F.lit(1)).alias("n"),
+                              F.stddev_pop(self.target).alias("s")).first()
+        n = stats["n"]
+        if not n:
+            raise ValueError("training set is empty after dropping rows with missing "
+                             f"features {self.features}")
+        rows = self.rows
+        if n <= RESIZE_MAX_ROWS:
+            par = rows.sparkSession.sparkContext.defaultParallelism
+            rows = rows.repartition(max(1, min(par, -(-n // ROWS_PER_FIT_PARTITION))))
+        self.cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        return self.cached, n, stats["s"]
+
+    def __exit__(self, *exc):
+        if self.cached is not None:
+            self.cached.unpersist()
+        return False
 
 
 def make_pipeline(model_name: str, *, scaler: bool = True,
@@ -125,14 +158,12 @@ def train_models(df: DataFrame, model_names=None, *, scaler: bool = True,
                  random_state: int = DEFAULT_RANDOM_STATE,
                  features=DEFAULT_FEATURE_COLUMNS, target: str = DEFAULT_TARGET,
                  ) -> dict[str, PipelineModel]:
-    """Fit one pipeline per model name on the same (cached) training rows."""
+    """Fit one pipeline per model name on the same cleaned, cached rows."""
     names = check_model_names(SUPPORTED_MODELS if model_names is None else model_names)
-    rows = training_rows(df, features, target).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {n: make_pipeline(n, scaler=scaler, random_state=random_state,
-                                 features=features, target=target).fit(rows) for n in names}
-    finally:
-        rows.unpersist()
+    specs = {n: make_pipeline(n, scaler=scaler, random_state=random_state,
+                              features=features, target=target) for n in names}
+    with _prepared(df, features, target) as (rows, n, y_std):
+        return {name: spec.fit_prepared(rows, n, y_std) for name, spec in specs.items()}
 
 
 def linear_coefficients(model: PipelineModel, features) -> dict[str, float]:

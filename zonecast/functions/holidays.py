@@ -71,32 +71,44 @@ def _rule_date(year: Column, month: int, rule: str, arg) -> Column:
     raise ValueError(f"unknown holiday rule {rule!r}")
 
 
-def holiday_table(spark: SparkSession, calendar: str = "federal",
-                  first_year: int = DEFAULT_FIRST_YEAR,
-                  last_year: int = DEFAULT_LAST_YEAR) -> DataFrame:
-    """Observed holidays of the holiday years ``first_year..last_year``.
+def holidays_from_years(years: DataFrame, calendar: str = "federal", year: str = "year") -> DataFrame:
+    """Observed holidays for every holiday year in the ``year`` column of ``years``.
 
     An observed date may fall in the previous calendar year (New Year's Day on
     a Saturday is observed on Dec 31), exactly as a published calendar lists it.
     """
     if calendar not in CALENDARS:
         raise ValueError(f"calendar must be one of {CALENDARS}, got {calendar!r}")
-    if first_year > last_year:
-        raise ValueError("first_year must not be after last_year")
     rules = FEDERAL_RULES + (STATE_EXTRA_RULES if calendar == "state" else [])
-    year = F.col("year").cast("int")
+    y = F.col(year).cast("int")
     entries = []
     for name, month, rule, arg in rules:
-        d = _rule_date(year, month, rule, arg)
+        d = _rule_date(y, month, rule, arg)
         if name == "Juneteenth":
-            d = F.when(year >= JUNETEENTH_FIRST_YEAR, d)
+            d = F.when(y >= JUNETEENTH_FIRST_YEAR, d)
         entries.append(F.struct(d.alias("holiday_date"), F.lit(name).alias("name")))
-    years = spark.range(first_year, last_year + 1).withColumnRenamed("id", "year")
     return (years.select(F.explode(F.array(*entries)).alias("h"))
                  .select("h.holiday_date", "h.name")
                  .where(F.col("holiday_date").isNotNull()))
 
 
+def holiday_table(spark: SparkSession, calendar: str = "federal",
+                  first_year: int = DEFAULT_FIRST_YEAR,
+                  last_year: int = DEFAULT_LAST_YEAR) -> DataFrame:
+    """Observed holidays of the holiday years ``first_year..last_year``."""
+    if first_year > last_year:
+        raise ValueError("first_year must not be after last_year")
+    years = spark.range(first_year, last_year + 1).withColumnRenamed("id", "year")
+    return holidays_from_years(years, calendar)
+
+
+def holiday_table_for(df: DataFrame, ts: str, calendar: str = "federal") -> DataFrame:
+    """Holidays of every year that ``df[ts]`` spans (one min/max pass over ``df``)."""
+    span = df.agg(F.min(F.year(ts)).alias("_lo"), F.max(F.year(ts)).alias("_hi"))
+    years = span.select(F.explode(F.sequence("_lo", "_hi")).alias("year"))
+    return holidays_from_years(years, calendar)
+
+
 def holiday_dates(spark: SparkSession, holidays=None) -> DataFrame:
     """Normalise a holiday argument to a one-column distinct ``holiday_date`` table.
 

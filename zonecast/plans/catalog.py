@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.functions.holidays import holiday_table
+from zonecast.functions.holidays import holiday_table_for
 from zonecast.operators.calendar import add_calendar_features
 from zonecast.operators.cleaning import clean_report, clean_trips
 from zonecast.operators.demand import aggregate
@@ -174,13 +174,20 @@ def q_calendar_features_state(spark, sf_dir):
     return add_calendar_features(hourly(spark, sf_dir), "state")
 
 
-@register("holiday_table", "WITH " + S.holidays_cte("federal", "fed") + ", "
-          + S.holidays_cte("state", "st")
+_SHIP_YEARS_SQL = ("SELECT CAST(unnest(generate_series(min(year(l_shipdate)), max(year(l_shipdate)))) "
+                   "AS INTEGER) AS y FROM lineitem")
+
+
+@register("holiday_table", "WITH " + S.holidays_cte("federal", "fed", years_sql=_SHIP_YEARS_SQL) + ", "
+          + S.holidays_cte("state", "st", years_sql=_SHIP_YEARS_SQL)
           + " SELECT 'federal' AS calendar, holiday_date, name FROM fed"
           + " UNION ALL SELECT 'state' AS calendar, holiday_date, name FROM st")
 def q_holiday_table(spark, sf_dir):
-    return (holiday_table(spark, "federal").select(F.lit("federal").alias("calendar"), "*")
-            .unionByName(holiday_table(spark, "state").select(F.lit("state").alias("calendar"), "*")))
+    """Both calendars for every year the lineitem ship dates span."""
+    items = table(spark, sf_dir, "lineitem")
+    return (holiday_table_for(items, "l_shipdate", "federal").select(F.lit("federal").alias("calendar"), "*")
+            .unionByName(holiday_table_for(items, "l_shipdate", "state")
+                         .select(F.lit("state").alias("calendar"), "*")))
 
 
 @register("build_features_full", S.base_ctes(grid=True) + ", " + S.holidays_cte("federal")
@@ -568,7 +575,7 @@ def q_column_profile(spark, sf_dir):
 
 @register("schema_profile")
 def q_schema_profile(spark, sf_dir):
-    return schema_profile(table(spark, sf_dir, "events"))
+    return schema_profile(table(spark, sf_dir, "events"), with_counts=True)
 
 
 # ------------------------------------------------------------------ links ---

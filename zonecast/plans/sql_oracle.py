@@ -71,7 +71,8 @@ def _observed_sql(d: str) -> str:
 
 
 def holidays_cte(calendar: str = "federal", name: str = "holidays",
-                 first_year: int = DEFAULT_FIRST_YEAR, last_year: int = DEFAULT_LAST_YEAR) -> str:
+                 first_year: int = DEFAULT_FIRST_YEAR, last_year: int = DEFAULT_LAST_YEAR,
+                 years_sql: str | None = None) -> str:
     rules = FEDERAL_RULES + (STATE_EXTRA_RULES if calendar == "state" else [])
     selects = []
     for hname, month, rule, arg in rules:
@@ -86,5 +87,6 @@ def holidays_cte(calendar: str = "federal", name: str = "holidays",
         cond = f" WHERE y >= {JUNETEENTH_FIRST_YEAR}" if hname == "Juneteenth" else ""
         esc = hname.replace("'", "''")
         selects.append(f"SELECT {d} AS holiday_date, '{esc}' AS name FROM {name}_years{cond}")
-    return (f"{name}_years AS (SELECT CAST(range AS INTEGER) AS y FROM range({first_year}, {last_year + 1})), "
-            f"{name} AS ({' UNION ALL '.join(selects)})")
+    if years_sql is None:
+        years_sql = f"SELECT CAST(range AS INTEGER) AS y FROM range({first_year}, {last_year + 1})"
+    return f"{name}_years AS ({years_sql}), {name} AS ({' UNION ALL '.join(selects)})"

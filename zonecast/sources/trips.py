@@ -89,8 +89,20 @@ def read_events_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(_read_parquet(spark, f"{sf_dir}/events.parquet"))
 
 
-def schema_profile(df: DataFrame) -> DataFrame:
-    """``(ordinal, name, type)`` rows describing a table's schema (no scan)."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "ordinal int, name string, type string")
+def schema_profile(df: DataFrame, *, with_counts: bool = False) -> DataFrame:
+    """``(ordinal, name, type)`` per column, from the footer schema (no scan).
+
+    ``with_counts`` adds the table's ``n_rows`` and each column's
+    ``n_nulls`` from one aggregate pass over the data.
+    """
+    fields = df.schema.fields
+    meta = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(f.name).alias("name"),
+                              F.lit(f.dataType.simpleString()).alias("type"))
+                     for i, f in enumerate(fields)])
+    if not with_counts:
+        return df.sparkSession.range(1).select(F.explode(meta).alias("m")).select("m.*")
+    counts = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                    *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}") for i, f in enumerate(fields)])
+    nulls = F.array(*[F.col(f"_n{i}") for i in range(len(fields))])
+    return counts.select("n_rows", F.explode(F.arrays_zip(meta, nulls)).alias("z")) \
+                 .select("z.0.*", "n_rows", F.col("z.1").alias("n_nulls"))

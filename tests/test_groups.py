@@ -39,3 +39,13 @@ def test_guards(spark):
         apply_per_zone(panel(spark), diff, "x int", group_column="nope")
     with pytest.raises(ValueError):
         apply_per_zone(panel(spark), "not callable", "x int")
+
+
+def test_worker_count_does_not_change_result(spark):
+    schema = "zone_id bigint, hour timestamp_ntz, demand bigint, delta bigint"
+    a = apply_per_zone(panel(spark), diff, schema, n_workers=1).orderBy("zone_id", "hour").collect()
+    b = apply_per_zone(panel(spark), diff, schema, n_workers=7).orderBy("zone_id", "hour").collect()
+    assert a == b
+    for bad in (0, -2, 1.5, True):
+        with pytest.raises(ValueError):
+            apply_per_zone(panel(spark), diff, schema, n_workers=bad)

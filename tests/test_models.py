@@ -110,3 +110,11 @@ def test_multi_model(feats):
     assert table["linear"].rmse >= table["linear"].mae
     with pytest.raises(ValueError):
         MultiModelForecaster(model_names=["linear"]).fit(feats).transform(feats, "ridge")
+
+
+def test_legacy_artifact_keeps_constructor_columns(feats, tmp_path):
+    m = DemandForecaster().fit(feats)
+    m.model.write().overwrite().save(str(tmp_path / "old" / "pipeline"))   # no contract beside it
+    other = DemandForecaster(feature_columns=("lag_1h", "lag_24h"), target_column="demand")
+    other.load(str(tmp_path / "old"))
+    assert other.feature_columns == ["lag_1h", "lag_24h"] and other.target_column == "demand"

@@ -33,19 +33,26 @@ def infer_schema(df: DataFrame, func, group_column: str, time_column: str) -> st
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def apply_per_zone(df: DataFrame, func, schema: str | None = None, *,
+def apply_per_zone(df: DataFrame, func, schema: str | None = None, *, n_workers: int | None = None,
                    group_column: str = "zone_id", time_column: str = "hour") -> DataFrame:
     """Apply ``func(pandas.DataFrame) -> pandas.DataFrame`` to each group.
 
     Each group arrives sorted by ``time_column``.  ``func`` may add columns
     or change the row count; pass ``schema`` (DDL) or let it be inferred from
-    a bounded sample of one group.  Null groups are dropped first.  The result
-    is independent of the number of partitions.
+    a bounded sample of one group.  Null groups are dropped first.
+    ``n_workers`` sets the number of partitions of the group shuffle (the
+    hash repartition by group satisfies ``applyInPandas``'s distribution, so
+    it replaces, not adds, a shuffle).  The result does not depend on it.
     """
     require_columns(df, (group_column, time_column), "DataFrame")
     if not callable(func):
         raise ValueError("func must be callable")
+    if n_workers is not None and (isinstance(n_workers, bool) or not isinstance(n_workers, int)
+                                  or n_workers <= 0):
+        raise ValueError(f"n_workers must be a positive integer or None, got {n_workers!r}")
     rows = df.where(F.col(group_column).isNotNull())
+    if n_workers is not None:
+        rows = rows.repartition(n_workers, group_column)
     if schema is None:
         schema = infer_schema(rows, func, group_column, time_column)
     return rows.groupBy(group_column).applyInPandas(_sorted_call(func, time_column), schema)

@@ -23,7 +23,7 @@ from zonecast.plans.features import build_features
 from zonecast.session import configure
 from zonecast.sources.trips import read_events_trips
 
-NUM_ZONES = S.NUM_ZONES
+NUM_ZONES = S.NUM_ZONES     # SQL form of the zone universe, see zone_universe()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,8 +54,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def zone_universe(spark: SparkSession, sf_dir: str) -> int:
+    """Largest zone id of the events view (``max(user_id)``; one scalar aggregate).
+
+    The cleaner keeps ids ``1..max``: every row except the invalid id 0, so
+    the queries run over the whole table.
+    """
+    n = table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
+    return max(1, int(n or 0))
+
+
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_trips(read_events_trips(spark, sf_dir), num_zones=NUM_ZONES)
+    return clean_trips(read_events_trips(spark, sf_dir), num_zones=zone_universe(spark, sf_dir))
 
 
 def hourly(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
@@ -78,7 +88,7 @@ def q_clean_trips(spark, sf_dir):
                      AND DOLocationID BETWEEN 1 AND {NUM_ZONES}) AS rows_out
   FROM trips""")
 def q_clean_report(spark, sf_dir):
-    return clean_report(read_events_trips(spark, sf_dir), num_zones=NUM_ZONES)
+    return clean_report(read_events_trips(spark, sf_dir), num_zones=zone_universe(spark, sf_dir))
 
 
 # ----------------------------------------------------------------- demand ---
@@ -570,7 +580,7 @@ def q_top_zones_share(spark, sf_dir):
          count(*) FILTER (WHERE NOT (DOLocationID BETWEEN 1 AND {NUM_ZONES})) FROM trips)""")
 def q_column_profile(spark, sf_dir):
     return column_profile(read_events_trips(spark, sf_dir), ["PULocationID", "DOLocationID"],
-                          lo=1, hi=NUM_ZONES)
+                          lo=1, hi=zone_universe(spark, sf_dir))
 
 
 @register("schema_profile")

@@ -11,7 +11,9 @@ from zonecast.functions.holidays import (DEFAULT_FIRST_YEAR, DEFAULT_LAST_YEAR,
                                          FEDERAL_RULES, JUNETEENTH_FIRST_YEAR,
                                          STATE_EXTRA_RULES)
 
-NUM_ZONES = 100          # zone ids 0 and > 100 in the driver's events are dropped
+# The zone universe of the events view is ids 1..max(user_id): the whole
+# table is kept except the invalid id 0 (and drop-off key 0).
+NUM_ZONES = "(SELECT max(user_id) FROM events)"
 
 _ISODOW = {"Mon": 1, "Tue": 2, "Wed": 3, "Thu": 4, "Fri": 5, "Sat": 6, "Sun": 7}
 
@@ -23,7 +25,7 @@ def trips_cte() -> str:
     )
 
 
-def clean_cte(n: int = NUM_ZONES) -> str:
+def clean_cte(n: str = NUM_ZONES) -> str:
     return (
         "clean AS (SELECT * FROM trips WHERE pickup_datetime IS NOT NULL "
         "AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL "

@@ -17,6 +17,8 @@ _BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # SQL settings applied to any session that runs zonecast plans (also one the

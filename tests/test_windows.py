@@ -85,3 +85,25 @@ def test_lags_and_rolling_share_one_window_exchange(spark, trips_schema):
     plan = build_features(df, lags=[1, 24], rolling_windows=[3, 24])._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("hashpartitioning(zone_id#") <= 2
+
+
+def test_running_sum_form_equals_frame_form(spark):
+    """Integral targets use prefix sums; they must equal the sliding-frame aggregates."""
+    import random
+    from pyspark.sql import functions as F
+    from zonecast.operators.windows import add_window_features, rolling_columns
+    rnd = random.Random(3)
+    values = {z: [rnd.choice([0, 0, 1, 2, 5, 40, 900]) for _ in range(rnd.randint(1, 60))] for z in range(1, 7)}
+    df = panel(spark, values)
+    windows = (1, 2, 5, 24)
+    fast = add_window_features(df, (1,), windows)
+    slow = df.select("*", *rolling_columns(windows))
+    joined = fast.alias("a").join(slow.alias("b"), ["zone_id", "hour"])
+    for n in windows:
+        for stat in ("mean", "std"):
+            c = f"roll_{stat}_{n}h"
+            diff = joined.where(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+                                & ((F.col(f"a.{c}") - F.col(f"b.{c}")).isNull()
+                                   | (F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > 1e-9)))
+            assert diff.count() == 0, c
+    assert fast.count() == df.count()

@@ -2,14 +2,15 @@
 
 Plan shape (see ``.explain``): the count is a two-phase hash aggregate, so a
 zone holding a third of all trips is already combined map-side before the
-shuffle.  The grid is generated per zone on the executors from a one-row
-bounds aggregate (broadcast; its size is one row by construction).
+shuffle.  The grid is generated per zone on the executors between the global
+first and last step (two scalars from one small aggregate).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.functions.columns import require_columns
 from zonecast.functions.time import floor_time, hour_series
@@ -38,13 +39,47 @@ def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
     return panel
 
 
+# A grid partition holds about this many (key, step) cells; the grid is
+# never spread over fewer partitions than the cluster has cores.
+GRID_ROWS_PER_PARTITION = 1_000_000
+_STEP_SECONDS = {"hour": 3600, "day": 86400, "minute": 60}
+
+
+def grid_stats(panel: DataFrame, *, key: str = "zone_id", time: str = "hour"):
+    """``(first, last, n_keys)`` of a panel in one small aggregate (a driver scalar row)."""
+    r = panel.agg(F.min(time).alias("lo"), F.max(time).alias("hi"),
+                  F.count_distinct(key).alias("n")).first()
+    return r["lo"], r["hi"], r["n"]
+
+
 def grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
-         grain: str = "hour") -> DataFrame:
-    """Observed keys × every step from the global min to max of ``time``."""
-    bounds = panel.agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    keys = panel.select(key).distinct()
-    return (keys.crossJoin(F.broadcast(bounds))
-                .select(key, F.explode(hour_series("_lo", "_hi", grain)).alias(time)))
+         grain: str = "hour", stats=None) -> DataFrame:
+    """Observed keys × every step from the global min to max of ``time``.
+
+    The keys are hash-partitioned into a count sized from the grid's cell
+    count (keys × steps): the grid grows hundreds of times after that
+    shuffle, so letting adaptive execution coalesce it by its (tiny) input
+    size would generate the whole grid in a few tasks.  Each key's steps are
+    generated on the executor that owns the key.
+    """
+    lo, hi, n_keys = stats or grid_stats(panel, key=key, time=time)
+    spark = panel.sparkSession
+    key_type = panel.schema[key].dataType
+    if lo is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(key, key_type),
+                                                       T.StructField(time, panel.schema[time].dataType)]))
+    steps = int((hi - lo).total_seconds() // _STEP_SECONDS[grain]) + 1
+    parts = max(spark.sparkContext.defaultParallelism,
+                -(-n_keys * steps // GRID_ROWS_PER_PARTITION))
+    # repartition *before* the distinct: a by-number shuffle is not coalesced
+    # by adaptive execution, and the distinct reuses its partitioning
+    keys = panel.select(key).repartition(parts, key).distinct()
+    return keys.select(key, F.explode(hour_series(_ntz_literal(lo), _ntz_literal(hi), grain)).alias(time))
+
+
+def _ntz_literal(value) -> "F.Column":
+    """A zone-free TIMESTAMP_NTZ literal (``lit(datetime)`` would be session-zone TIMESTAMP)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def materialized(df: DataFrame, how: str) -> DataFrame:
@@ -67,10 +102,11 @@ def fill_grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
               materialize: str = "checkpoint") -> DataFrame:
     """Left-join a panel onto its complete grid; missing cells get 0.
 
-    The panel feeds three branches (keys, bounds, join side).  Materialising
-    it once means the raw trips are scanned once, not three times.  The grid
-    inherits the zone partitioning of the key aggregate, so the join and any
-    following per-zone window add no grid-sized shuffle.
+    The panel feeds the bounds, the keys and the join side.  Materialising it
+    once means the raw trips are scanned once, not three times.  The grid is
+    hash-partitioned by key, the panel side of the join is shuffled to the
+    same partitioning, so the join and any following per-key window add no
+    grid-sized shuffle.
     """
     require_columns(panel, (key, time, value), "demand panel")
     panel = materialized(panel, materialize)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T  # noqa: F401
 
 from zonecast.functions.columns import positive_ints, require_columns
 
@@ -24,11 +25,13 @@ def lag_columns(lags, *, key="zone_id", time="hour", target="demand"):
 
 
 def rolling_columns(windows, *, key="zone_id", time="hour", target="demand"):
-    """Mean and population std over the *previous* ``w`` records.
+    """Mean and population std over the *previous* ``w`` records (frame form).
 
     The frame ``ROWS BETWEEN w PRECEDING AND 1 PRECEDING`` excludes the
     current row (including it would leak the target).  Partial frames count;
-    the first row of a zone has a null mean and a std of 0.0.
+    the first row of a zone has a null mean and a std of 0.0.  Spark
+    re-aggregates a sliding frame for every row (O(rows × w)); integral
+    targets use :func:`add_window_features`' running-sum form instead.
     """
     w = _spec(key, time)
     cols = []
@@ -40,6 +43,56 @@ def rolling_columns(windows, *, key="zone_id", time="hour", target="demand"):
     return cols
 
 
+def _running_sum_columns(windows, key, time):
+    """Rolling mean / population std from prefix sums, exact for integer counts.
+
+    With ``S``/``Q`` the running sum of ``x``/``x²`` up to the current row
+    (BIGINT) and ``c = min(w, rows before)``, the previous-``w`` window has
+    sum ``S[t-1] - S[t-w-1]`` and population variance ``(c·ΣQ - (ΣS)²) / c²``.
+    The numerator's products are integers below 2^53 for any realistic hourly
+    count, so they are exact in doubles and the result equals the frame form,
+    in O(rows) whatever ``w`` is.
+    """
+    w = _spec(key, time)
+    zero = F.lit(0).cast("bigint")
+    cols = []
+    for n in windows:
+        s = (F.coalesce(F.lag("_rs", 1).over(w), zero) - F.coalesce(F.lag("_rs", n + 1).over(w), zero)
+             ).cast("double")
+        q = (F.coalesce(F.lag("_rq", 1).over(w), zero) - F.coalesce(F.lag("_rq", n + 1).over(w), zero)
+             ).cast("double")
+        c = F.least(F.col("_rn") - 1, F.lit(n)).cast("double")
+        mean = F.when(c > 0, s / c)
+        var = F.greatest(c * q - s * s, F.lit(0.0)) / (c * c)
+        std = F.when(c > 0, F.sqrt(var)).otherwise(F.lit(0.0))
+        cols += [mean.alias(f"roll_mean_{n}h"), std.alias(f"roll_std_{n}h")]
+    return cols
+
+
+def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", time="hour",
+                        target="demand") -> DataFrame:
+    """Lags and rolling statistics in one sorted pass per zone.
+
+    Integral targets (counts) take the running-sum form: one window operator
+    computes prefix sums, a second one the lags and window differences, both
+    on the same exchange and sort.  Other targets use the frame form.
+    """
+    require_columns(df, (key, time, target), "demand panel")
+    lag_cols = lag_columns(lags, key=key, time=time, target=target)
+    if not windows:
+        return df.select("*", *lag_cols)
+    if not isinstance(df.schema[target].dataType, T.IntegralType):
+        return df.select("*", *lag_cols, *rolling_columns(windows, key=key, time=time, target=target))
+    w = _spec(key, time)
+    x = F.col(target).cast("bigint")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    base = df.select("*", F.sum(x).over(running).alias("_rs"),
+                     F.sum(x * x).over(running).alias("_rq"),
+                     F.row_number().over(w).alias("_rn"))
+    return base.select(*[F.col(c) for c in df.columns], *lag_cols,
+                       *_running_sum_columns(windows, key, time))
+
+
 def add_lags(df: DataFrame, lags=(1, 24), *, key="zone_id", time="hour",
              target="demand") -> DataFrame:
     """``lag_{k}h`` = value ``k`` records earlier in the same zone (double).
@@ -54,6 +107,6 @@ def add_lags(df: DataFrame, lags=(1, 24), *, key="zone_id", time="hour",
 
 def add_rolling_features(df: DataFrame, windows=(24,), *, key="zone_id",
                          time="hour", target="demand") -> DataFrame:
+    """``roll_mean_{w}h`` / ``roll_std_{w}h`` over the previous ``w`` records."""
     windows = positive_ints(windows, "windows")
-    require_columns(df, (key, time, target), "demand panel")
-    return df.select("*", *rolling_columns(windows, key=key, time=time, target=target))
+    return add_window_features(df, (), windows, key=key, time=time, target=target)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from zonecast.functions.columns import positive_ints
 from zonecast.operators.calendar import add_calendar_features
 from zonecast.operators.demand import aggregate
-from zonecast.operators.windows import lag_columns, rolling_columns
+from zonecast.operators.windows import add_window_features
 
 DEFAULT_LAGS = (1, 24)
 
@@ -20,16 +20,12 @@ def build_features(trips: DataFrame, lags=None, rolling_windows=None,
 
     Defaults give exactly ``zone_id, hour, demand, lag_1h, lag_24h``.
     ``rolling_windows=None`` skips rolling features; an empty list is an
-    error.  Lags and rolling columns are computed in one ``select`` so they
-    share one window exchange and sort.
+    error.  Lags and rolling columns share one window exchange and sort.
     """
     lags = positive_ints(DEFAULT_LAGS if lags is None else lags, "lags")
     windows = None if rolling_windows is None else positive_ints(rolling_windows, "rolling_windows")
     panel = aggregate(trips, fill_missing_hours=fill_missing_hours, key=key, ts=ts)
-    cols = lag_columns(lags)
-    if windows:
-        cols += rolling_columns(windows)
-    feats = panel.select("*", *cols)
+    feats = add_window_features(panel, lags, windows or ())
     if add_calendar:
         feats = add_calendar_features(feats, holidays)
     return feats

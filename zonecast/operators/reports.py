@@ -123,17 +123,15 @@ def weekday_anomalies(daily: DataFrame, holidays=None, *, date: str = "date",
 def top_zones_share(trips: DataFrame, k: int = 10, *, id_column: str = "PULocationID") -> DataFrame:
     """Busiest pickup zones with their share of all trips.
 
-    The total is a one-row aggregate over the per-zone counts (broadcast; one
-    row by construction), not a global window.
+    The total is a scalar subquery over the per-zone counts (one value; the
+    counts' shuffle is reused), not a global window.
     """
     require_columns(trips, (id_column,), "trip table")
     counts = (trips.where(F.col(id_column).isNotNull())
                    .groupBy(F.col(id_column).cast("bigint").alias("zone_id"))
                    .agg(F.count(F.lit(1)).alias("pickups")))
-    total = counts.agg(F.sum("pickups").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-                  .select("zone_id", "pickups",
-                          (F.col("pickups") / F.col("_total")).alias("share"))
+    total = counts.agg(F.sum("pickups")).scalar()
+    return (counts.select("zone_id", "pickups", (F.col("pickups") / total).alias("share"))
                   .orderBy(F.desc("pickups"), "zone_id").limit(k))
 
 

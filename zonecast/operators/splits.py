@@ -32,30 +32,26 @@ def hour_index(df: DataFrame, time: str = "hour") -> DataFrame:
 
 
 def split_cut(df: DataFrame, train_frac: float = 0.8, time: str = "hour") -> DataFrame:
-    """One row ``cut_hour``: the first test hour, ``hours[max(1, int(n*frac))]``.
+    """At most one row ``cut_hour``: the first test hour, ``hours[max(1, int(n*frac))]``.
 
-    Null when there are fewer than two distinct hours (everything is train).
+    Empty when there are fewer than two distinct hours (everything is train).
     """
     frac = _check_frac(train_frac)
     idx = hour_index(df, time)
     target = F.greatest(F.lit(1), F.floor(F.col("n_hours") * F.lit(frac)).cast("bigint"))
-    cut = idx.where((F.col("n_hours") >= 2) & (F.col("hour_idx") == target)) \
-             .select(F.col(time).alias("cut_hour"))
-    one = df.sparkSession.range(1)
-    return one.join(cut, how="left").select("cut_hour")
+    return idx.where((F.col("n_hours") >= 2) & (F.col("hour_idx") == target)) \
+              .select(F.col(time).alias("cut_hour"))
 
 
 def label_time_split(df: DataFrame, train_frac: float = 0.8, time: str = "hour") -> DataFrame:
     """Add ``split`` = 'train' (hour < cut) or 'test' (hour >= cut).
 
-    The cut is a one-row frame joined by broadcast (its size is one row).
+    The cut is a scalar subquery (one value, null when there is none).
     """
     require_columns(df, (time,), "DataFrame")
-    cut = F.broadcast(split_cut(df, train_frac, time))
-    return (df.crossJoin(cut)
-              .withColumn("split", F.when(F.col("cut_hour").isNull() | (F.col(time) < F.col("cut_hour")),
-                                          F.lit("train")).otherwise(F.lit("test")))
-              .drop("cut_hour"))
+    cut = split_cut(df, train_frac, time).scalar()
+    return df.withColumn("split", F.when(cut.isNull() | (F.col(time) < cut), F.lit("train"))
+                                   .otherwise(F.lit("test")))
 
 
 def time_split(df: DataFrame, train_frac: float = 0.8, time: str = "hour"):
@@ -66,7 +62,8 @@ def time_split(df: DataFrame, train_frac: float = 0.8, time: str = "hour"):
     pass over them (model fits) skips the cut computation.
     """
     require_columns(df, (time,), "DataFrame")
-    cut = split_cut(df, train_frac, time).first()["cut_hour"]
+    row = split_cut(df, train_frac, time).first()
+    cut = None if row is None else row["cut_hour"]
     if cut is None:                      # fewer than two hours: all train
         return df, df.where(F.lit(False))
     return df.where(F.col(time) < F.lit(cut)), df.where(F.col(time) >= F.lit(cut))
@@ -103,22 +100,37 @@ def time_series_cv_split(n_samples: int, n_splits: int = 5):
 def fold_bounds(counts: DataFrame, n_splits: int, n_col: str = "n") -> DataFrame:
     """``(fold, train_end, test_end)`` for the one-row count frame ``counts``.
 
-    Computed on the executors from the count; k rows, broadcast-safe.
+    Computed on the executors from the count; at most ``n_splits`` rows.
     """
     k = _check_cv(n_splits)
-    spark = counts.sparkSession
-    folds = spark.range(k).withColumnRenamed("id", "fold")
     n = F.col(n_col)
-    t = F.greatest(F.lit(1), F.floor(n / F.lit(k + 1))).cast("bigint")
     checked_n = F.when(n < k + 1, F.raise_error(
         F.format_string(f"Need at least n_splits+1={k + 1} samples, got %d.", n))).otherwise(n)
-    b = folds.crossJoin(F.broadcast(counts.select(checked_n.alias("_n"), t.alias("_t"))))
+    t = F.greatest(F.lit(1), F.floor(F.col("_n") / F.lit(k + 1))).cast("bigint")
+    b = counts.select(checked_n.alias("_n")).select("_n", t.alias("_t"),
+                                                    F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"))
     b = b.select("fold", "_t", (F.col("_n") - (F.lit(k) - F.col("fold")) * F.col("_t")).alias("train_end"))
     return (b.where(F.col("train_end") > 0)
              .select(F.col("fold").cast("int").alias("fold"), "train_end",
                      (F.col("train_end") + F.col("_t")).alias("test_end")))
 
 
+def _fold_array(counts: DataFrame, n_splits: int):
+    """The fold bounds as one array value (k structs), for a scalar subquery."""
+    b = fold_bounds(counts, n_splits)
+    return b.agg(F.sort_array(F.collect_list(F.struct("fold", "train_end", "test_end"))).alias("b")).scalar()
+
+
+def _assign_folds(df: DataFrame, pos: str, bounds) -> DataFrame:
+    """Each row once per fold whose test end lies after it; no join."""
+    withb = df.withColumn("_b", bounds)
+    mine = F.filter(F.col("_b"), lambda b: F.col(pos) < b["test_end"])
+    out = withb.select("*", F.explode(mine).alias("_f")).drop("_b")
+    return out.select(*[c for c in out.columns if c != "_f"], F.col("_f.fold").alias("fold"),
+                      F.when(F.col(pos) < F.col("_f.train_end"), F.lit("train"))
+                       .otherwise(F.lit("test")).alias("role"))
+
+
 def with_positions(df: DataFrame, order_cols, *, pos_col: str = "pos",
                    materialize: str = "checkpoint") -> DataFrame:
     """Add a 0-based global position in ``order_cols`` order (keys must be unique).
@@ -149,28 +161,24 @@ def cv_folds(df: DataFrame, n_splits: int = 5, order_cols=("zone_id", "hour"), *
     """Each row once per fold it takes part in, with ``fold`` and ``role``.
 
     Positions follow ``order_cols``; fold ``i`` trains on positions
-    ``[0, train_end)`` and tests on ``[train_end, test_end)``.
+    ``[0, train_end)`` and tests on ``[train_end, test_end)``.  The k fold
+    bounds travel as one array value (a scalar subquery); each row picks its
+    folds from it.
     """
+    k = _check_cv(n_splits)
     pos = with_positions(df, order_cols, materialize=materialize)
-    counts = pos.agg(F.count(F.lit(1)).alias("n"))
-    bounds = F.broadcast(fold_bounds(counts, n_splits))
-    j = pos.join(bounds, F.col("pos") < F.col("test_end"))
-    return j.select(*df.columns, "pos", "fold",
-                    F.when(F.col("pos") < F.col("train_end"), F.lit("train"))
-                     .otherwise(F.lit("test")).alias("role"))
+    bounds = _fold_array(pos.agg(F.count(F.lit(1)).alias("n")), k)
+    return _assign_folds(pos, "pos", bounds).select(*df.columns, "pos", "fold", "role")
 
 
 def cv_folds_by_hour(df: DataFrame, n_splits: int = 5, time: str = "hour") -> DataFrame:
     """Panel-safe folds: the expanding-window rule applied to distinct hours.
 
-    No hour is in two roles of one fold.  Rows are labelled through a join
-    with the (distinct-hours-sized) hour table.
+    No hour is in two roles of one fold.  Rows are labelled through an
+    equi-join with the (distinct-hours-sized) labelled hour table.
     """
+    k = _check_cv(n_splits)
     idx = hour_index(df, time)
-    counts = idx.agg(F.count(F.lit(1)).alias("n"))
-    bounds = F.broadcast(fold_bounds(counts, n_splits))
-    labelled = (idx.join(bounds, F.col("hour_idx") < F.col("test_end"))
-                   .select(time, "hour_idx", "fold",
-                           F.when(F.col("hour_idx") < F.col("train_end"), F.lit("train"))
-                            .otherwise(F.lit("test")).alias("role")))
+    bounds = _fold_array(idx.agg(F.count(F.lit(1)).alias("n")), k)
+    labelled = _assign_folds(idx, "hour_idx", bounds).select(time, "hour_idx", "fold", "role")
     return df.join(labelled, time)

@@ -25,9 +25,8 @@ def lag_feature_frame(trips: DataFrame, lags=(1, 24)) -> DataFrame:
 
 
 def last_hour_rows(df: DataFrame, time: str = "hour") -> DataFrame:
-    """Rows at the latest hour (one-row max, broadcast)."""
-    last = df.agg(F.max(time).alias("_last"))
-    return df.join(F.broadcast(last), F.col(time) == F.col("_last")).drop("_last")
+    """Rows at the latest hour (the max is a scalar subquery)."""
+    return df.where(F.col(time) == df.agg(F.max(time)).scalar())
 
 
 def top_k_forecast(model, rows: DataFrame, dim: DataFrame | None = None,

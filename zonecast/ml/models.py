@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns, require_numeric
+from zonecast.session import checkpoint_dir
 
 # Model names and hyper-parameters.
 SUPPORTED_MODELS = ("linear", "ridge", "random_forest")
@@ -84,9 +85,13 @@ class ModelSpec:
             return LinearRegression(solver="normal", regParam=reg, elasticNetParam=0.0,
                                     fitIntercept=True, standardization=self.scaler, **common)
         if self.name == "random_forest":
+            # node ids are cached between level passes instead of re-walking
+            # each tree from the root; their lineage is cut every 10 passes
+            # into the shared checkpoint folder
             return RandomForestRegressor(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH,
                                          seed=self.random_state, featureSubsetStrategy="all",
-                                         maxBins=FOREST_MAX_BINS, **common)
+                                         maxBins=FOREST_MAX_BINS, cacheNodeIds=True,
+                                         checkpointInterval=10, **common)
         raise ValueError(f"Unknown model {self.name!r}; supported: {SUPPORTED_MODELS}")
 
     def fit(self, df: DataFrame) -> PipelineModel:
@@ -101,6 +106,7 @@ class ModelSpec:
 
     def fit_prepared(self, rows: DataFrame, n: int, y_std: float) -> PipelineModel:
         """Fit on rows already cleaned by :func:`training_rows` and summarised."""
+        checkpoint_dir(rows.sparkSession)
         pipe = Pipeline(stages=[_assembler(self.features), self._regressor(n, y_std)])
         return pipe.fit(rows)
 

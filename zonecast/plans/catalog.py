@@ -458,6 +458,31 @@ def q_model_comparison(spark, sf_dir):
     return round_doubles(model_comparison(multi, test))
 
 
+_RIDGE_BETA_SQL = f""",
+  z AS (SELECT n, my, m1, m2, sqrt(s11) AS d1, sqrt(s22) AS d2, s12 / sqrt(s11 * s22) AS r,
+               s1y / sqrt(s11) AS c1, s2y / sqrt(s22) AS c2, 1 + {_RIDGE_ALPHA} / n AS a FROM st),
+  rb AS (SELECT (a * c1 - r * c2) / (a * a - r * r) / d1 AS b1,
+                (a * c2 - r * c1) / (a * a - r * r) / d2 AS b2, my, m1, m2 FROM z),
+  rcoef AS (SELECT my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM rb)"""
+
+
+@register("model_comparison_linear", FEATS_SQL + _OLS_SQL + _RIDGE_BETA_SQL + """,
+  scored AS (SELECT t.demand, t.lag_24h, c.b0 + c.b1 * t.lag_1h + c.b2 * t.lag_24h AS p_lin,
+                    r.b0 + r.b1 * t.lag_1h + r.b2 * t.lag_24h AS p_ridge
+             FROM test t, coef c, rcoef r)
+  SELECT 'linear' AS model, round(avg(abs(demand - p_lin)), 6) AS mae,
+         round(sqrt(avg((demand - p_lin) * (demand - p_lin))), 6) AS rmse FROM scored
+  UNION ALL SELECT 'ridge', round(avg(abs(demand - p_ridge)), 6),
+         round(sqrt(avg((demand - p_ridge) * (demand - p_ridge))), 6) FROM scored
+  UNION ALL SELECT 'baseline-lag24', round(avg(abs(demand - lag_24h)), 6),
+         round(sqrt(avg((demand - lag_24h) * (demand - lag_24h))), 6) FROM scored""")
+def q_model_comparison_linear(spark, sf_dir):
+    """The closed-form part of the comparison table, scored on the same test rows."""
+    train, test = _train_test(spark, sf_dir)
+    multi = MultiModelForecaster(model_names=["linear", "ridge"]).fit(train)
+    return round_doubles(model_comparison(multi, test).select("model", "mae", "rmse"))
+
+
 # ---------------------------------------------------------------- reports ---
 
 from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,  # noqa: E402

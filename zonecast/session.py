@@ -65,18 +65,23 @@ def get_session(master: str | None = None, app: str = "zonecast",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder named by the session.
 
     A cluster names a shared, fault-tolerant folder in ``spark.checkpoint.dir``;
-    we never override it.  Only when the setting is missing (local tests) do
-    we fall back to a fresh folder under the system temp directory.
+    we never override it.  Only a ``local`` master without the setting (tests,
+    a laptop) falls back to a fresh folder under the system temp directory; on
+    a cluster a missing setting is an error, because a machine-local folder
+    would not be readable by other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object "
+                               "storage); zonecast cuts lineage with reliable checkpoints")
         conf_dir = tempfile.mkdtemp(prefix="zonecast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -43,9 +43,10 @@ def test_bad_train_frac(spark, bad):
 
 def test_cv_formula():
     folds = list(time_series_cv_split(24, 3))
-    assert [(tr.stop, te.start, te.stop) for tr, te in folds] == [(6, 6, 12), (12, 12, 18), (18, 18, 24)]
+    assert [(len(tr), te[0], te[-1] + 1) for tr, te in folds] == [(6, 6, 12), (12, 12, 18), (18, 18, 24)]
     folds = list(time_series_cv_split(10, 3))
-    assert [tr.stop for tr, _ in folds] == [4, 6, 8] and all(len(te) == 2 for _, te in folds)
+    assert [len(tr) for tr, _ in folds] == [4, 6, 8] and all(len(te) == 2 for _, te in folds)
+    assert all(tr[-1] < te[0] for tr, te in folds)
     assert [len(te) for _, te in time_series_cv_split(3, 2)] == [1, 1]
     for n, k in [(2, 5), (5, 1), (0, 2), (3.5, 2)]:
         with pytest.raises(ValueError):
@@ -67,8 +68,8 @@ def test_cv_folds_on_frame_match_positions(spark):
            folds.groupBy("fold", "role").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"),
                                              F.count("*").alias("n")).collect()}
     for i, (tr, te) in enumerate(time_series_cv_split(24, 3)):
-        assert got[(i, "train")] == (tr.start, tr.stop - 1, len(tr))
-        assert got[(i, "test")] == (te.start, te.stop - 1, len(te))
+        assert got[(i, "train")] == (tr[0], tr[-1], len(tr))
+        assert got[(i, "test")] == (te[0], te[-1], len(te))
 
 
 def test_cv_by_hour_never_mixes_roles(spark):

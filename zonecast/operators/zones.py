@@ -41,6 +41,10 @@ class ZoneResolver:
         self.dim = one_row_per_id(dim) if dedupe else dim.select(*EXPECTED_COLUMNS)
         self.small = self.dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
 
+    def known_ids(self) -> DataFrame:
+        """The valid ids (one ``LocationID`` column)."""
+        return self.dim.select("LocationID")
+
     def _side(self, df: DataFrame) -> DataFrame:
         return F.broadcast(df) if self.small else df
 

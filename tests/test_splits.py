@@ -84,3 +84,21 @@ def test_cv_by_hour_never_mixes_roles(spark):
 def test_cv_too_few_rows_fails(spark):
     with pytest.raises(Exception, match="n_splits"):
         cv_folds(hours_frame(spark, 3), 5).collect()
+
+
+def test_split_cut_is_zone_free(spark):
+    """The fetched cut must not shift with the Python process's local time zone."""
+    import os
+    import time as _time
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    _time.tzset()
+    try:
+        train, test = time_split(hours_frame(spark, 100), 0.7)
+        assert (train.count(), test.count()) == (70, 30)
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        _time.tzset()

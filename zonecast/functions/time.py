@@ -47,3 +47,14 @@ def hour_series(lo: Column | str, hi: Column | str, grain: str = "hour") -> Colu
     return F.sequence(F.col(lo) if isinstance(lo, str) else lo,
                       F.col(hi) if isinstance(hi, str) else hi,
                       F.expr(f"INTERVAL {grain_interval(grain)}"))
+
+
+def ntz_literal(value) -> Column:
+    """A zone-free TIMESTAMP_NTZ literal for a Python datetime or date.
+
+    ``lit(datetime)`` builds a session-zone TIMESTAMP from the *Python
+    process's* local zone, which shifts wall-clock values when compared with
+    TIMESTAMP_NTZ columns; casting the ISO text keeps the value as written.
+    """
+    text = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(text).cast("timestamp_ntz")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.functions.columns import require_columns
-from zonecast.functions.time import floor_time, hour_series
+from zonecast.functions.time import floor_time, hour_series, ntz_literal
 from zonecast.session import checkpoint_dir
 
 
@@ -74,12 +74,7 @@ def grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
     # repartition *before* the distinct: a by-number shuffle is not coalesced
     # by adaptive execution, and the distinct reuses its partitioning
     keys = panel.select(key).repartition(parts, key).distinct()
-    return keys.select(key, F.explode(hour_series(_ntz_literal(lo), _ntz_literal(hi), grain)).alias(time))
-
-
-def _ntz_literal(value) -> "F.Column":
-    """A zone-free TIMESTAMP_NTZ literal (``lit(datetime)`` would be session-zone TIMESTAMP)."""
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return keys.select(key, F.explode(hour_series(ntz_literal(lo), ntz_literal(hi), grain)).alias(time))
 
 
 def materialized(df: DataFrame, how: str) -> DataFrame:

@@ -36,19 +36,32 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app="zonecast-bench", shuffle_partitions=int(cpus),
                         extra={"spark.driver.memory": "16g"})
     run(catalog.QUERIES["hourly_demand"](spark, sf_dir))          # warm-up (JIT, file listing)
-    times = {}
-    for name in HEADLINE:
+    times, failed = {}, {}
+
+    def timed(name, fn):
         t0 = time.perf_counter()
-        run(catalog.QUERIES[name](spark, sf_dir))
-        times[name] = round(time.perf_counter() - t0, 3)
-    t0 = time.perf_counter()
-    rep = forecast_report(catalog.clean_events(spark, sf_dir), catalog.zone_dim(spark, sf_dir))
-    for df in (rep.metrics, rep.model_table, rep.top_k):
-        run(df)
-    times["end_to_end"] = round(time.perf_counter() - t0, 3)
+        try:
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - record and keep benchmarking the rest
+            times[name] = None
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+
+    for name in HEADLINE:
+        timed(name, lambda n=name: run(catalog.QUERIES[n](spark, sf_dir)))
+
+    def end_to_end():
+        rep = forecast_report(catalog.clean_events(spark, sf_dir), catalog.zone_dim(spark, sf_dir))
+        for df in (rep.metrics, rep.model_table, rep.top_k):
+            run(df)
+    timed("end_to_end", end_to_end)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "total_query_seconds",
+           "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 

@@ -26,6 +26,8 @@ def test_entry_runs(spark):
     assert df.columns[:3] == ["zone_id", "hour", "demand"] and df.count() > 0
 
 
+TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -43,6 +45,10 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     con = duck
     sdf = E.queries()[name](spark, SF)
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
     cur = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)

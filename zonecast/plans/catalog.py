@@ -14,14 +14,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.functions.holidays import holiday_table_for
+from zonecast.functions.metrics import metric_columns
+from zonecast.ml.evaluate import evaluate_model, model_comparison, naive_baseline
+from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster
+from zonecast.ml.models import linear_coefficients, make_pipeline
+from zonecast.operators import links as L
 from zonecast.operators.calendar import add_calendar_features
 from zonecast.operators.cleaning import clean_report, clean_trips
-from zonecast.operators.demand import aggregate
+from zonecast.operators.demand import aggregate, materialized
+from zonecast.operators.groups import apply_per_zone
+from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,
+                                        demand_heatmap, forecast_vs_actual, top_zones,
+                                        top_zones_share, weekday_anomalies, weekday_zscore,
+                                        zone_totals)
+from zonecast.operators.splits import cv_folds, cv_folds_by_hour, label_time_split, time_split
 from zonecast.operators.windows import add_lags, add_rolling_features
+from zonecast.operators.zones import ZoneResolver, borough_demand, zones_without_demand
 from zonecast.plans import sql_oracle as S
 from zonecast.plans.features import build_features
+from zonecast.plans.forecast import lag_feature_frame, top_k_forecast
 from zonecast.session import configure
-from zonecast.sources.trips import read_events_trips
+from zonecast.sources.trips import read_events_trips, schema_profile
+from zonecast.sources.zones import zone_dim_from_tables
 
 NUM_ZONES = S.NUM_ZONES     # SQL form of the zone universe, see zone_universe()
 
@@ -224,10 +238,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ zones ---
 
-from zonecast.operators.zones import (ZoneResolver, borough_demand,  # noqa: E402
-                                      zones_without_demand)
-from zonecast.sources.zones import zone_dim_from_tables  # noqa: E402
-
 
 def zone_dim(spark, sf_dir):
     return zone_dim_from_tables(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation"),
@@ -297,10 +307,6 @@ def q_borough_demand(spark, sf_dir):
 
 # ----------------------------------------------------------------- splits ---
 
-from zonecast.operators.splits import (cv_folds, cv_folds_by_hour,  # noqa: E402
-                                       label_time_split)
-from zonecast.operators.demand import materialized  # noqa: E402
-from zonecast.plans.forecast import lag_feature_frame  # noqa: E402
 
 _FEATS_SQL = (", feats AS (SELECT zone_id, hour, demand,"
               " CAST(lag(demand, 1) OVER w AS DOUBLE) AS lag_1h,"
@@ -373,12 +379,6 @@ def q_cv_folds_by_hour(spark, sf_dir):
 
 # ---------------------------------------------------------------- metrics ---
 
-from zonecast.functions.metrics import metric_columns  # noqa: E402
-from zonecast.ml.evaluate import evaluate_model, model_comparison, naive_baseline  # noqa: E402
-from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster  # noqa: E402
-from zonecast.ml.models import make_pipeline, linear_coefficients  # noqa: E402
-from zonecast.operators.splits import time_split  # noqa: E402
-
 
 def _metric_sql(y: str, p: str, prefix: str, with_mape: bool = True) -> str:
     sql = (f"round(avg(abs({y} - {p})), 6) AS {prefix}mae, "
@@ -485,13 +485,6 @@ def q_model_comparison_linear(spark, sf_dir):
 
 # ---------------------------------------------------------------- reports ---
 
-from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,  # noqa: E402
-                                        demand_heatmap, forecast_vs_actual, top_zones,
-                                        top_zones_share, weekday_anomalies, weekday_zscore,
-                                        zone_totals)
-from zonecast.plans.forecast import top_k_forecast  # noqa: E402
-from zonecast.sources.trips import schema_profile  # noqa: E402
-
 
 @register("topk_forecast", FEATS_SQL + _OLS_SQL + ", " + _DIM_SQL + ", " + _DIM1_SQL + """,
   last AS (SELECT * FROM complete WHERE hour = (SELECT max(hour) FROM complete)),
@@ -615,7 +608,6 @@ def q_schema_profile(spark, sf_dir):
 
 # ------------------------------------------------------------------ links ---
 
-from zonecast.operators import links as L  # noqa: E402
 
 _PAGE_HREF_SQL = r"""WITH cleaned AS (SELECT page_id,
     regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
@@ -652,8 +644,6 @@ def q_page_links_filtered(spark, sf_dir):
 
 # ----------------------------------------------------------------- groups ---
 
-from zonecast.operators.groups import apply_per_zone  # noqa: E402
-
 
 def _center_demand_fn():
     # built as a closure so cloudpickle ships it by value: the Python workers

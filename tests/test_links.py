@@ -2,7 +2,7 @@ import pytest
 
 from zonecast.operators.links import (anchor_hrefs, extract_trip_data_links, filter_links, sort_links)
 
-BASE = "https://d37ci6vzurychx.cloudfront.net/trip-data"
+BASE = "https://files.example.org/trip-data"
 
 
 def pages(spark, *htmls):

@@ -97,11 +97,13 @@ class ModelSpec:
     def fit(self, df: DataFrame) -> PipelineModel:
         """Fit on rows complete in the features.
 
-        The rows are cached for the duration of the fit (the solvers make
-        several passes) and one aggregate gives the row count — the
-        empty-set check — and, for ridge, the label spread of the penalty.
+        One aggregate gives the row count — the empty-set check — and, for
+        ridge, the label spread of the penalty.  The normal-equation solvers
+        then need one more pass; only the forest, which passes over the rows
+        once per tree level, gets them spread out and cached first.
         """
-        with _prepared(df, self.features, self.target) as (rows, n, y_std):
+        many_passes = self.name == "random_forest"
+        with _prepared(df, self.features, self.target, cache=many_passes) as (rows, n, y_std):
             return self.fit_prepared(rows, n, y_std)
 
     def fit_prepared(self, rows: DataFrame, n: int, y_std: float) -> PipelineModel:
@@ -119,18 +121,19 @@ RESIZE_MAX_ROWS = 50_000_000
 
 
 class _prepared:
-    """Context: cleaned, cached training rows with their count and label std.
+    """Context: cleaned training rows with their count and label std.
 
     One aggregate gives the row count (the empty-set check) and the label's
-    population std (the ridge penalty scale).  Small sets are spread over
-    the cluster before caching: adaptive execution coalesces a small shuffle
-    into very few partitions, which would leave the solvers' many passes on
-    a single core.
+    population std (the ridge penalty scale).  With ``cache`` (multi-pass
+    solvers) the rows are cached, and small sets are first spread over the
+    cluster: adaptive execution coalesces a small shuffle into very few
+    partitions, which would leave every pass on a single core.
     """
 
-    def __init__(self, df: DataFrame, features, target):
+    def __init__(self, df: DataFrame, features, target, *, cache: bool = True):
         self.features, self.target = list(features), target
         self.rows = training_rows(df, features, target)
+        self.cache = cache
         self.cached = None
 
     def __enter__(self):
@@ -141,6 +144,8 @@ class _prepared:
             raise ValueError("training set is empty after dropping rows with missing "
                              f"features {self.features}")
         rows = self.rows
+        if not self.cache:
+            return rows, n, stats["s"]
         if n <= RESIZE_MAX_ROWS:
             par = rows.sparkSession.sparkContext.defaultParallelism
             rows = rows.repartition(max(1, min(par, -(-n // ROWS_PER_FIT_PARTITION))))

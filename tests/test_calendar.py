@@ -57,3 +57,9 @@ def test_calendar_sizes(spark):
     # observed-date rules: Sat -> Fri, Sun -> Mon, across the year boundary
     assert {"2021-12-31", "2021-12-24", "2022-06-20", "2023-11-10", "2026-07-03"} <= dates
     assert "2020-06-19" not in dates                 # Juneteenth only from 2021
+
+
+def test_rule_calendars_have_unique_dates(spark):
+    for cal in ("federal", "state"):
+        t = holiday_table(spark, cal, 1990, 2060)
+        assert t.count() == t.select("holiday_date").distinct().count()

@@ -119,8 +119,10 @@ def holiday_dates(spark: SparkSession, holidays=None) -> DataFrame:
     if holidays is None:
         holidays = "federal"
     if isinstance(holidays, str):
-        df = holiday_table(spark, holidays).select("holiday_date")
-    elif isinstance(holidays, DataFrame):
+        # rule-generated dates are unique by construction (no two rules can
+        # land on the same day; tested over a wide year range): no distinct
+        return holiday_table(spark, holidays).select("holiday_date")
+    if isinstance(holidays, DataFrame):
         col = "holiday_date" if "holiday_date" in holidays.columns else holidays.columns[0]
         df = holidays.select(F.to_date(F.col(col)).alias("holiday_date"))
     elif isinstance(holidays, Iterable):

@@ -118,3 +118,19 @@ def test_legacy_artifact_keeps_constructor_columns(feats, tmp_path):
     other = DemandForecaster(feature_columns=("lag_1h", "lag_24h"), target_column="demand")
     other.load(str(tmp_path / "old"))
     assert other.feature_columns == ["lag_1h", "lag_24h"] and other.target_column == "demand"
+
+
+def test_duck_typed_model_and_numeric_guard(spark, feats):
+    from pyspark.sql import functions as F
+
+    class Persistence:                      # any object with feature_columns + predict
+        feature_columns = ["lag_1h"]
+
+        def predict(self, df):
+            return df.withColumn("prediction", F.col("lag_1h"))
+
+    r = evaluate_model(Persistence(), feats).first()
+    want = feats.agg(F.avg(F.abs(F.col("demand") - F.col("lag_1h")))).first()[0]
+    assert r.model_mae == pytest.approx(want)
+    with pytest.raises(ValueError, match="numeric"):
+        DemandForecaster(feature_columns=("lag_1h", "label")).fit(feats.withColumn("label", F.lit("x")))

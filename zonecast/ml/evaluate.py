@@ -24,13 +24,15 @@ def evaluate_model(model, df: DataFrame, *, include_mape: bool = False,
 
     Rows missing any model feature, the baseline or the target are dropped
     once, then model and baseline are scored on exactly those rows, all
-    metrics in a single aggregate.  ``model`` needs ``feature_columns`` and
-    ``transform`` (``target_column`` defaults to ``demand``).
+    metrics in a single aggregate.  ``model`` needs ``feature_columns`` and a
+    ``transform`` or ``predict`` method returning the rows with a
+    ``prediction`` column (``target_column`` defaults to ``demand``).
     """
     target = getattr(model, "target_column", "demand")
     required = list(dict.fromkeys(list(model.feature_columns) + [BASELINE_COLUMN, target]))
     require_columns(df, required, "evaluation frame")
-    rows = model.transform(df.dropna(subset=required))
+    score = getattr(model, "transform", None) or model.predict
+    rows = score(df.dropna(subset=required))
     y, p, b = F.col(target), F.col("prediction"), F.col(BASELINE_COLUMN)
     cols = [mae(y, p).alias("model_mae"), rmse(y, p).alias("model_rmse"),
             mae(y, b).alias("baseline_mae"), rmse(y, b).alias("baseline_rmse")]

@@ -39,3 +39,26 @@ def test_append_emits_only_closed_hours(spark, tmp_path):
     got = spark.read.parquet(out)
     assert {r.hour.hour for r in got.collect()} == {0, 1, 2, 3}
     assert {r.demand for r in got.collect()} == {2}
+
+
+def test_late_rows_after_the_watermark_are_dropped(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write(spark, src, range(3))
+    q = start_hourly_demand(spark.readStream.schema(SCHEMA).parquet(src), out, str(tmp_path / "ck"),
+                            trigger_seconds=None)
+    q.processAllAvailable()
+    _write(spark, src, [12])          # watermark moves to 11:00; hours 0..2 are emitted and closed
+    q.processAllAvailable()
+    q.processAllAvailable()
+    _write(spark, src, [1])           # late: hour 1 again, behind the watermark
+    q.processAllAvailable()
+    _write(spark, src, [20])          # move the watermark again
+    q.processAllAvailable()
+    q.processAllAvailable()
+    q.stop()
+    rows = spark.read.parquet(out).collect()
+    per_cell = {}
+    for r in rows:
+        per_cell[(r.zone_id, r.hour)] = per_cell.get((r.zone_id, r.hour), 0) + 1
+    assert all(n == 1 for n in per_cell.values())            # each closed hour emitted once
+    assert {r.demand for r in rows if r.hour.hour == 1} == {2}   # the late rows did not change it

@@ -12,10 +12,10 @@ from zonecast.sources.trips import (NUM_TAXI_ZONES, REQUIRED_COLUMNS, load, mont
                                     read_months, read_raw, schema_profile)
 from zonecast.sources.zones import EXPECTED_COLUMNS, load_zone_lookup
 from zonecast.operators.cleaning import clean_report, clean_trips
-from zonecast.operators.demand import aggregate, fill_grid, hour_bounds
-from zonecast.operators.windows import add_lags, add_rolling_features
+from zonecast.operators.demand import aggregate, fill_grid, grid, hour_bounds
+from zonecast.operators.windows import add_lags, add_rolling_features, add_window_features
 from zonecast.operators.calendar import add_calendar_features
-from zonecast.functions.holidays import holiday_table
+from zonecast.functions.holidays import holiday_dates, holiday_table, holiday_table_for
 from zonecast.functions.metrics import mae, mape, regression_metrics, rmse
 from zonecast.operators.zones import ZoneResolver, borough_demand, zones_without_demand
 from zonecast.operators.splits import (cv_folds, cv_folds_by_hour, label_time_split,
@@ -25,12 +25,14 @@ from zonecast.operators.links import (SUPPORTED_TAXI_TYPES, TRIP_LINK_SCHEMA, ex
 from zonecast.operators.groups import apply_per_zone
 from zonecast.operators.reports import (column_profile, daily_counts, daily_summary,
                                         demand_heatmap, forecast_vs_actual, top_zones,
-                                        top_zones_share, weekday_anomalies, weekday_zscore)
+                                        top_zones_share, weekday_anomalies, weekday_zscore,
+                                        zone_totals)
 from zonecast.ml.models import (DEFAULT_FEATURE_COLUMNS, DEFAULT_RANDOM_STATE, SUPPORTED_MODELS,
                                 make_pipeline, train_models)
 from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster
 from zonecast.ml.evaluate import evaluate_model, model_comparison, naive_baseline
 from zonecast.plans.features import build_features
 from zonecast.plans.forecast import forecast_report, top_k_forecast
+from zonecast.streaming.hourly import hourly_demand_stream, start_hourly_demand
 
 __version__ = "0.1.0"

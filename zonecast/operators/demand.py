@@ -26,7 +26,9 @@ def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
 
     Rows with a null key or time are not counted.  With
     ``fill_missing_hours=True`` every observed zone gets every step between
-    the *global* first and last step, missing cells count 0.
+    the *global* first and last step, missing cells count 0; that path runs
+    one job up front (the panel is checkpointed and its bounds fetched, see
+    :func:`fill_grid`; ``materialize="none"`` keeps it lazy).
     """
     require_columns(trips, (key, ts), "trip table")
     panel = (trips.where(F.col(key).isNotNull() & F.col(ts).isNotNull())

@@ -26,9 +26,10 @@ def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
 
     Rows with a null key or time are not counted.  With
     ``fill_missing_hours=True`` every observed zone gets every step between
-    the *global* first and last step, missing cells count 0; that path runs
-    one job up front (the panel is checkpointed and its bounds fetched, see
-    :func:`fill_grid`; ``materialize="none"`` keeps it lazy).
+    the *global* first and last step, missing cells count 0.  That path runs
+    two small jobs up front: the panel checkpoint and the fetch of its bounds
+    (see :func:`fill_grid`; ``materialize="none"`` skips the checkpoint, and
+    each branch then re-reads the input).
     """
     require_columns(trips, (key, ts), "trip table")
     panel = (trips.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
@@ -113,6 +114,6 @@ def fill_grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
 
 
 def hour_bounds(panel: DataFrame, time: str = "hour") -> DataFrame:
-    """One row: first and last step, number of distinct steps and keys."""
+    """One row: first and last step and the number of distinct steps."""
     return panel.agg(F.min(time).alias("first_hour"), F.max(time).alias("last_hour"),
                      F.count_distinct(time).alias("n_hours"))

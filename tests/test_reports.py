@@ -2,8 +2,9 @@ import datetime as dt
 
 import pytest
 
-from zonecast.operators.reports import (column_profile, daily_summary, demand_heatmap, top_zones,
-                                        top_zones_share, weekday_zscore)
+from zonecast.operators.reports import (column_profile, daily_summary, demand_heatmap,
+                                        forecast_vs_actual, top_zones, top_zones_share,
+                                        weekday_zscore)
 
 # Published daily pickup totals of one month (January 2026),
 # used as the golden input for the weekday anomaly report.
@@ -66,3 +67,16 @@ def test_column_profile(spark):
     df = spark.createDataFrame([(1,), (0,), (None,), (300,), (1,)], "PULocationID bigint")
     r = column_profile(df, ["PULocationID"], lo=1, hi=265).first()
     assert (r.null_count, r.min_value, r.max_value, r.n_distinct, r.out_of_range) == (1, "0", "300", 3, 2)
+
+
+def test_forecast_vs_actual_one_zone_in_hour_order(spark):
+    from zonecast.ml.forecaster import DemandForecaster
+    start = dt.datetime(2026, 1, 1)
+    rows = [(z, start + dt.timedelta(hours=h), float(h % 5 + z), float((h - 1) % 5 + z), float(h % 3))
+            for z in (1, 2) for h in range(40)]
+    df = spark.createDataFrame(rows, "zone_id bigint, hour timestamp_ntz, demand double, "
+                                     "lag_1h double, lag_24h double").repartition(3)
+    m = DemandForecaster().fit(df)
+    out = forecast_vs_actual(df, m, 2).collect()
+    assert len(out) == 40 and [r.hour for r in out] == sorted(r.hour for r in out)
+    assert set(out[0].asDict()) == {"hour", "demand", "prediction"}

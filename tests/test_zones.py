@@ -89,6 +89,7 @@ def test_membership(spark, lookup_path):
 
 def test_borough_rollup(spark, lookup_path):
     panel = spark.createDataFrame([(1, ts("2026-01-01 08:00"), 4), (3, ts("2026-01-01 08:00"), 6),
-                                   (2, ts("2026-01-01 08:00"), 1)], "zone_id bigint, hour timestamp_ntz, demand bigint")
+                                   (2, ts("2026-01-01 08:00"), 1), (999, ts("2026-01-01 08:00"), 5)],
+                                  "zone_id bigint, hour timestamp_ntz, demand bigint")
     out = {r.borough: r.demand for r in borough_demand(panel, load_zone_lookup(spark, lookup_path)).collect()}
-    assert out == {"EWR": 4, "Bronx": 6, "Queens": 1}
+    assert out == {"EWR": 4, "Bronx": 6, "Queens": 1, None: 5}

@@ -601,7 +601,21 @@ def q_column_profile(spark, sf_dir):
                           lo=1, hi=zone_universe(spark, sf_dir))
 
 
-@register("schema_profile")
+_EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@register("schema_profile", f"""WITH cols AS (
+    SELECT CAST(ordinal_position - 1 AS INTEGER) AS ordinal, column_name AS name,
+           CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+                          WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                          WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+                          ELSE lower(data_type) END AS type
+    FROM information_schema.columns WHERE table_name = 'events'),
+  counts AS (SELECT count(*) AS n_rows,
+             {", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in _EVENT_COLUMNS)}
+             FROM events),
+  nulls AS (UNPIVOT counts ON {", ".join(f'"{c}"' for c in _EVENT_COLUMNS)} INTO NAME name VALUE n_nulls)
+  SELECT c.ordinal, c.name, c.type, n.n_rows, n.n_nulls FROM cols c JOIN nulls n ON c.name = n.name""")
 def q_schema_profile(spark, sf_dir):
     return schema_profile(table(spark, sf_dir, "events"), with_counts=True)
 

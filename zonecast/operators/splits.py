@@ -28,9 +28,9 @@ def _check_frac(train_frac: float) -> float:
 def hour_index(df: DataFrame, time: str = "hour") -> DataFrame:
     """Distinct hours with their 0-based rank and the number of distinct hours."""
     hours = df.select(time).where(F.col(time).isNotNull()).distinct()
-    w = Window.orderBy(time)
-    return hours.select(time, (F.row_number().over(w) - 1).alias("hour_idx"),
-                        F.count(F.lit(1)).over(Window.partitionBy()).alias("n_hours"))
+    n_hours = hours.agg(F.count(F.lit(1))).scalar()
+    return hours.select(time, (F.row_number().over(Window.orderBy(time)) - 1).alias("hour_idx"),
+                        n_hours.alias("n_hours"))
 
 
 def split_cut(df: DataFrame, train_frac: float = 0.8, time: str = "hour") -> DataFrame:

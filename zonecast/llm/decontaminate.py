@@ -31,14 +31,14 @@ def _winnow(gram: np.ndarray, row: np.ndarray, word_row_end: np.ndarray, k: int,
     n = len(gram) - w + 1
     if n <= 0:
         return _NOTHING
-    bits = np.uint64(26)
+    bits = np.uint64(32)
     keyed = (gram >> bits << bits) | np.arange(len(gram), dtype=np.uint64)
     low = keyed[:n].copy()
     for j in range(1, w):
         np.minimum(low, keyed[j:j + n], out=low)
     at = np.arange(n)
     whole = at + w + k - 1 <= word_row_end[row[:n]]
-    return np.unique((low[whole] & np.uint64((1 << 26) - 1)).astype(np.int64))
+    return np.unique((low[whole] & np.uint64((1 << 32) - 1)).astype(np.int64))
 
 
 def _context(word: np.ndarray, at: np.ndarray, row: np.ndarray, first: np.ndarray, last: np.ndarray,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonecast.llm.decontaminate import contamination
 from zonecast.llm.near_dup import near_duplicates
 from zonecast.llm.shared import ship_package
+from zonecast.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,6 +61,13 @@ def op1_decontaminate(spark, sf_dir):
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_near_duplicates", r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm.decontaminate import contamination
+from zonecast.llm.mixing import mix
 from zonecast.llm.near_dup import near_duplicates
-from zonecast.llm.shared import ship_package
+from zonecast.llm.shared import shared_path, ship_package
 from zonecast.llm.suffix_dedup import remove_repeats
+from zonecast.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,6 +70,40 @@ def op3_suffix_dedup(spark, sf_dir):
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+
+@query("op7_mix", r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, list_extract([3, 1, 2], CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)) AS weight FROM s),
+l AS (SELECT *, row_number() OVER o AS rank,
+    (1.5 * CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+    FROM w WINDOW o AS (ORDER BY CAST(2 * source_size AS DOUBLE) / weight, source NULLS LAST)),
+v AS (SELECT min_by(level, rank) AS level FROM l WHERE level * weight <= 2 * source_size),
+t AS (SELECT source, source_size, coalesce(least(CAST(2 * source_size AS DOUBLE), (SELECT level FROM v) * weight), CAST(2 * source_size AS DOUBLE)) AS target FROM w),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM t),
+c AS (SELECT d.*, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY d.source, h) AS own
+    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, CAST(size * (passes + CASE WHEN upto <= rest
+    OR (upto - own <= rest AND upto - rest < rest - (upto - own)) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c""")
+def op7_mix(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), columns=["doc_id"])
+
+
+@query("op8_warc", """
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+k AS (SELECT *, CASE WHEN n >= 1000 AND page_id IS NOT NULL THEN max(page_id) OVER (PARTITION BY d, n) END AS keeper FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < keeper THEN keeper END AS refers_to FROM k""")
+def op8_warc(spark, sf_dir):
+    path = shared_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    records = read_warc(spark, path, payloads=False).where("type <> 'gap'")
+    return records.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
 @query("op9_near_duplicates", r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

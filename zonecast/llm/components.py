@@ -1,4 +1,4 @@
-"""Connected components of an edge table by randomised contraction."""
+"""Connected components of an edge table by contraction."""
 
 from __future__ import annotations
 
@@ -7,37 +7,46 @@ from pyspark.sql import functions as F
 
 from zonecast.llm.shared import materialize
 
+BROADCAST_ROWS = 500_000       # of two longs each, 8 MB; larger maps are joined by a shuffle
+
+
+def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table marked for broadcast if it has at most ``rows`` rows; else Spark's own choice of join holds."""
+    return F.broadcast(small) if small.count() <= rows else small
+
 
 def components(edges: DataFrame) -> DataFrame:
-    """``(node, label)`` for every node of ``edges`` (columns ``a``, ``b``); equal labels mean connected.
+    """``(node, label)`` for every node with an edge to another (columns ``a``, ``b``); equal labels mean connected.
 
     Each round every node points to the neighbour (itself included) that
-    comes first in an order hashed anew for the round, edges are rewritten to
-    those representatives, and loops and repeats go.  The number of edges
-    falls geometrically, also on paths, and nothing but a row count reaches
-    the driver.  A node with very many neighbours is reduced by a partial
-    aggregate; joins on it are split by adaptive execution.  Rows with a null
-    end are ignored; an empty table gives no rows.
+    comes first, edges are rewritten to those representatives, and loops and
+    repeats go.  "First" is by id in even rounds, which takes a star around
+    its smallest node in one round, and by a hash of the round in odd ones,
+    which shortens paths of any numbering by a constant share.  Nothing but
+    row counts reaches the driver.  A node with very many neighbours is
+    reduced by a partial aggregate.  Rows with a null end and loops are
+    ignored; an empty table gives no rows.
     """
-    live = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))
-                       .where("a is not null and b is not null").distinct(), "cc-edges")
-    both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
-    labels = materialize(labels, "cc-labels")
-    live = live.where("a <> b")
+    def canonical(df):
+        return df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    live = materialize(canonical(edges.select(F.col("a").cast("long"), F.col("b").cast("long"))), "cc-edges")
+    labels = None
     turn = 0
     while not live.isEmpty():
         both = live.union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def order(c, turn=turn):
-            return F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("o"), F.col(c).alias("n"))
+            return F.struct((F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 else F.col(c)).alias("o"), F.col(c).alias("n"))
         first = materialize(both.groupBy("a").agg(F.min(order("b")).alias("x"))
                             .select(F.col("a").alias("from"), F.least("x", order("a"))["n"].alias("to")), "cc-map")
-        ends = live.join(first, live["a"] == first["from"]).select(F.col("to").alias("a"), "b")
-        ends = ends.join(first, ends["b"] == first["from"]).select("a", F.col("to").alias("b"))
-        live = materialize(ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                           .distinct(), "cc-edges")
-        labels = materialize(labels.join(first, labels["label"] == first["from"], "left")
-                             .select("node", F.coalesce("to", "label").alias("label")), "cc-labels")
+        hop = bounded(first)
+        ends = live.join(hop, live["a"] == hop["from"]).select(F.col("to").alias("a"), "b")
+        ends = ends.join(hop, ends["b"] == hop["from"]).select("a", F.col("to").alias("b"))
+        live = materialize(canonical(ends), "cc-edges")
+        if labels is None:
+            labels = first.select(F.col("from").alias("node"), F.col("to").alias("label"))
+        else:
+            labels = materialize(labels.join(hop, labels["label"] == hop["from"], "left")
+                                 .select("node", F.coalesce("to", "label").alias("label")), "cc-labels")
         turn += 1
-    return labels
+    return labels if labels is not None else live.select(F.col("a").alias("node"), F.col("b").alias("label"))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.llm import langid, toxicity
 from zonecast.llm.decontaminate import contamination
+from zonecast.llm.html_text import extract_text
 from zonecast.llm.mixing import mix
 from zonecast.llm.near_dup import near_duplicates
 from zonecast.llm.shared import shared_path, ship_package
@@ -63,6 +65,19 @@ def op1_decontaminate(spark, sf_dir):
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def _remainder(doc_id: str, n: int):
+    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(_remainder("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), to="score")
+    return scored.select("doc_id", (_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark, sf_dir):
     found = remove_repeats(table(spark, sf_dir, "documents"))
@@ -71,6 +86,19 @@ def op3_suffix_dedup(spark, sf_dir):
 
 
 
+@query("op5_html_text")
+def op5_html_text(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op6_langid")
+def op6_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(_remainder("doc_id", 3) != 1))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_mix", r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),

@@ -12,6 +12,7 @@ from zonecast.llm.decontaminate import contamination
 from zonecast.llm.html_text import extract_text
 from zonecast.llm.mixing import mix
 from zonecast.llm.near_dup import near_duplicates
+from zonecast.llm.sentence_dedup import remove_repeated_sentences
 from zonecast.llm.shared import shared_path, ship_package
 from zonecast.llm.suffix_dedup import remove_repeats
 from zonecast.llm.warc import read_warc, write_warc
@@ -146,3 +147,8 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id,
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)""")
 def op9_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, threshold=85)
+
+
+@query("op10_sentence_dedup")
+def op10_sentence_dedup(spark, sf_dir):
+    return remove_repeated_sentences(table(spark, sf_dir, "documents"))

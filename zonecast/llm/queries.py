@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm import langid, toxicity
+from zonecast.llm.ann import nearest
 from zonecast.llm.decontaminate import contamination
 from zonecast.llm.html_text import extract_text
 from zonecast.llm.mixing import mix
@@ -87,6 +88,11 @@ def op3_suffix_dedup(spark, sf_dir):
 
 
 
+@query("op4_nearest")
+def op4_nearest(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op5_html_text")
 def op5_html_text(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))

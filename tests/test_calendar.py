@@ -1,8 +1,10 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
-from zonecast.functions.holidays import holiday_table
+from zonecast.functions.holidays import holiday_table, holiday_table_for, is_holiday
 from zonecast.operators.calendar import add_calendar_features
 
 
@@ -11,20 +13,29 @@ def feats(spark, hours, holidays=None):
     return add_calendar_features(df, holidays).orderBy("hour").collect()
 
 
-def test_day_of_week_monday_zero(spark):
-    rows = feats(spark, ["2026-01-05 00:00", "2026-01-04 00:00"])
-    assert [r.day_of_week for r in rows] == [6, 0]      # Sunday 4th, Monday 5th
+def test_calendar_parts_of_other_years(spark):
+    rows = feats(spark, ["1996-02-29 05:00", "2031-06-01 23:00"])
+    assert [(r.hour_of_day, r.day_of_week, r.is_weekend) for r in rows] == [(5, 3, 0), (23, 6, 1)]
+
 
+def test_federal_rules_hold_in_any_year(spark):
+    rows = feats(spark, ["1993-12-31 12:00", "1994-07-04 00:00", "2018-12-25 08:00", "2021-12-31 10:00", "2027-07-05 09:00",
+                         "2020-06-19 09:00", "2044-01-18 09:00", "2044-01-19 09:00"])
+    assert [r.is_holiday for r in rows] == [1, 1, 1, 0, 1, 1, 1, 0]      # in order of time
 
-def test_weekend_flag(spark):
-    rows = feats(spark, ["2026-01-05 10:00", "2026-01-10 10:00", "2026-01-11 10:00", "2026-01-13 10:00"])
-    assert [r.is_weekend for r in rows] == [0, 1, 1, 0]
+
+def test_rules_on_dates_equal_the_tables(spark):
+    for cal in ("federal", "state"):
+        days = spark.sql("SELECT explode(sequence(DATE'1989-12-25', DATE'2051-01-10')) AS d")
+        hit = {r.d for r in days.where(is_holiday(F.col("d"), cal)).collect()}
+        table = {r.holiday_date for r in holiday_table(spark, cal, 1989, 2052).collect()}
+        assert hit == {d for d in table if dt.date(1989, 12, 25) <= d <= dt.date(2051, 1, 10)}
 
 
-def test_holidays_default_federal(spark):
-    rows = feats(spark, ["2026-01-01 00:00", "2026-01-01 23:59", "2026-01-02 12:00", "2026-12-25 08:00"])
-    assert [r.is_holiday for r in rows] == [1, 1, 0, 1]
-    assert rows[0].hour_of_day == 0 and rows[1].hour_of_day == 23
+def test_table_for_a_frame_reaches_the_last_december(spark):
+    df = spark.createDataFrame([(ts("2020-03-01 00:00"),), (ts("2021-06-01 00:00"),)], "hour timestamp_ntz")
+    got = {r.holiday_date for r in holiday_table_for(df, "hour").collect()}
+    assert dt.date(2021, 12, 31) in got and min(got).year == 2020 and max(got).year == 2021
 
 
 def test_state_calendar(spark):

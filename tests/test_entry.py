@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from zonecast.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -15,7 +16,7 @@ def test_contract_keys():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE)))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF).count() > 0
 
@@ -41,7 +42,7 @@ def duck():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     con = duck
     sdf = E.queries()[name](spark, SF)

@@ -29,8 +29,8 @@ def test_matches_sequential_pandas(spark):
     assert got["zone_id"].tolist() == want["zone_id"].astype("int64").tolist()
 
 
-def test_schema_inferred_and_row_count_may_change(spark):
-    out = apply_per_zone(panel(spark), lambda p: p.head(1))
+def test_row_count_may_change(spark):
+    out = apply_per_zone(panel(spark), lambda p: p.head(1), "zone_id bigint, hour timestamp_ntz, demand bigint")
     assert out.count() == 4 and out.columns == ["zone_id", "hour", "demand"]
 
 

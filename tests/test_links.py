@@ -76,3 +76,18 @@ def test_filters(six):
         filter_links(six, months=[13])
     with pytest.raises(ValueError):
         filter_links(six, months=[1.5])
+
+
+def test_white_space_quotes_and_references(spark):
+    html = ("""<a href="\n https://h.example/1\t">1</a><a title="a>b" href='https://h.example/2'>2</a>"""
+            """<a href="https:&#47;&#x2F;h.example/3&#8364;">3</a><a data-x='href="no"' href=https://h.example/4>4</a>"""
+            """<a title='href="https://h.example/no"'>n</a><a href="/x?a=1&amp;lt=2">5</a><a href="&amp;#47;">6</a>"""
+            """<a href="\u00a0/nbsp&nbsp;">7</a><a href="">8</a><a\nhref\n=\n"/9">9</a>""")
+    hrefs = [r.href for r in anchor_hrefs(pages(spark, html)).orderBy("pos").collect()]
+    assert hrefs == ["https://h.example/1", "https://h.example/2", "https://h.example/3\u20ac", "https://h.example/4",
+                     "/x?a=1&lt=2", "&#47;", "/nbsp", "/9"]
+
+
+def test_very_long_attributes_do_not_overflow(spark):
+    html = '<a title="' + "x>" * 200_000 + '" href="/far">f</a><a ' + "b " * 20_000 + 'href="/many">m</a>'
+    assert [r.href for r in anchor_hrefs(pages(spark, html)).orderBy("pos").collect()] == ["/far", "/many"]

@@ -134,3 +134,23 @@ def test_duck_typed_model_and_numeric_guard(spark, feats):
     assert r.model_mae == pytest.approx(want)
     with pytest.raises(ValueError, match="numeric"):
         DemandForecaster(feature_columns=("lag_1h", "label")).fit(feats.withColumn("label", F.lit("x")))
+
+
+def test_forest_does_not_depend_on_the_input_layout(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(4000).select(
+        F.col("id").alias("zone_id"), (F.col("id") % 17).cast("double").alias("lag_1h"),
+        (F.col("id") % 5).cast("double").alias("lag_24h"), ((F.col("id") * 7919) % 23).alias("demand"))
+    sums = []
+    for n in (1, 3, 8):
+        model = make_pipeline("random_forest").fit(rows.repartition(n))
+        sums.append(model.transform(rows.where("zone_id < 200")).agg(F.sum("prediction")).first()[0])
+    assert max(sums) - min(sums) < 1e-9
+
+
+def test_unfitted_multi_model_and_default_pipeline(spark):
+    from zonecast.ml.forecaster import MultiModelForecaster
+    df = spark.createDataFrame([(1.0, 2.0, 3)], "lag_1h double, lag_24h double, demand bigint")
+    with pytest.raises(RuntimeError):
+        MultiModelForecaster().transform(df)
+    assert make_pipeline().name == "linear"

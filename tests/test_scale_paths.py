@@ -9,6 +9,7 @@ from conftest import ts
 from zonecast.operators.calendar import add_calendar_features
 from zonecast.operators.demand import aggregate, grid
 from zonecast.operators.links import anchor_hrefs
+from zonecast.operators.reports import column_profile
 from zonecast.operators.zones import ZoneResolver
 
 SCHEMA = "pickup_datetime timestamp_ntz, PULocationID bigint, DOLocationID bigint"
@@ -36,17 +37,32 @@ def test_zone_resolver_shuffle_join_path(spark):
     dim = spark.createDataFrame([(1, "A", "z1", "s"), (2, "B", "z2", "s")],
                                 "LocationID bigint, Borough string, Zone string, service_zone string")
     trips = spark.createDataFrame([(ts("2026-01-01 08:00"), 1, 2), (ts("2026-01-01 08:00"), 3, 2)], SCHEMA)
-    big = ZoneResolver(dim, max_broadcast_rows=0)           # measured as "large": no broadcast hint
-    assert not big.small
+    zones = ZoneResolver(dim)
+    assert "SinglePartition" not in _plan(zones.annotate(trips))        # no size probe
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = big.annotate(trips)
+        out = zones.annotate(trips)
         assert "SortMergeJoin" in _plan(out)
         assert {r.PULocationID: r.PU_zone for r in out.collect()} == {1: "z1", 3: None}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    small = ZoneResolver(dim)
-    assert small.small and "BroadcastHashJoin" in _plan(small.annotate(trips))
+    twice = zones.annotate(zones.annotate(trips))
+    assert twice.columns.count("PU_zone") == 1
+
+
+def test_column_profile_does_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, 5), (None, 5), (2, None), (1, 99)], "a bigint, b bigint")
+    out = column_profile(df, ["a", "b"], lo=1, hi=10)
+    assert "Expand" not in _plan(out)
+    got = {r.column: tuple(r)[2:] for r in out.collect()}
+    assert got == {"a": (1, "1", "2", 2, 0), "b": (1, "5", "99", 2, 1)}
+
+
+def test_grid_shuffles_one_row_per_key_and_task(spark):
+    rows = [(z, ts("2026-01-01 00:00") + dt.timedelta(hours=h), 1) for z in range(3) for h in range(50)]
+    panel = spark.createDataFrame(rows, "zone_id bigint, hour timestamp_ntz, demand bigint")
+    plan = _plan(grid(panel))
+    assert plan.index("REPARTITION_BY_NUM") < plan.index("HashAggregate(keys=[zone_id")      # the distinct stands below
 
 
 def test_holidays_from_a_dataframe(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from zonecast.operators.splits import (cv_folds, cv_folds_by_hour, label_time_split, time_series_cv_split,
+from zonecast.operators.splits import (cv_folds, cv_folds_by_hour, fold_rows, fold_summary, label_time_split, time_series_cv_split,
                                        time_split, with_positions)
 
 
@@ -62,30 +62,51 @@ def test_positions_match_global_row_number(spark):
 
 
 def test_cv_folds_on_frame_match_positions(spark):
-    df = hours_frame(spark, 24)
-    folds = cv_folds(df, 3, ("zone_id", "hour"))
-    got = {(r.fold, r.role): (r.lo, r.hi, r.n) for r in
-           folds.groupBy("fold", "role").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"),
-                                             F.count("*").alias("n")).collect()}
-    for i, (tr, te) in enumerate(time_series_cv_split(24, 3)):
-        assert got[(i, "train")] == (tr[0], tr[-1], len(tr))
-        assert got[(i, "test")] == (te[0], te[-1], len(te))
+    folds = cv_folds(hours_frame(spark, 8, zones=(3, 1, 2)).repartition(4), 3)
+    assert folds.count() == 24                                  # no row is copied
+    rows = {(r.hour, r.zone_id): r.pos for r in folds.collect()}
+    assert [rows[k] for k in sorted(rows)] == list(range(24))
+    for i, (train, test) in enumerate(time_series_cv_split(24, 3)):
+        tr, te = fold_rows(folds, i)
+        assert sorted(r.pos for r in tr.collect()) == list(train)
+        assert sorted(r.pos for r in te.collect()) == list(test)
+
+
+def test_cv_folds_never_train_on_the_future(spark):
+    folds = cv_folds(hours_frame(spark, 6, zones=(1, 2, 3)), 2)
+    for i in range(2):
+        tr, te = fold_rows(folds, i)
+        assert tr.agg(F.max("hour")).first()[0] <= te.agg(F.min("hour")).first()[0]
+
+
+def test_fold_summary_equals_the_folds(spark):
+    folds = cv_folds(hours_frame(spark, 9, zones=(1, 2)), 4)
+    got = {(r.fold, r.role): (r.n, r.lo, r.hi) for r in fold_summary(
+        folds, 4, ("n", F.count("*"), F.sum), ("lo", F.min("pos"), F.min), ("hi", F.max("pos"), F.max)).collect()}
+    assert len(got) == 8
+    for i, (train, test) in enumerate(time_series_cv_split(18, 4)):
+        assert got[(i, "train")] == (len(train), train[0], train[-1])
+        assert got[(i, "test")] == (len(test), test[0], test[-1])
 
 
 def test_cv_by_hour_never_mixes_roles(spark):
     folds = cv_folds_by_hour(hours_frame(spark, 30, zones=(1, 2)), 4)
-    clash = folds.groupBy("fold", "hour").agg(F.count_distinct("role").alias("r")).where("r > 1")
-    assert clash.count() == 0
-    tr = folds.where("role = 'train'").groupBy("fold").agg(F.max("hour").alias("mx"))
-    te = folds.where("role = 'test'").groupBy("fold").agg(F.min("hour").alias("mn"))
-    assert all(r.mx < r.mn for r in tr.join(te, "fold").collect())
+    assert folds.count() == 60
+    for i in range(4):
+        tr, te = fold_rows(folds, i)
+        assert tr.agg(F.max("hour")).first()[0] < te.agg(F.min("hour")).first()[0]
 
 
 def test_cv_too_few_rows_fails(spark):
-    with pytest.raises(Exception, match="n_splits"):
+    with pytest.raises(Exception, match="more than 5 samples"):
         cv_folds(hours_frame(spark, 3), 5).collect()
 
 
+def test_cv_positions_are_lazy():
+    train, test = next(iter(time_series_cv_split(10**15, 5)))
+    assert isinstance(train, range) and isinstance(test, range) and test[0] == len(train)
+
+
 def test_split_cut_is_zone_free(spark):
     """The fetched cut must not shift with the Python process's local time zone."""
     import os

@@ -107,3 +107,33 @@ def test_running_sum_form_equals_frame_form(spark):
                                    | (F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > 1e-9)))
             assert diff.count() == 0, c
     assert fast.count() == df.count()
+
+
+def test_running_sum_form_skips_nulls_and_holds_large_values(spark):
+    from pyspark.sql import functions as F
+    from zonecast.operators.windows import add_window_features, rolling_columns
+    import datetime as dt
+    values = {1: [0, None, 2, 3, 4, None, None, None, 7], 2: [3_000_000 + i % 2 for i in range(200)],
+              3: [5_000_000_000 + i % 3 for i in range(60)], 4: [None, None], 5: [10**15, 10**15 + 2, 10**15]}
+    rows = [(z, dt.datetime(2026, 1, 1) + dt.timedelta(hours=i), v) for z, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "zone_id bigint, hour timestamp_ntz, demand bigint")
+    got = {(r.zone_id, r.hour): r for r in add_window_features(df, (), (3, 168)).collect()}
+    slow = {(r.zone_id, r.hour): r for r in df.select("*", *rolling_columns((3, 168))).collect()}
+    for k, a in got.items():
+        b = slow[k]
+        for n in (3, 168):
+            m, e = a[f"roll_mean_{n}h"], b[f"roll_mean_{n}h"]
+            assert (m is None) == (e is None) and (m is None or abs(m - e) < 1e-6 * max(1, abs(e)))
+    hour = dt.datetime(2026, 1, 1)
+    assert got[(1, hour + dt.timedelta(hours=4))]["roll_mean_3h"] == 2.5
+    assert got[(2, hour + dt.timedelta(hours=199))]["roll_std_168h"] == 0.5
+    assert abs(got[(3, hour + dt.timedelta(hours=59))]["roll_std_3h"] - (2 / 3) ** 0.5) < 1e-12
+    assert got[(5, hour + dt.timedelta(hours=2))]["roll_std_3h"] == 1.0
+    assert got[(4, hour + dt.timedelta(hours=1))]["roll_std_3h"] == 0.0
+
+
+def test_lags_default(spark):
+    from zonecast.operators.windows import add_lags
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.datetime(2026, 1, 1), 1)], "zone_id bigint, hour timestamp_ntz, demand bigint")
+    assert add_lags(df, None).columns[-2:] == ["lag_1h", "lag_24h"]

@@ -15,10 +15,10 @@ from zonecast.operators.cleaning import clean_report, clean_trips
 from zonecast.operators.demand import aggregate, fill_grid, grid, hour_bounds
 from zonecast.operators.windows import add_lags, add_rolling_features, add_window_features
 from zonecast.operators.calendar import add_calendar_features
-from zonecast.functions.holidays import holiday_dates, holiday_table, holiday_table_for
+from zonecast.functions.holidays import holiday_dates, holiday_table, holiday_table_for, is_holiday
 from zonecast.functions.metrics import mae, mape, regression_metrics, rmse
 from zonecast.operators.zones import ZoneResolver, borough_demand, zones_without_demand
-from zonecast.operators.splits import (cv_folds, cv_folds_by_hour, label_time_split,
+from zonecast.operators.splits import (cv_folds, cv_folds_by_hour, fold_rows, fold_summary, label_time_split,
                                        time_series_cv_split, time_split, with_positions)
 from zonecast.operators.links import (SUPPORTED_TAXI_TYPES, TRIP_LINK_SCHEMA, extract_links,
                                       extract_trip_data_links, filter_links, sort_links)

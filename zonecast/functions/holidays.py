@@ -2,8 +2,8 @@
 
 The calendar is a DataFrame ``(holiday_date DATE, name STRING)`` built from a
 year range with date arithmetic on the executors; no date list is stored.
-Its size is bounded by the year range (at most 14 rows a year), which is what
-makes broadcasting it safe.
+It has at most 14 rows a year.  :func:`is_holiday` applies the same rules to a
+date column directly, for any year and without a table.
 """
 
 from __future__ import annotations
@@ -71,15 +71,19 @@ def _rule_date(year: Column, month: int, rule: str, arg) -> Column:
     raise ValueError(f"unknown holiday rule {rule!r}")
 
 
-def holidays_from_years(years: DataFrame, calendar: str = "federal", year: str = "year") -> DataFrame:
+def _rules(calendar: str):
+    if calendar not in CALENDARS:
+        raise ValueError(f"calendar must be one of {CALENDARS}, got {calendar!r}")
+    return FEDERAL_RULES + (STATE_EXTRA_RULES if calendar == "state" else [])
+
+
+def holidays_from_years(years: DataFrame, calendar: str = "federal", year: str = "year", keep=()) -> DataFrame:
     """Observed holidays for every holiday year in the ``year`` column of ``years``.
 
     An observed date may fall in the previous calendar year (New Year's Day on
     a Saturday is observed on Dec 31), exactly as a published calendar lists it.
     """
-    if calendar not in CALENDARS:
-        raise ValueError(f"calendar must be one of {CALENDARS}, got {calendar!r}")
-    rules = FEDERAL_RULES + (STATE_EXTRA_RULES if calendar == "state" else [])
+    rules = _rules(calendar)
     y = F.col(year).cast("int")
     entries = []
     for name, month, rule, arg in rules:
@@ -87,8 +91,8 @@ def holidays_from_years(years: DataFrame, calendar: str = "federal", year: str =
         if name == "Juneteenth":
             d = F.when(y >= JUNETEENTH_FIRST_YEAR, d)
         entries.append(F.struct(d.alias("holiday_date"), F.lit(name).alias("name")))
-    return (years.select(F.explode(F.array(*entries)).alias("h"))
-                 .select("h.holiday_date", "h.name")
+    return (years.select(F.explode(F.array(*entries)).alias("h"), *keep)
+                 .select("h.holiday_date", "h.name", *keep)
                  .where(F.col("holiday_date").isNotNull()))
 
 
@@ -103,10 +107,33 @@ def holiday_table(spark: SparkSession, calendar: str = "federal",
 
 
 def holiday_table_for(df: DataFrame, ts: str, calendar: str = "federal") -> DataFrame:
-    """Holidays of every year that ``df[ts]`` spans (one min/max pass over ``df``)."""
+    """Observed holidays within the calendar years that ``df[ts]`` spans (one min/max pass over ``df``).
+
+    The holiday year after the last is looked at too: its New Year's Day may
+    be observed on December 31.
+    """
     span = df.agg(F.min(F.year(ts)).alias("_lo"), F.max(F.year(ts)).alias("_hi"))
-    years = span.select(F.explode(F.sequence("_lo", "_hi")).alias("year"))
-    return holidays_from_years(years, calendar)
+    years = span.select("_lo", "_hi", F.explode(F.sequence(F.col("_lo"), F.col("_hi") + 1)).alias("year"))
+    found = holidays_from_years(years, calendar, keep=("_lo", "_hi"))
+    return found.where(F.year("holiday_date").between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+
+
+def is_holiday(date: Column, calendar: str = "federal") -> Column:
+    """Whether a date is an observed holiday, by the rules themselves: for any year, without a join."""
+    year, month = F.year(date), F.month(date)
+    by_month: dict[int, list[Column]] = {}
+    for name, m, rule, arg in _rules(calendar):
+        hit = date == _rule_date(year, m, rule, arg)
+        by_month.setdefault(m, []).append(hit & (year >= JUNETEENTH_FIRST_YEAR) if name == "Juneteenth" else hit)
+    # New Year's Day of the next year, if that is a Saturday
+    by_month.setdefault(12, []).append(date == _rule_date(year + 1, 1, "fixed", 1))
+    out = F.lit(False)
+    for m, hits in by_month.items():
+        any_hit = hits[0]
+        for h in hits[1:]:
+            any_hit = any_hit | h
+        out = F.when(month == m, any_hit).otherwise(out)
+    return F.coalesce(out, F.lit(False))
 
 
 def holiday_dates(spark: SparkSession, holidays=None) -> DataFrame:

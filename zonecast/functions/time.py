@@ -25,10 +25,6 @@ def floor_time(ts: Column | str, grain: str = "hour") -> Column:
     return F.window(col, grain_interval(grain)).start
 
 
-def floor_hour(ts: Column | str) -> Column:
-    return floor_time(ts, "hour")
-
-
 def hour_of_day(ts: Column | str) -> Column:
     return F.hour(ts)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.functions.columns import require_columns
@@ -69,8 +70,10 @@ class DemandForecaster:
         self.model = PipelineModel.load(f"{path}/pipeline")
         try:
             row = spark.read.json(f"{path}/{_CONTRACT}").first()
-        except Exception:  # legacy artefact without a contract keeps the constructor values
-            row = None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None       # saved without a contract: the constructor's columns hold
         if row is not None:
             c = json.loads(row["contract"])
             self.feature_columns = list(c["feature_columns"])
@@ -99,6 +102,8 @@ class MultiModelForecaster:
         return self
 
     def transform(self, df: DataFrame, model_name: str = "linear") -> DataFrame:
+        if not self.models:
+            raise RuntimeError("models are not fitted; call fit() first")
         if model_name not in self.models:
             raise ValueError(f"model {model_name!r} was not trained; trained: {sorted(self.models)}")
         require_columns(df, self.feature_columns, "DataFrame")

@@ -25,6 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.functions.columns import require_columns, require_numeric
 from zonecast.session import checkpoint_dir
@@ -113,11 +114,12 @@ class ModelSpec:
         return pipe.fit(rows)
 
 
-# Training rows are spread over about one partition per this many rows (up to
-# the cluster's parallelism) when the set is small enough for the count to be
-# the right sizing signal; larger sets keep their byte-sized partitions.
-ROWS_PER_FIT_PARTITION = 5_000
-RESIZE_MAX_ROWS = 50_000_000
+# A multi-pass fit lays its rows out in partitions of about this many.  The
+# number of partitions follows from the row count alone and a row's place from
+# its values, so the same rows and seed give the same model on any cluster
+# (tree bagging draws by partition and place).
+ROWS_PER_FIT_PARTITION = 20_000
+MAX_FIT_PARTITIONS = 10_000
 
 
 class _prepared:
@@ -125,9 +127,8 @@ class _prepared:
 
     One aggregate gives the row count (the empty-set check) and the label's
     population std (the ridge penalty scale).  With ``cache`` (multi-pass
-    solvers) the rows are cached, and small sets are first spread over the
-    cluster: adaptive execution coalesces a small shuffle into very few
-    partitions, which would leave every pass on a single core.
+    solvers) the rows are dealt by the hash of all their values, sorted within
+    partitions and cached.
     """
 
     def __init__(self, df: DataFrame, features, target, *, cache: bool = True):
@@ -146,9 +147,9 @@ class _prepared:
         rows = self.rows
         if not self.cache:
             return rows, n, stats["s"]
-        if n <= RESIZE_MAX_ROWS:
-            par = rows.sparkSession.sparkContext.defaultParallelism
-            rows = rows.repartition(max(1, min(par, -(-n // ROWS_PER_FIT_PARTITION))))
+        parts = max(1, min(MAX_FIT_PARTITIONS, -(-n // ROWS_PER_FIT_PARTITION)))
+        plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        rows = rows.repartition(parts, *plain).sortWithinPartitions(*plain)
         self.cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         return self.cached, n, stats["s"]
 
@@ -158,7 +159,7 @@ class _prepared:
         return False
 
 
-def make_pipeline(model_name: str, *, scaler: bool = True,
+def make_pipeline(model_name: str = "linear", *, scaler: bool = True,
                   random_state: int = DEFAULT_RANDOM_STATE,
                   features=DEFAULT_FEATURE_COLUMNS, target: str = DEFAULT_TARGET) -> ModelSpec:
     check_model_names([model_name])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.functions.columns import require_columns
-from zonecast.functions.holidays import holiday_dates
+from zonecast.functions.holidays import holiday_dates, is_holiday
 
 CALENDAR_COLUMNS = ("hour_of_day", "day_of_week", "is_weekend", "is_holiday")
 
@@ -29,30 +29,29 @@ def _strict_time(df: DataFrame, time: str):
                   ).otherwise(parsed)
 
 
-def add_calendar_features(df: DataFrame, holidays=None, *, time: str = "hour",
-                          broadcast_holidays: bool | None = None) -> DataFrame:
+def add_calendar_features(df: DataFrame, holidays=None, *, time: str = "hour") -> DataFrame:
     """Append ``hour_of_day, day_of_week, is_weekend, is_holiday`` (INT).
 
     ``holidays``: None (federal calendar), ``"federal"``/``"state"``, an
-    iterable of date-likes, or a DataFrame of dates.  Built-in calendars and
-    literal lists have a known small size and are broadcast; a caller's
-    DataFrame is left to AQE, which broadcasts it only after measuring it.
+    iterable of date-likes, or a DataFrame of dates.  The built-in calendars
+    are rules over the date itself - any year, no join.  Other dates are
+    joined without a hint, so they are broadcast only if Spark finds them small.
     """
     require_columns(df, (time,), "DataFrame")
-    spark = df.sparkSession
-    hol = holiday_dates(spark, holidays).withColumnRenamed("holiday_date", "_hdate")
-    if broadcast_holidays is None:
-        broadcast_holidays = not isinstance(holidays, DataFrame)
-    if broadcast_holidays:
-        hol = F.broadcast(hol)
-    h = _strict_time(df, time)
-    base = df.withColumn(time, h).withColumn("_hday", F.to_date(time))
-    out = base.join(hol, F.col("_hday") == F.col("_hdate"), "left")
+    base = df.withColumn(time, _strict_time(df, time))
+    day = F.to_date(time)
+    if holidays is None or isinstance(holidays, str):
+        flag = is_holiday(day, holidays or "federal")
+    else:
+        hol = holiday_dates(df.sparkSession, holidays).withColumnRenamed("holiday_date", "_hdate")
+        base = base.withColumn("_hday", day)
+        base = base.join(hol, F.col("_hday") == F.col("_hdate"), "left")
+        flag = F.col("_hdate").isNotNull()
     others = [c for c in df.columns if c not in CALENDAR_COLUMNS]
-    return out.select(
+    return base.select(
         *others,
         F.hour(time).alias("hour_of_day"),
         F.weekday(time).alias("day_of_week"),
         (F.weekday(time) >= 5).cast("int").alias("is_weekend"),
-        F.col("_hdate").isNotNull().cast("int").alias("is_holiday"),
+        flag.cast("int").alias("is_holiday"),
     )

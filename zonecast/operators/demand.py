@@ -14,21 +14,21 @@ from pyspark.sql import types as T
 
 from zonecast.functions.columns import require_columns
 from zonecast.functions.time import floor_time, hour_series, ntz_literal
-from zonecast.session import checkpoint_dir
+from zonecast.session import checkpoint_dir, shared_path
 
 
 def aggregate(trips: DataFrame, *, fill_missing_hours: bool = False,
               key: str = "PULocationID", ts: str = "pickup_datetime",
               grain: str = "hour", out_key: str = "zone_id",
               out_time: str = "hour", out_count: str = "demand",
-              materialize: str = "checkpoint") -> DataFrame:
+              materialize: str = "parquet") -> DataFrame:
     """Count rows per (key, floored time) → ``(zone_id, hour, demand)``.
 
     Rows with a null key or time are not counted.  With
     ``fill_missing_hours=True`` every observed zone gets every step between
     the *global* first and last step, missing cells count 0.  That path runs
-    two small jobs up front: the panel checkpoint and the fetch of its bounds
-    (see :func:`fill_grid`; ``materialize="none"`` skips the checkpoint, and
+    two small jobs up front: writing the panel and the fetch of its bounds
+    (see :func:`fill_grid`; ``materialize="none"`` skips the writing, and
     each branch then re-reads the input).
     """
     require_columns(trips, (key, ts), "trip table")
@@ -74,30 +74,37 @@ def grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
     steps = int((hi - lo).total_seconds() // _STEP_SECONDS[grain]) + 1
     parts = max(spark.sparkContext.defaultParallelism,
                 -(-n_keys * steps // GRID_ROWS_PER_PARTITION))
-    # repartition *before* the distinct: a by-number shuffle is not coalesced
-    # by adaptive execution, and the distinct reuses its partitioning
-    keys = panel.select(key).repartition(parts, key).distinct()
+    # the distinct combines map-side, so one row per key and task moves; the
+    # by-number shuffle after it is not coalesced by adaptive execution
+    keys = panel.select(key).distinct().repartition(parts, key)
     return keys.select(key, F.explode(hour_series(ntz_literal(lo), ntz_literal(hi), grain)).alias(time))
 
 
 def materialized(df: DataFrame, how: str) -> DataFrame:
     """Cut the lineage of a frame that several branches of one plan read.
 
-    ``"checkpoint"`` writes it once to the shared ``spark.checkpoint.dir``
-    (survives executor loss); ``"none"`` keeps the plan lazy, so each branch
-    recomputes it from the source.
+    ``"parquet"`` writes it once as a table below the shared
+    ``spark.checkpoint.dir`` (removed when the session ends): it survives
+    executor loss, and every reader gets column pruning and pushed filters.
+    ``"checkpoint"`` does the same with Spark's own checkpoint files, which
+    are read whole; ``"none"`` keeps the plan lazy, so each branch recomputes
+    it from the source.
     """
     if how == "none":
         return df
+    if how == "parquet":
+        path = shared_path(df.sparkSession, "zonecast-frame")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how == "checkpoint":
         checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
-    raise ValueError(f"materialize must be 'checkpoint' or 'none', got {how!r}")
+    raise ValueError(f"materialize must be 'parquet', 'checkpoint' or 'none', got {how!r}")
 
 
 def fill_grid(panel: DataFrame, *, key: str = "zone_id", time: str = "hour",
               value: str = "demand", grain: str = "hour",
-              materialize: str = "checkpoint") -> DataFrame:
+              materialize: str = "parquet") -> DataFrame:
     """Left-join a panel onto its complete grid; missing cells get 0.
 
     The panel feeds the bounds, the keys and the join side.  Materialising it

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns
 
-SCHEMA_SAMPLE_ROWS = 1000
-
 
 def _sorted_call(func, time_column):
     def run(pdf):
@@ -22,24 +20,15 @@ def _sorted_call(func, time_column):
     return run
 
 
-def infer_schema(df: DataFrame, func, group_column: str, time_column: str) -> str:
-    """Run ``func`` on a bounded sample of one group to learn its output schema."""
-    first = df.select(group_column).limit(1).collect()
-    if not first:
-        return df.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    sample = df.where(F.col(group_column) == first[0][0]).limit(SCHEMA_SAMPLE_ROWS).toPandas()
-    out = _sorted_call(func, time_column)(sample)
-    schema = df.sparkSession.createDataFrame(out.reset_index(drop=True)).schema
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
-def apply_per_zone(df: DataFrame, func, schema: str | None = None, *, n_workers: int | None = None,
+def apply_per_zone(df: DataFrame, func, schema: str, *, n_workers: int | None = None,
                    group_column: str = "zone_id", time_column: str = "hour") -> DataFrame:
     """Apply ``func(pandas.DataFrame) -> pandas.DataFrame`` to each group.
 
     Each group arrives sorted by ``time_column``.  ``func`` may add columns
-    or change the row count; pass ``schema`` (DDL) or let it be inferred from
-    a bounded sample of one group.  Null groups are dropped first.
+    or change the row count; ``schema`` is its output as DDL.  Null groups are
+    dropped first.  A group is one pandas frame in one task, so ``df`` must be
+    aggregated so far that its groups are bounded - ``aggregate(trips)`` rather
+    than raw trips, of which a hot zone may have a third.
     ``n_workers`` sets the number of partitions of the group shuffle (the
     hash repartition by group satisfies ``applyInPandas``'s distribution, so
     it replaces, not adds, a shuffle).  The result does not depend on it.
@@ -53,6 +42,4 @@ def apply_per_zone(df: DataFrame, func, schema: str | None = None, *, n_workers:
     rows = df.where(F.col(group_column).isNotNull())
     if n_workers is not None:
         rows = rows.repartition(n_workers, group_column)
-    if schema is None:
-        schema = infer_schema(rows, func, group_column, time_column)
     return rows.groupBy(group_column).applyInPandas(_sorted_call(func, time_column), schema)

@@ -1,8 +1,8 @@
 """Link catalogue over a table of HTML pages, entirely in JVM regex functions.
 
 Per page: drop comments, scripts and styles (their text is not markup), take
-the ``href`` of every ``<a>`` tag in document order, unquote, decode the
-basic entities, trim.  Then match a URL pattern, keep the first occurrence of
+the ``href`` of every ``<a>`` tag in document order (quoted values may hold any
+character), unquote, decode character references, strip white space.  Then match a URL pattern, keep the first occurrence of
 each URL (first page, first position), and type the captured groups.
 """
 
@@ -18,8 +18,13 @@ from zonecast.functions.columns import require_columns
 COMMENT_RE = r"(?s)<!--.*?-->"
 SCRIPT_RE = r"(?is)<script\b.*?</script\s*>"
 STYLE_RE = r"(?is)<style\b.*?</style\s*>"
-ANCHOR_HREF_RE = r"""(?i)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# a whole tag, stepping over quoted values; possessive, so it never backtracks
+ANCHOR_RE = r"""(?i)<a\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# the value of the first href attribute, going attribute by attribute
+HREF_RE = (r"""(?i)^<a(?:[\s/]++(?!href[\s=>])[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
+           r"""[\s/]++href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""")
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
+NUMERIC_ENTITY_RE = r"(?i)&#(x[0-9a-f]{1,6}|[0-9]{1,7});"
 TRIP_LINK_RE = (r"(?i)^(https?://[^/]+/trip-data/(yellow|green|fhv|fhvhv)_tripdata_"
                 r"(\d{4})-(\d{2})\.parquet)$")
 TRIP_LINK_FIELDS = {"taxi_type": (2, "lower"), "year": (3, "int"), "month": (4, "int")}
@@ -28,9 +33,19 @@ TRIP_LINK_SCHEMA = "taxi_type string, year int, month int, url string"
 
 
 def _decode(c: Column) -> Column:
+    """Character references: the basic named ones, every numeric one, ``&amp;`` last."""
     for ent, ch in ENTITIES:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+
+    def one(text, ref):
+        body = F.lower(F.regexp_extract(ref, NUMERIC_ENTITY_RE, 1))
+        code = F.when(body.startswith("x"), F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(body).cast("int")
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+        return F.replace(text, ref, char)
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(NUMERIC_ENTITY_RE), 0))
+    c = F.when(c.contains("&#"), F.aggregate(refs, c, one)).otherwise(c)
+    return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
 def anchor_hrefs(pages: DataFrame, *, html: str = "html", page_id: str = "page_id") -> DataFrame:
@@ -41,10 +56,11 @@ def anchor_hrefs(pages: DataFrame, *, html: str = "html", page_id: str = "page_i
     body = F.col(html)
     for pat in (COMMENT_RE, SCRIPT_RE, STYLE_RE):
         body = F.regexp_replace(body, pat, "")
-    raw = F.regexp_extract_all(body, F.lit(ANCHOR_HREF_RE), 1)
+    hrefs = F.transform(F.regexp_extract_all(body, F.lit(ANCHOR_RE), 0), lambda tag: F.regexp_extract(tag, HREF_RE, 1))
+    raw = F.filter(hrefs, lambda h: h != "")
     exploded = pages.select(F.col(page_id).alias("page_id"), F.posexplode(raw).alias("pos", "raw"))
-    unquoted = F.regexp_replace(F.col("raw"), r"""^["']|["']$""", "")
-    return exploded.select("page_id", "pos", F.trim(_decode(unquoted)).alias("href")) \
+    decoded = _decode(F.regexp_replace(F.col("raw"), r"""^["']|["']$""", ""))
+    return exploded.select("page_id", "pos", F.regexp_replace(decoded, r"(?U)^\s+|\s+$", "").alias("href")) \
                    .where(F.length("href") > 0)
 
 
@@ -97,7 +113,7 @@ def filter_links(links: DataFrame, *, taxi_types=None, year=None, months=None) -
         wanted = {str(t).lower() for t in taxi_types}
         unknown = wanted - set(SUPPORTED_TAXI_TYPES)
         if unknown:
-            raise ValueError(f"Unknown taxi types: {sorted(unknown)}. Allowed: {SUPPORTED_TAXI_TYPES}.")
+            raise ValueError(f"no such taxi type: {', '.join(sorted(unknown))}; there are {', '.join(SUPPORTED_TAXI_TYPES)}")
         cond = cond & F.col("taxi_type").isin(sorted(wanted))
     if year is not None:
         cond = cond & (F.col("year") == int(year))
@@ -105,7 +121,7 @@ def filter_links(links: DataFrame, *, taxi_types=None, year=None, months=None) -
         ms = list(months)
         for m in ms:
             if isinstance(m, bool) or not isinstance(m, int) or not 1 <= m <= 12:
-                raise ValueError("months must be integers in 1..12.")
+                raise ValueError(f"a month is a whole number from 1 to 12, not {m!r}")
         cond = cond & F.col("month").isin(ms)
     return links.where(cond)
 

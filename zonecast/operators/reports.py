@@ -108,14 +108,14 @@ def weekday_anomalies(daily: DataFrame, holidays=None, *, date: str = "date",
                       value: str = "pickups") -> DataFrame:
     """Daily counts with their weekday z-score and a holiday flag.
 
-    The calendar is a bounded date table (built-in rules or a caller's list)
-    joined by broadcast; a caller's DataFrame is left to AQE.
+    Built-in calendars are rules over the date; other dates are joined
+    without a hint.
     """
-    from zonecast.functions.holidays import holiday_dates
-    hol = holiday_dates(daily.sparkSession, holidays).withColumnRenamed("holiday_date", "_h")
-    if not isinstance(holidays, DataFrame):
-        hol = F.broadcast(hol)
+    from zonecast.functions.holidays import holiday_dates, is_holiday
     z = weekday_zscore(daily, date=date, value=value)
+    if holidays is None or isinstance(holidays, str):
+        return z.withColumn("is_holiday", is_holiday(F.col(date), holidays or "federal").cast("int"))
+    hol = holiday_dates(daily.sparkSession, holidays).withColumnRenamed("holiday_date", "_h")
     return (z.join(hol, F.col(date) == F.col("_h"), "left")
              .select(*z.columns, F.col("_h").isNotNull().cast("int").alias("is_holiday")))
 
@@ -138,23 +138,24 @@ def top_zones_share(trips: DataFrame, k: int = 10, *, id_column: str = "PULocati
 def column_profile(df: DataFrame, columns, *, lo: int = 1, hi: int | None = None) -> DataFrame:
     """Per column: type, nulls, min, max, exact distinct count, out of ``[lo, hi]``.
 
-    One aggregate computes every statistic of every column, then ``stack``
-    turns the wide row into one row per column.
+    Each column is counted by value first (combined map-side, reading that
+    column only), and everything else is a small aggregate over its distinct
+    values; several distinct counts in one aggregate would multiply every row.
     """
     cols = list(columns)
     require_columns(df, cols, "DataFrame")
-    aggs = []
-    for i, c in enumerate(cols):
-        col = F.col(c)
-        out_rng = F.count_if(~col.between(lo, hi)) if hi is not None else F.lit(None).cast("bigint")
-        aggs += [F.count_if(col.isNull()).alias(f"n{i}"), F.min(col).cast("string").alias(f"mn{i}"),
-                 F.max(col).cast("string").alias(f"mx{i}"), F.count_distinct(col).alias(f"d{i}"),
-                 out_rng.alias(f"o{i}")]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column"),
-                              F.lit(df.schema[c].dataType.simpleString()).alias("type"),
-                              F.col(f"n{i}").alias("null_count"), F.col(f"mn{i}").alias("min_value"),
-                              F.col(f"mx{i}").alias("max_value"), F.col(f"d{i}").alias("n_distinct"),
-                              F.col(f"o{i}").alias("out_of_range"))
-                     for i, c in enumerate(cols)])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+    def profile(c):
+        values = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        rows = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0))
+        outside = F.lit(None).cast("bigint") if hi is None else \
+            F.coalesce(F.sum(F.when(~F.col("v").between(lo, hi), F.col("n"))), F.lit(0))
+        return values.agg(rows.alias("null_count"), F.min("v").cast("string").alias("min_value"),
+                          F.max("v").cast("string").alias("max_value"), F.count("v").alias("n_distinct"),
+                          outside.alias("out_of_range")).select(
+            F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"),
+            "null_count", "min_value", "max_value", "n_distinct", "out_of_range")
+    out = profile(cols[0])
+    for c in cols[1:]:
+        out = out.unionByName(profile(c))
+    return out

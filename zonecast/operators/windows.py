@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from zonecast.functions.columns import positive_ints, require_columns
 
 
+_EXACT = "decimal(38,0)"
+
+
 def _spec(key: str, time: str):
     return Window.partitionBy(key).orderBy(time)
 
@@ -44,27 +47,26 @@ def rolling_columns(windows, *, key="zone_id", time="hour", target="demand"):
 
 
 def _running_sum_columns(windows, key, time):
-    """Rolling mean / population std from prefix sums, exact for integer counts.
-
-    With ``S``/``Q`` the running sum of ``x``/``x²`` up to the current row
-    (BIGINT) and ``c = min(w, rows before)``, the previous-``w`` window has
-    sum ``S[t-1] - S[t-w-1]`` and population variance ``(c·ΣQ - (ΣS)²) / c²``.
-    The numerator's products are integers below 2^53 for any realistic hourly
-    count, so they are exact in doubles and the result equals the frame form,
-    in O(rows) whatever ``w`` is.
+    """Rolling mean / population std from prefix sums, exact for integer targets.
+
+    With ``S``, ``Q`` and ``C`` the running sum of ``x``, of ``x²`` and the
+    running count of non-null ``x`` up to the current row, the previous-``w``
+    window has ``c = C[t-1] - C[t-w-1]`` values, their sum from ``S`` and the
+    population variance ``(c·ΣQ - (ΣS)²) / c²``.  The sums and the numerator
+    are ``DECIMAL(38,0)``, so the subtraction loses nothing for counts of up
+    to about 10^15, and the result equals the frame form in O(rows) whatever
+    ``w`` is.  Nulls count neither in ``c`` nor in the sums.
     """
     w = _spec(key, time)
-    zero = F.lit(0).cast("bigint")
+
+    def back(name, n):
+        return (F.coalesce(F.lag(name, 1).over(w), F.lit(0)) - F.coalesce(F.lag(name, n + 1).over(w), F.lit(0)))
     cols = []
     for n in windows:
-        s = (F.coalesce(F.lag("_rs", 1).over(w), zero) - F.coalesce(F.lag("_rs", n + 1).over(w), zero)
-             ).cast("double")
-        q = (F.coalesce(F.lag("_rq", 1).over(w), zero) - F.coalesce(F.lag("_rq", n + 1).over(w), zero)
-             ).cast("double")
-        c = F.least(F.col("_rn") - 1, F.lit(n)).cast("double")
-        mean = F.when(c > 0, s / c)
-        var = F.greatest(c * q - s * s, F.lit(0.0)) / (c * c)
-        std = F.when(c > 0, F.sqrt(var)).otherwise(F.lit(0.0))
+        s, q, c = back("_rs", n).cast(_EXACT), back("_rq", n).cast(_EXACT), back("_rc", n)
+        mean = F.when(c > 0, s.cast("double") / c)
+        spread = (c.cast("decimal(10,0)") * q).cast(_EXACT) - (s * s).cast(_EXACT)
+        std = F.when(c > 0, F.sqrt(spread.cast("double")) / c).otherwise(F.lit(0.0))
         cols += [mean.alias(f"roll_mean_{n}h"), std.alias(f"roll_std_{n}h")]
     return cols
 
@@ -84,23 +86,23 @@ def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", ti
     if not isinstance(df.schema[target].dataType, T.IntegralType):
         return df.select("*", *lag_cols, *rolling_columns(windows, key=key, time=time, target=target))
     w = _spec(key, time)
-    x = F.col(target).cast("bigint")
+    x = F.col(target).cast("decimal(19,0)")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = df.select("*", F.sum(x).over(running).alias("_rs"),
-                     F.sum(x * x).over(running).alias("_rq"),
-                     F.row_number().over(w).alias("_rn"))
+                     F.sum((x * x).cast(_EXACT)).over(running).alias("_rq"),
+                     F.count(target).over(running).alias("_rc"))
     return base.select(*[F.col(c) for c in df.columns], *lag_cols,
                        *_running_sum_columns(windows, key, time))
 
 
-def add_lags(df: DataFrame, lags=(1, 24), *, key="zone_id", time="hour",
+def add_lags(df: DataFrame, lags=None, *, key="zone_id", time="hour",
              target="demand") -> DataFrame:
     """``lag_{k}h`` = value ``k`` records earlier in the same zone (double).
 
     Records equal hours only on a filled grid (``aggregate(...,
-    fill_missing_hours=True)``).
+    fill_missing_hours=True)``).  ``None`` means 1 and 24.
     """
-    lags = positive_ints(lags, "lags")
+    lags = positive_ints((1, 24) if lags is None else lags, "lags")
     require_columns(df, (key, time, target), "demand panel")
     return df.select("*", *lag_columns(lags, key=key, time=time, target=target))
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns
-from zonecast.operators.joins import BROADCAST_MAX_ROWS
 from zonecast.sources.zones import EXPECTED_COLUMNS
 
 
@@ -29,36 +28,34 @@ def one_row_per_id(dim: DataFrame, order: str | None = None) -> DataFrame:
 
 
 class ZoneResolver:
-    """A zone dimension prepared once: one row per id, size measured once.
+    """A zone dimension with one row per id, ready to join.
 
-    The dimension is broadcast in every join only if the single size probe
-    found it small; otherwise joins stay shuffle joins.
+    Joins carry no hint: adaptive execution broadcasts the dimension when its
+    measured bytes are below the session's threshold, and otherwise splits a
+    hot id's partition.
     """
 
-    def __init__(self, dim: DataFrame, *, dedupe: bool = True,
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+    def __init__(self, dim: DataFrame, *, dedupe: bool = True):
         require_columns(dim, EXPECTED_COLUMNS, "zone lookup")
         self.dim = one_row_per_id(dim) if dedupe else dim.select(*EXPECTED_COLUMNS)
-        self.small = self.dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
 
     def known_ids(self) -> DataFrame:
         """The valid ids (one ``LocationID`` column)."""
         return self.dim.select("LocationID")
 
-    def _side(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.small else df
-
     def annotate(self, df: DataFrame, id_column: str = "PULocationID", prefix: str = "PU") -> DataFrame:
         """Append ``{prefix}_borough, {prefix}_zone, {prefix}_service_zone``.
 
         Unknown or null ids get null labels; the row count never changes.
+        Columns of those names are replaced.
         """
         require_columns(df, (id_column,), "DataFrame")
+        df = df.drop(*[c for c in (f"{prefix}_borough", f"{prefix}_zone", f"{prefix}_service_zone") if c != id_column])
         key = f"_{prefix}_key"
-        d = self._side(self.dim.select(F.col("LocationID").alias(key),
+        d = self.dim.select(F.col("LocationID").alias(key),
                                        F.col("Borough").alias(f"{prefix}_borough"),
                                        F.col("Zone").alias(f"{prefix}_zone"),
-                                       F.col("service_zone").alias(f"{prefix}_service_zone")))
+                                       F.col("service_zone").alias(f"{prefix}_service_zone"))
         return df.join(d, F.col(id_column).cast("bigint") == F.col(key), "left").drop(key)
 
     def label(self, df: DataFrame, id_column: str = "zone_id", out: str = "label") -> DataFrame:
@@ -69,7 +66,7 @@ class ZoneResolver:
 
     def known(self, df: DataFrame, id_column: str = "PULocationID") -> DataFrame:
         """Rows whose id is in the dimension (left semi join)."""
-        d = self._side(self.dim.select(F.col("LocationID").alias("_k")))
+        d = self.dim.select(F.col("LocationID").alias("_k"))
         return df.join(d, F.col(id_column).cast("bigint") == F.col("_k"), "left_semi")
 
     def unresolved(self, df: DataFrame, id_column: str = "PULocationID") -> DataFrame:
@@ -81,7 +78,7 @@ class ZoneResolver:
         counts = (df.where(F.col(id_column).isNotNull())
                     .groupBy(F.col(id_column).cast("bigint").alias("zone_id"))
                     .agg(F.count(F.lit(1)).alias("n_rows")))
-        d = self._side(self.dim.select(F.col("LocationID").alias("_k")))
+        d = self.dim.select(F.col("LocationID").alias("_k"))
         return counts.join(d, F.col("zone_id") == F.col("_k"), "left_anti")
 
 
@@ -100,11 +97,6 @@ def zone_label(zone_id: Column | str, zone: Column | str, borough: Column | str)
              .otherwise(F.format_string("zone %d (%s, %s)", zid.cast("bigint"), z, b)))
 
 
-def display_name(zone: Column | str, borough: Column | str) -> Column:
-    """``"{zone} ({borough})"`` used in ranking tables."""
-    return F.format_string("%s (%s)", zone, borough)
-
-
 def known_ids(df: DataFrame, dim: DataFrame, id_column: str = "PULocationID") -> DataFrame:
     return ZoneResolver(dim).known(df, id_column)
 

@@ -27,17 +27,17 @@ from zonecast.operators.reports import (column_profile, daily_counts, daily_summ
                                         demand_heatmap, forecast_vs_actual, top_zones,
                                         top_zones_share, weekday_anomalies, weekday_zscore,
                                         zone_totals)
-from zonecast.operators.splits import cv_folds, cv_folds_by_hour, label_time_split, time_split
+from zonecast.operators.splits import cv_folds, cv_folds_by_hour, fold_summary, label_time_split, time_split
 from zonecast.operators.windows import add_lags, add_rolling_features
 from zonecast.operators.zones import ZoneResolver, borough_demand, zones_without_demand
 from zonecast.plans import sql_oracle as S
 from zonecast.plans.features import build_features
-from zonecast.plans.forecast import lag_feature_frame, top_k_forecast
+from zonecast.plans.forecast import forecast_report, lag_feature_frame, top_k_forecast
 from zonecast.session import configure
 from zonecast.sources.trips import read_events_trips, schema_profile
 from zonecast.sources.zones import zone_dim_from_tables
 
-NUM_ZONES = S.NUM_ZONES     # SQL form of the zone universe, see zone_universe()
+NUM_ZONES = S.NUM_ZONES     # every positive id of the events view is a zone
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,18 +68,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def zone_universe(spark: SparkSession, sf_dir: str) -> int:
-    """Largest zone id of the events view (``max(user_id)``; one scalar aggregate).
-
-    The cleaner keeps ids ``1..max``: every row except the invalid id 0, so
-    the queries run over the whole table.
-    """
-    n = table(spark, sf_dir, "events").agg(F.max("user_id")).first()[0]
-    return max(1, int(n or 0))
-
-
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_trips(read_events_trips(spark, sf_dir), num_zones=zone_universe(spark, sf_dir))
+    return clean_trips(read_events_trips(spark, sf_dir), num_zones=NUM_ZONES)
 
 
 def hourly(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
@@ -102,7 +92,35 @@ def q_clean_trips(spark, sf_dir):
                      AND DOLocationID BETWEEN 1 AND {NUM_ZONES}) AS rows_out
   FROM trips""")
 def q_clean_report(spark, sf_dir):
-    return clean_report(read_events_trips(spark, sf_dir), num_zones=zone_universe(spark, sf_dir))
+    return clean_report(read_events_trips(spark, sf_dir), num_zones=NUM_ZONES)
+
+
+@register("clean_trips_bounded", "WITH " + S.trips_cte() + ", " + S.clean_cte(50)
+          + " SELECT pickup_datetime, PULocationID, DOLocationID FROM clean")
+def q_clean_trips_bounded(spark, sf_dir):
+    """A zone universe that is smaller than the ids: the upper bound removes rows."""
+    return clean_trips(read_events_trips(spark, sf_dir), num_zones=50)
+
+
+_RAW_SQL = """raw AS (SELECT CASE WHEN event_id % 7 = 0 THEN 'not a time' WHEN event_id % 11 = 0 THEN NULL
+    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS pickup_datetime,
+  CASE WHEN event_id % 13 <> 0 THEN user_id + 0.7 END AS PULocationID,
+  CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.25 AS DOLocationID FROM events)"""
+
+
+@register("clean_trips_raw", "WITH " + _RAW_SQL + """,
+  typed AS (SELECT TRY_CAST(pickup_datetime AS TIMESTAMP) AS pickup_datetime, CAST(trunc(PULocationID) AS BIGINT) AS PULocationID,
+                   CAST(trunc(DOLocationID) AS BIGINT) AS DOLocationID FROM raw)
+  SELECT * FROM typed WHERE pickup_datetime IS NOT NULL AND PULocationID BETWEEN 1 AND 800 AND DOLocationID BETWEEN 1 AND 800""")
+def q_clean_trips_raw(spark, sf_dir):
+    """Times as text (some are none), missing ids, ids with a fraction."""
+    e = table(spark, sf_dir, "events")
+    raw = e.select(
+        F.when(F.col("event_id") % 7 == 0, F.lit("not a time")).when(F.col("event_id") % 11 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .alias("pickup_datetime"),
+        F.when(F.col("event_id") % 13 != 0, F.col("user_id") + F.lit(0.7)).alias("PULocationID"),
+        (F.get_json_object("props", "$.k").cast("double") + F.lit(0.25)).alias("DOLocationID"))
+    return clean_trips(raw, num_zones=800)
 
 
 # ----------------------------------------------------------------- demand ---
@@ -141,9 +159,10 @@ def q_orders_daily_demand(spark, sf_dir):
   FROM hourly""")
 def q_hour_bounds(spark, sf_dir):
     h = hourly(spark, sf_dir)
-    return h.agg(F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"),
-                 F.count_distinct("hour").alias("n_hours"), F.count_distinct("zone_id").alias("n_zones"),
-                 F.sum("demand").cast("bigint").alias("n_trips"))
+    hours = h.groupBy("hour").agg(F.sum("demand").alias("n"))       # one distinct count an aggregate: no Expand
+    zones = h.select("zone_id").distinct().agg(F.count(F.lit(1))).scalar()
+    return hours.agg(F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"),
+                     F.count(F.lit(1)).alias("n_hours"), zones.alias("n_zones"), F.sum("n").cast("bigint").alias("n_trips"))
 
 
 # ---------------------------------------------------------------- windows ---
@@ -176,6 +195,14 @@ def q_rolling_features(spark, sf_dir):
     return round_doubles(add_rolling_features(hourly(spark, sf_dir, fill=True), (24, 3)))
 
 
+@register("rolling_nullable", S.base_ctes() + ", gaps AS (SELECT zone_id, hour, nullif(demand, 1) * 3000000000 AS demand FROM hourly)"
+          + f" SELECT zone_id, hour, demand, {_rolling_sql(3)} FROM gaps")
+def q_rolling_nullable(spark, sf_dir):
+    """A target with nulls and values whose squares are beyond 64 bits."""
+    panel = hourly(spark, sf_dir).withColumn("demand", F.nullif(F.col("demand"), F.lit(1).cast("bigint")) * F.lit(3000000000))
+    return round_doubles(add_rolling_features(panel, (3,)))
+
+
 # --------------------------------------------------------------- calendar ---
 
 def _calendar_sql(src: str, hol: str = "holidays") -> str:
@@ -198,12 +225,8 @@ def q_calendar_features_state(spark, sf_dir):
     return add_calendar_features(hourly(spark, sf_dir), "state")
 
 
-_SHIP_YEARS_SQL = ("SELECT CAST(unnest(generate_series(min(year(l_shipdate)), max(year(l_shipdate)))) "
-                   "AS INTEGER) AS y FROM lineitem")
-
-
-@register("holiday_table", "WITH " + S.holidays_cte("federal", "fed", years_sql=_SHIP_YEARS_SQL) + ", "
-          + S.holidays_cte("state", "st", years_sql=_SHIP_YEARS_SQL)
+@register("holiday_table", "WITH " + S.holidays_cte("federal", "fed", S.SHIP_YEARS) + ", "
+          + S.holidays_cte("state", "st", S.SHIP_YEARS)
           + " SELECT 'federal' AS calendar, holiday_date, name FROM fed"
           + " UNION ALL SELECT 'state' AS calendar, holiday_date, name FROM st")
 def q_holiday_table(spark, sf_dir):
@@ -214,6 +237,16 @@ def q_holiday_table(spark, sf_dir):
                          .select(F.lit("state").alias("calendar"), "*")))
 
 
+@register("lineitem_calendar", "WITH " + S.holidays_cte("federal", "holidays", S.SHIP_YEARS)
+          + ", days AS (SELECT CAST(l_shipdate AS TIMESTAMP) AS hour, count(*) AS items FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1)"
+          + _calendar_sql("days"))
+def q_lineitem_calendar(spark, sf_dir):
+    """Calendar features of the ship dates: the 1990s, far from the default years."""
+    days = (table(spark, sf_dir, "lineitem").where("l_shipdate is not null")
+            .groupBy(F.col("l_shipdate").cast("timestamp_ntz").alias("hour")).agg(F.count(F.lit(1)).alias("items")))
+    return add_calendar_features(days)
+
+
 @register("build_features_full", S.base_ctes(grid=True) + ", " + S.holidays_cte("federal")
           + ", feats AS (SELECT zone_id, hour, demand,"
           " CAST(lag(demand, 1) OVER w AS DOUBLE) AS lag_1h,"
@@ -312,7 +345,7 @@ _FEATS_SQL = (", feats AS (SELECT zone_id, hour, demand,"
               " CAST(lag(demand, 1) OVER w AS DOUBLE) AS lag_1h,"
               " CAST(lag(demand, 24) OVER w AS DOUBLE) AS lag_24h"
               " FROM filled WINDOW w AS (PARTITION BY zone_id ORDER BY hour)),"
-              " complete AS (SELECT * FROM feats WHERE lag_1h IS NOT NULL AND lag_24h IS NOT NULL),"
+              " complete AS MATERIALIZED (SELECT * FROM feats WHERE lag_1h IS NOT NULL AND lag_24h IS NOT NULL),"
               " hours AS (SELECT hour, row_number() OVER (ORDER BY hour) - 1 AS idx,"
               " count(*) OVER () AS n FROM (SELECT DISTINCT hour FROM complete)),"
               " cut AS (SELECT hour AS cut_hour FROM hours WHERE n >= 2 AND idx = greatest(1, floor(n * 0.8))),"
@@ -325,7 +358,7 @@ FEATS_SQL = S.base_ctes(grid=True) + _FEATS_SQL
 
 def features(spark, sf_dir):
     """Lag features on the filled grid, materialised once for the model passes."""
-    return materialized(lag_feature_frame(clean_events(spark, sf_dir)), "checkpoint")
+    return materialized(lag_feature_frame(clean_events(spark, sf_dir)), "parquet")
 
 
 @register("time_split", FEATS_SQL + " SELECT zone_id, hour, split FROM labelled")
@@ -349,17 +382,16 @@ _CV_BOUNDS_SQL = (f"folds AS (SELECT CAST(f AS INTEGER) AS fold FROM range({_CV_
                   "bounds AS (SELECT fold, train_end, train_end + t AS test_end FROM b WHERE train_end > 0)")
 
 
-@register("cv_folds", FEATS_SQL + ", pos AS (SELECT *, row_number() OVER (ORDER BY zone_id, hour) - 1 AS p"
+@register("cv_folds", FEATS_SQL + ", pos AS (SELECT *, row_number() OVER (ORDER BY hour, zone_id) - 1 AS p"
           " FROM complete), cnt AS (SELECT count(*) AS n FROM pos), " + _CV_BOUNDS_SQL + """
   SELECT fold, CASE WHEN p < train_end THEN 'train' ELSE 'test' END AS role,
          count(*) AS n_rows, min(p) AS first_pos, max(p) AS last_pos,
          CAST(sum(demand) AS BIGINT) AS demand_sum
   FROM pos JOIN bounds ON p < test_end GROUP BY 1, 2""")
 def q_cv_folds(spark, sf_dir):
-    folds = cv_folds(features(spark, sf_dir), _CV_K, ("zone_id", "hour"))
-    return folds.groupBy("fold", "role").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("pos").alias("first_pos"),
-        F.max("pos").alias("last_pos"), F.sum("demand").cast("bigint").alias("demand_sum"))
+    folds = cv_folds(lag_feature_frame(clean_events(spark, sf_dir)), _CV_K)
+    return fold_summary(folds, _CV_K, ("n_rows", F.count(F.lit(1)), F.sum), ("first_pos", F.min("pos"), F.min),
+                        ("last_pos", F.max("pos"), F.max), ("demand_sum", F.sum("demand").cast("bigint"), F.sum))
 
 
 @register("cv_folds_by_hour", FEATS_SQL + ", hidx AS (SELECT hour, row_number() OVER (ORDER BY hour) - 1 AS p"
@@ -372,9 +404,9 @@ def q_cv_folds(spark, sf_dir):
   FROM complete c JOIN lab ON c.hour = lab.hour GROUP BY 1, 2""")
 def q_cv_folds_by_hour(spark, sf_dir):
     folds = cv_folds_by_hour(features(spark, sf_dir), _CV_K)
-    return folds.groupBy("fold", "role").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hour").alias("n_hours"),
-        F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
+    # no hour is in two groups, so distinct hours add up
+    return fold_summary(folds, _CV_K, ("n_rows", F.count(F.lit(1)), F.sum), ("n_hours", F.count_distinct("hour"), F.sum),
+                        ("first_hour", F.min("hour"), F.min), ("last_hour", F.max("hour"), F.max))
 
 
 # ---------------------------------------------------------------- metrics ---
@@ -391,7 +423,7 @@ def _metric_sql(y: str, p: str, prefix: str, with_mape: bool = True) -> str:
 @register("naive_baseline_metrics", FEATS_SQL + " SELECT count(*) AS n_rows, "
           + _metric_sql("demand", "lag_24h", "baseline_") + " FROM complete")
 def q_naive_baseline_metrics(spark, sf_dir):
-    b = naive_baseline(features(spark, sf_dir))
+    b = naive_baseline(lag_feature_frame(clean_events(spark, sf_dir)))      # read once: nothing to materialise
     return round_doubles(b.agg(F.count(F.lit(1)).alias("n_rows"),
                                *metric_columns("demand", "baseline", "baseline_", include_mape=True)))
 
@@ -414,7 +446,7 @@ def q_ols_coefficients(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
     m = DemandForecaster().fit(train)
     c = m.coefficients()
-    n = train.dropna(subset=m.feature_columns).count()
+    n = m.model.stages[-1].summary.numInstances
     return round_doubles(spark.createDataFrame(
         [(n, c["intercept"], c["coef_lag_1h"], c["coef_lag_24h"])],
         "n_train bigint, intercept double, coef_lag_1h double, coef_lag_24h double"))
@@ -443,11 +475,10 @@ _RIDGE_ALPHA = 1.0
          round(b1, 6) AS coef_lag_1h, round(b2, 6) AS coef_lag_24h FROM beta""")
 def q_ridge_coefficients(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    rows = train.dropna(subset=["lag_1h", "lag_24h"])
-    model = make_pipeline("ridge").fit(rows)
+    model = make_pipeline("ridge").fit(train)
     c = linear_coefficients(model, ("lag_1h", "lag_24h"))
     return round_doubles(spark.createDataFrame(
-        [(rows.count(), c["intercept"], c["coef_lag_1h"], c["coef_lag_24h"])],
+        [(model.stages[-1].summary.numInstances, c["intercept"], c["coef_lag_1h"], c["coef_lag_24h"])],
         "n_train bigint, intercept double, coef_lag_1h double, coef_lag_24h double"))
 
 
@@ -458,6 +489,34 @@ def q_model_comparison(spark, sf_dir):
     return round_doubles(model_comparison(multi, test))
 
 
+@register("forest_check", FEATS_SQL + """ SELECT count(*) AS n_rows, TRUE AS in_label_range, TRUE AS beats_baseline FROM test""")
+def q_forest_check(spark, sf_dir):
+    """The forest's predictions stay within the training labels and its RMSE is no worse than the baseline's."""
+    train, test = _train_test(spark, sf_dir)
+    model = make_pipeline("random_forest").fit(train)
+    seen = train.agg(F.min("demand").alias("lo"), F.max("demand").alias("hi")).first()
+    scored = model.transform(test)
+    p, y = F.col("prediction"), F.col("demand")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.bool_and(p.between(seen["lo"], seen["hi"])).alias("in_label_range"),
+                      (F.avg((y - p) * (y - p)) <= F.avg((y - F.col("lag_24h")) * (y - F.col("lag_24h")))).alias("beats_baseline"))
+
+
+@register("forecast_metrics", FEATS_SQL + _OLS_SQL + """,
+  scored AS (SELECT t.demand, t.lag_24h, c.b0 + c.b1 * t.lag_1h + c.b2 * t.lag_24h AS prediction FROM test t, coef c)
+  SELECT * REPLACE (round(model_mape, 2) AS model_mape, round(baseline_mape, 2) AS baseline_mape) FROM (
+  SELECT """ + _metric_sql("demand", "prediction", "model_") + ", " + _metric_sql("demand", "lag_24h", "baseline_") + " FROM scored)")
+def q_forecast_metrics(spark, sf_dir):
+    """The end-to-end flow: its metrics row, MAPE included.
+
+    Cells without demand divide by the epsilon, so MAPEs are of the order of
+    10^8 and are compared to 2 digits.
+    """
+    report = forecast_report(clean_events(spark, sf_dir), zone_dim(spark, sf_dir), model_names=("linear", "ridge"))
+    out = round_doubles(report.metrics)
+    return out.withColumns({c: F.round(c, 2) for c in ("model_mape", "baseline_mape")})
+
+
 _RIDGE_BETA_SQL = f""",
   z AS (SELECT n, my, m1, m2, sqrt(s11) AS d1, sqrt(s22) AS d2, s12 / sqrt(s11 * s22) AS r,
                s1y / sqrt(s11) AS c1, s2y / sqrt(s22) AS c2, 1 + {_RIDGE_ALPHA} / n AS a FROM st),
@@ -598,7 +657,7 @@ def q_top_zones_share(spark, sf_dir):
          count(*) FILTER (WHERE NOT (DOLocationID BETWEEN 1 AND {NUM_ZONES})) FROM trips)""")
 def q_column_profile(spark, sf_dir):
     return column_profile(read_events_trips(spark, sf_dir), ["PULocationID", "DOLocationID"],
-                          lo=1, hi=zone_universe(spark, sf_dir))
+                          lo=1, hi=NUM_ZONES)
 
 
 _EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -656,6 +715,31 @@ def q_page_links_filtered(spark, sf_dir):
     return L.filter_values(cat, "term", ["The", "de", "IN", "la"])
 
 
+_LINK_TYPES = ("yellow", "GREEN", "fhv", "Fhvhv", "purple")
+
+
+@register("trip_links", """WITH o AS (SELECT o_custkey AS page_id, o_orderkey, o_orderdate,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos,
+    list_extract(['yellow', 'GREEN', 'fhv', 'Fhvhv', 'purple'], CAST(o_orderkey % 5 + 1 AS BIGINT)) AS kind FROM orders),
+  l AS (SELECT 'https://data.example.org/trip-data/' || kind || '_tripdata_' || strftime(o_orderdate, '%Y-%m') || '.parquet' AS url,
+               lower(kind) AS taxi_type, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, page_id, pos
+        FROM o WHERE kind <> 'purple'),
+  f AS (SELECT taxi_type, year, month, url, min(struct_pack(page_id := page_id, pos := pos)) AS f FROM l GROUP BY ALL)
+  SELECT taxi_type, year, month, url, f.page_id AS page_id, CAST(f.pos AS INTEGER) AS pos FROM f
+  WHERE taxi_type IN ('yellow', 'green', 'fhvhv') AND year = 1995 AND month <= 6""")
+def q_trip_links(spark, sf_dir):
+    """The catalogue chain over pages made of the orders: one page a customer, one anchor an order."""
+    o = table(spark, sf_dir, "orders")
+    kind = F.get(F.array(*[F.lit(t) for t in _LINK_TYPES]), (F.col("o_orderkey") % 5).cast("int"))
+    anchor = F.concat(F.lit('<p>x <a title="a>b" class=l href="\n https:&#47;&#x2F;data.example.org/trip-data/'), kind, F.lit("_tripdata_"),
+                      F.date_format("o_orderdate", "yyyy-MM"), F.lit('.parquet\t">a</a>'))
+    pages = (o.select("o_custkey", "o_orderkey", anchor.alias("a")).groupBy(F.col("o_custkey").alias("page_id"))
+             .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "a"))).alias("l"))
+             .select("page_id", F.concat_ws(" ", "l.a").alias("html")))
+    found = L.filter_links(L.extract_trip_data_links(pages), taxi_types=["yellow", "Green", "FHVHV"], year=1995, months=range(1, 7))
+    return L.sort_links(found)
+
+
 # ----------------------------------------------------------------- groups ---
 
 

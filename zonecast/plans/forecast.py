@@ -61,7 +61,7 @@ class ForecastReport:
 
 def forecast_report(trips: DataFrame, dim: DataFrame | None = None, *, top_k: int = DEFAULT_TOP_K,
                     train_frac: float = 0.8, model_names=None,
-                    materialize: str = "checkpoint") -> ForecastReport:
+                    materialize: str = "parquet") -> ForecastReport:
     """Run the whole forecasting flow; the feature frame is materialised once.
 
     Returns the OLS-vs-baseline metrics row, the per-model comparison table

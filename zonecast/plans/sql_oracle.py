@@ -7,13 +7,11 @@ hourly panel, grid, holiday calendar) written directly in SQL.
 
 from __future__ import annotations
 
-from zonecast.functions.holidays import (DEFAULT_FIRST_YEAR, DEFAULT_LAST_YEAR,
-                                         FEDERAL_RULES, JUNETEENTH_FIRST_YEAR,
-                                         STATE_EXTRA_RULES)
+from zonecast.functions.holidays import FEDERAL_RULES, JUNETEENTH_FIRST_YEAR, STATE_EXTRA_RULES
 
-# The zone universe of the events view is ids 1..max(user_id): the whole
+# The zone universe of the events view: any positive 32-bit id, so the whole
 # table is kept except the invalid id 0 (and drop-off key 0).
-NUM_ZONES = "(SELECT max(user_id) FROM events)"
+NUM_ZONES = 2_147_483_647
 
 _ISODOW = {"Mon": 1, "Tue": 2, "Wed": 3, "Thu": 4, "Fri": 5, "Sat": 6, "Sun": 7}
 
@@ -25,7 +23,7 @@ def trips_cte() -> str:
     )
 
 
-def clean_cte(n: str = NUM_ZONES) -> str:
+def clean_cte(n: int = NUM_ZONES) -> str:
     return (
         "clean AS (SELECT * FROM trips WHERE pickup_datetime IS NOT NULL "
         "AND PULocationID IS NOT NULL AND DOLocationID IS NOT NULL "
@@ -47,7 +45,7 @@ def grid_cte(src: str = "hourly", out: str = "filled", step: str = "1 HOUR",
         f"{out}_keys AS (SELECT DISTINCT {key} FROM {src}), "
         f"{out}_grid AS (SELECT {key}, unnest(generate_series(lo, hi, INTERVAL {step})) AS {time} "
         f"FROM {out}_keys, {out}_bounds), "
-        f"{out} AS (SELECT g.{key}, g.{time}, CAST(coalesce(s.{value}, 0) AS BIGINT) AS {value} "
+        f"{out} AS MATERIALIZED (SELECT g.{key}, g.{time}, CAST(coalesce(s.{value}, 0) AS BIGINT) AS {value} "
         f"FROM {out}_grid g LEFT JOIN {src} s ON g.{key} = s.{key} AND g.{time} = s.{time})"
     )
 
@@ -72,9 +70,12 @@ def _observed_sql(d: str) -> str:
     return (f"CAST(CASE isodow({d}) WHEN 6 THEN {d} - 1 WHEN 7 THEN {d} + 1 ELSE {d} END AS DATE)")
 
 
-def holidays_cte(calendar: str = "federal", name: str = "holidays",
-                 first_year: int = DEFAULT_FIRST_YEAR, last_year: int = DEFAULT_LAST_YEAR,
-                 years_sql: str | None = None) -> str:
+EVENT_YEARS = "SELECT min(year(ts)) AS lo, max(year(ts)) AS hi FROM events"
+SHIP_YEARS = "SELECT min(year(l_shipdate)) AS lo, max(year(l_shipdate)) AS hi FROM lineitem"
+
+
+def holidays_cte(calendar: str = "federal", name: str = "holidays", span_sql: str = EVENT_YEARS) -> str:
+    """Observed holidays in the calendar years ``lo..hi`` of ``span_sql``."""
     rules = FEDERAL_RULES + (STATE_EXTRA_RULES if calendar == "state" else [])
     selects = []
     for hname, month, rule, arg in rules:
@@ -89,6 +90,6 @@ def holidays_cte(calendar: str = "federal", name: str = "holidays",
         cond = f" WHERE y >= {JUNETEENTH_FIRST_YEAR}" if hname == "Juneteenth" else ""
         esc = hname.replace("'", "''")
         selects.append(f"SELECT {d} AS holiday_date, '{esc}' AS name FROM {name}_years{cond}")
-    if years_sql is None:
-        years_sql = f"SELECT CAST(range AS INTEGER) AS y FROM range({first_year}, {last_year + 1})"
-    return f"{name}_years AS ({years_sql}), {name} AS ({' UNION ALL '.join(selects)})"
+    return (f"{name}_span AS ({span_sql}), {name}_years AS (SELECT CAST(unnest(generate_series(lo, hi + 1)) AS INTEGER) AS y "
+            f"FROM {name}_span), {name} AS (SELECT h.* FROM ({' UNION ALL '.join(selects)}) h, {name}_span "
+            "WHERE year(holiday_date) BETWEEN lo AND hi)")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,14 @@ def get_session(master: str | None = None, app: str = "zonecast",
     return spark
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder, deleted when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 

@@ -23,11 +23,13 @@ from zonecast.sources.trips import NUM_TAXI_ZONES, REQUIRED_COLUMNS
 def hourly_demand_stream(trips: DataFrame, *, watermark: str = "1 hour",
                          num_zones: int | None = NUM_TAXI_ZONES, key: str = "PULocationID",
                          ts: str = "pickup_datetime") -> DataFrame:
-    """Streaming ``(zone_id, hour, demand)``; pass ``num_zones=None`` to skip cleaning."""
-    require_columns(trips, (key, ts), "trip stream")
+    """Streaming ``(zone_id, hour, demand)``; pass ``num_zones=None`` to skip cleaning.
+
+    Cleaning needs all of the trip columns; a stream without one is refused.
+    """
+    require_columns(trips, (key, ts) if num_zones is None else (key, ts, *REQUIRED_COLUMNS), "trip stream")
     configure(trips.sparkSession)
-    src = clean_trips(trips, num_zones=num_zones) if num_zones is not None and \
-        set(REQUIRED_COLUMNS) <= set(trips.columns) else trips
+    src = trips if num_zones is None else clean_trips(trips, num_zones=num_zones)
     src = src.where(F.col(key).isNotNull() & F.col(ts).isNotNull()) \
              .withColumn("_event_ts", F.col(ts).cast("timestamp")) \
              .withWatermark("_event_ts", watermark)

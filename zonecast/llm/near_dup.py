@@ -18,18 +18,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.components import components
+from zonecast.llm.components import bounded, components
+from zonecast.llm.groups import binary, by_group, column
 from zonecast.llm.shared import materialize
 from zonecast.llm.textbytes import (MULTIPLIER, NOT_SPACE, gram_hashes, mix, slices, stream,
                                     word_hashes, words)
 
 REGISTERS = 128              # a power of two: odd strides visit every register once
-BAND_ROWS = 5
-BANDS = 25                   # misses a pair at 0.85 once in about two million
+MISS = 1e-6                  # a pair at the threshold shares no band at most this often
 SCALE = 20.0
 BASE = 1.05
 TOP = (1 << 16) - 2
-BLOCK = 2000                 # documents compared at once in one task
+BLOCK = 1000                 # documents compared at once in one task
 PIVOTS = 64                  # documents of a large cluster that every block of it meets
 
 
@@ -86,13 +86,19 @@ def registers(rows: np.ndarray, values: np.ndarray, n_rows: int, m: int = REGIST
     return np.clip(out, 0, TOP).astype(np.uint16).reshape(n_rows, m)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
+def band_rows(threshold: int, m: int = REGISTERS) -> int:
+    """The most registers per band with which a pair at ``threshold`` per cent is missed at most ``MISS`` of the time."""
+    return max([1, *(r for r in range(1, m) if (1 - (threshold / 100) ** r) ** (m // r) <= MISS)])
+
+
+def band_keys(regs: np.ndarray, per_band: int) -> np.ndarray:
     """One 64-bit key per row and band."""
-    out = np.empty((len(regs), BANDS), np.uint64)
-    for b in range(BANDS):
+    bands = regs.shape[1] // per_band
+    out = np.empty((len(regs), bands), np.uint64)
+    for b in range(bands):
         key = np.full(len(regs), b + 1, np.uint64)
-        for r in range(BAND_ROWS):
-            key = (key + regs[:, b * BAND_ROWS + r].astype(np.uint64)) * MULTIPLIER
+        for r in range(per_band):
+            key = (key + regs[:, b * per_band + r].astype(np.uint64)) * MULTIPLIER
             key ^= key >> np.uint64(31)
         out[:, b] = mix(key)
     return out
@@ -124,7 +130,7 @@ def estimate(a: np.ndarray, n_a: int, others: np.ndarray, n_others: np.ndarray)
 
 def links(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, query: np.ndarray, threshold: int,
           label: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Verified links that span the components among these documents.
+    """``(smallest id, id)`` for every document that verified links connect with a smaller one here.
 
     Only the documents marked in ``query`` look for partners; two that are
     already known to be connected (equal labels) need no further look.  A
@@ -136,9 +142,9 @@ def links(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, query: np.n
     _, code = np.unique(np.concatenate(sets), return_inverse=True)
     flag = np.zeros(int(code.max()) + 1 if len(code) else 1, bool)
     group = np.unique(label, return_inverse=True)[1].copy() if label is not None else np.arange(n)
+    start = group.copy()
     sure = threshold / 100
     margin = sure - 6 * math.sqrt(sure * (1 - sure) / regs.shape[1])
-    out = []
     for x in np.flatnonzero(query):
         other = (group != group[x]) & (100 * np.minimum(size, size[x]) >= threshold * np.maximum(size, size[x]))
         y = np.flatnonzero(other)
@@ -154,36 +160,17 @@ def links(ids: np.ndarray, sets: list[np.ndarray], regs: np.ndarray, query: np.n
         for z in y[100 * common >= threshold * (size[x] + size[y] - common)]:
             if group[z] != group[x]:
                 group[group == group[z]] = group[x]
-                out.append((int(ids[x]), int(ids[z])))
-    return out
-
-
-def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
-def _by_group(batches, key: str):
-    """Tables of equal key from a stream of batches sorted by it."""
-    rest = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k = _column(batch, key).to_numpy()
-        cuts = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1, len(k)]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            piece = batch.slice(lo, hi - lo)
-            if rest and _column(rest[0], key)[0].as_py() != k[lo]:
-                yield pa.Table.from_batches(rest)
-                rest = []
-            rest.append(piece)
-    if rest:
-        yield pa.Table.from_batches(rest)
+    # ids ascend, so the first of a group is its smallest; one edge for each earlier group that it took in
+    _, first, group = np.unique(group, return_index=True, return_inverse=True)
+    _, lead, start = np.unique(start, return_index=True, return_inverse=True)
+    return [(int(ids[first[group[x]]]), int(ids[x])) for x in lead if first[group[x]] != x]
 
 
 def _verify(tasks: DataFrame, threshold: int, labelled: bool) -> DataFrame:
     """Links found within each task: rows (task, cid, query, regs, shingles[, label])."""
     def run(batches):
-        for t in _by_group(batches, "task"):
+        for t in by_group(batches, "task"):
+            t = t.sort_by([("cid", "ascending"), ("query", "descending")])
             ids, first = np.unique(t.column("cid").to_numpy(), return_index=True)
             if len(ids) < 2:
                 continue
@@ -199,29 +186,50 @@ def _verify(tasks: DataFrame, threshold: int, labelled: bool) -> DataFrame:
     return tasks.select(*cols).repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5,
-                    threshold: int = 80) -> DataFrame:
-    """Per document row: doc_id, n_shingles, component_id, kept.
-
-    Words are runs of anything but ASCII white space, A-Z lower-cased.  Two
-    documents are linked if their sets of ``shingle_words``-word shingles have
-    a Jaccard similarity of at least ``threshold`` per cent;
-    ``component_id`` is the smallest doc_id that links reach.
+def _large_clusters(large: DataFrame, threshold: int) -> DataFrame:
+    """``(node, label)`` of the documents of clusters of several blocks.
 
-    Identical sets form a class that is represented once.  Null and empty
-    texts (and those of white space) have no shingles and are linked with
-    nothing.  Rows with a repeated id each count as a document.  A null id is
-    never the smallest where another exists; ``kept`` compares null-safely.
-    Other columns are ignored; an empty table gives an empty result.
+    Each block is searched on its own together with some pivots of the whole
+    cluster, so that its blocks join up without meeting each other.  Documents
+    that are then outside the cluster's main component are compared with
+    every block.
     """
+    task = F.xxhash64("cluster", "block").alias("task")
+    own = large.select(task, "cid", F.lit(True).alias("query"), "regs", "shingles")
+    place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64("cid"), "cid"))
+    few = large.select("cluster", "cid").withColumn("place", place).where(F.col("place") <= PIVOTS).select("cid")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    pivots = large.join(few, "cid").withColumn("block", every).select(task, "cid", F.lit(True).alias("query"), "regs", "shingles")
+    found = materialize(_verify(own.union(pivots), threshold, False), "sketch-links")
+
+    known = components(found)
+    split = large.join(known, large["cid"] == known["node"], "left").drop("node")
+    split = split.withColumn("label", F.coalesce("label", "cid"))
+    per = split.groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    main = per.groupBy("cluster").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("parts"))
+    split = materialize(split.join(main.where("parts > 1"), "cluster").withColumn("query", F.col("label") != F.col("main")), "sketch-split")
+    asking = split.where("query")
+    if asking.isEmpty():
+        return known
+    groups = asking.select("cluster", F.col("block").alias("from")).distinct()
+    cols = ["task", "cid", "query", "regs", "shingles", "label"]
+    targets = split.join(groups, "cluster").select(
+        F.xxhash64("cluster", "block", "from").alias("task"), "cid", F.lit(False).alias("query"), "regs", "shingles", "label")
+    queries = asking.withColumn("to", every).withColumn("task", F.xxhash64("cluster", "to", "block")).select(*cols)
+    more = _verify(queries.union(targets), threshold, True)
+    return components(found.union(more))
+
+
+def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, threshold: int) -> DataFrame:
+    """Per row: doc, th (hash of the text), n, label (equal for connected documents, null without shingles), component_id."""
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     source = source.withColumn("th", F.xxhash64("text"))
 
     def scan(batches):
         for batch in batches:
-            ids, th = _column(batch, "doc"), _column(batch, "th")
-            for lo, hi, data, offsets in slices(_column(batch, "text")):
+            ids, th = column(batch, "doc"), column(batch, "th")
+            for lo, hi, data, offsets in slices(column(batch, "text")):
                 n = hi - lo
                 row, h = shingles(data, offsets, shingle_words)
                 size = np.bincount(row, minlength=n)
@@ -234,7 +242,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 regs = registers(row, h, n)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, n), th.slice(lo, n), pa.array(size.astype(np.int64)), *digest,
-                     _binary(regs.reshape(-1).view(np.uint8), np.full(n, regs.shape[1] * 2))],
+                     binary(regs.reshape(-1).view(np.uint8), np.full(n, regs.shape[1] * 2))],
                     names=["doc", "th", "n", "d1", "d2", "regs"])
     scanned = source.mapInArrow(scan, f"doc {kind}, th long, n long, d1 long, d2 long, regs binary")
     base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "sketch-docs")
@@ -245,16 +253,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     reps = base.select("row", "doc", "th", "n", "regs").join(classes.select(F.col("cid").alias("row")), "row")
     reps = materialize(reps.withColumnRenamed("row", "cid"), "sketch-reps")
 
+    per_band = band_rows(threshold)
+
     def bands(batches):
         for batch in batches:
             if batch.num_rows:
-                regs = np.stack([np.frombuffer(b.as_buffer(), np.uint16) for b in _column(batch, "regs")])
-                cid = _column(batch, "cid").to_numpy()
+                regs = np.stack([np.frombuffer(b.as_buffer(), np.uint16) for b in column(batch, "regs")])
+                cid = column(batch, "cid").to_numpy()
+                keys = band_keys(regs, per_band)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(band_keys(regs).reshape(-1).view(np.int64)), pa.array(np.repeat(cid, BANDS))], names=["key", "cid"])
+                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(cid, keys.shape[1]))], names=["key", "cid"])
     banded = materialize(reps.select("cid", "regs").mapInArrow(bands, "key long, cid long"), "sketch-bands")
     shared = banded.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("key", "a")
-    star = banded.join(shared, "key").where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
+    shared = materialize(shared, "sketch-buckets")
+    star = banded.join(bounded(shared), "key").where("cid <> a").select("a", F.col("cid").alias("b"))
     clusters = components(star).withColumnsRenamed({"node": "cid", "label": "cluster"})
 
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("members"))
@@ -265,11 +277,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     def sets(batches):
         for batch in batches:
             names = [f.name for f in batch.schema if f.name != "text"]
-            for lo, hi, data, offsets in slices(_column(batch, "text")):
+            for lo, hi, data, offsets in slices(column(batch, "text")):
                 row, h = shingles(data, offsets, shingle_words)
                 size = np.bincount(row, minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [_column(batch, c).slice(lo, hi - lo) for c in names] + [_binary(h.view(np.uint8), size * 8)],
+                    [column(batch, c).slice(lo, hi - lo) for c in names] + [binary(h.view(np.uint8), size * 8)],
                     names=[*names, "shingles"])
     found = source.join(wanted, (source["th"] == wanted["w_th"]) & source["doc"].eqNullSafe(wanted["w_doc"]))
     members = materialize(
@@ -277,47 +289,59 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         .mapInArrow(sets, "cid long, cluster long, members long, blocks long, block long, regs binary, shingles binary"),
         "sketch-members")
 
-    # Each block of a cluster is searched on its own; the blocks of a large
-    # cluster share pivots, so they join up without meeting each other.
-    own = members.select(F.xxhash64("cluster", "block").alias("task"), "cid", F.lit(True).alias("query"), "regs", "shingles")
+    # A cluster of one block is settled in its task.
+    alone = members.where("blocks = 1").select(F.col("cluster").alias("task"), "cid", F.lit(True).alias("query"), "regs", "shingles")
+    label = materialize(_verify(alone, threshold, False), "sketch-links").select(F.col("b").alias("node"), F.col("a").alias("label"))
     large = members.where("blocks > 1")
-    rank = F.row_number().over(Window.partitionBy("cluster", "block").orderBy(F.xxhash64("cid"), "cid"))
-    few = large.select("cluster", "block", "cid").withColumn("rank", rank).where(F.col("rank") <= PIVOTS)
-    rank = F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64("cid"), "cid"))
-    few = few.select("cluster", "cid").withColumn("rank", rank).where(F.col("rank") <= PIVOTS).select("cid")
-    pivots = (large.join(few, "cid").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select(F.xxhash64("cluster", "block").alias("task"), "cid", F.lit(True).alias("query"), "regs", "shingles"))
-    found = materialize(_verify(own.union(pivots), threshold, False), "sketch-links")
-
-    # What is then outside its large cluster's main component meets every block.
-    known = components(found)
-    split = members.where("blocks > 1").join(known, members["cid"] == known["node"], "left").drop("node")
-    split = split.withColumn("label", F.coalesce("label", "cid"))
-    per = split.groupBy("cluster", "label").agg(F.count("*").alias("n"))
-    main = per.groupBy("cluster").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("parts"))
-    split = split.join(main.where("parts > 1"), "cluster")
-    split = materialize(split.withColumn("query", F.col("label") != F.col("main")), "sketch-split")
-    asking = split.where("query")
-    groups = asking.groupBy("cluster", F.col("block").alias("from")).agg(F.count("*").alias("asked"))
-    targets = split.select("cluster", "block", "cid", "label", "regs", "shingles").join(groups, "cluster").select(
-        F.xxhash64("cluster", "block", "from").alias("task"), "cid", F.lit(False).alias("query"), "regs", "shingles", "label")
-    queries = asking.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        F.xxhash64("cluster", "to", "block").alias("task"), "cid", "query", "regs", "shingles", "label")
-    more = materialize(_verify(queries.union(targets), threshold, True), "sketch-more-links")
-
-    label = components(found.union(more))
+    if not large.isEmpty():
+        label = label.union(_large_clusters(large, threshold))
     labelled = classes.join(label, classes["cid"] == label["node"], "left").withColumn("label", F.coalesce("label", "cid"))
     smallest = labelled.groupBy("label").agg(F.min("doc0").alias("component_id"))
-    by_class = labelled.join(smallest, "label").select(*keys, "component_id")
-    out = base.select("doc", *keys).join(by_class, keys, "left")
-    out = out.withColumn("component_id", F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id")))
+    by_class = labelled.join(smallest, "label").select(*keys, "label", "component_id")
+    out = base.select("doc", "th", *keys).join(by_class, keys, "left")
+    own = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
+    return out.select("doc", "th", "n", "label", own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5,
+                    threshold: int = 80) -> DataFrame:
+    """Per document row: doc_id, n_shingles, component_id, kept.
+
+    Words are runs of anything but ASCII white space, A-Z lower-cased.  Two
+    documents are linked if their sets of ``shingle_words``-word shingles have
+    a Jaccard similarity of at least ``threshold`` per cent;
+    ``component_id`` is the smallest doc_id that links reach.
+
+    Identical sets form a class that is represented once.  Null and empty
+    texts (and those of white space) have no shingles and are linked with
+    nothing.  Rows with a repeated id each count as a document.  A null id is
+    never the smallest where another exists; ``kept`` compares null-safely.
+    Other columns are ignored; an empty table gives an empty result.
+    """
+    out = _clustered(docs, doc_id, text, shingle_words, threshold)
     return out.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
                       F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """An Arrow binary column cut from ``data``."""
-    offsets = np.zeros(len(lengths) + 1, np.int64)
-    np.cumsum(lengths, out=offsets[1:])
-    return pa.Array.from_buffers(pa.large_binary(), len(lengths),
-                                 [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5,
+                         threshold: int = 80) -> DataFrame:
+    """``docs`` with one row left of every component of :func:`near_duplicates`.
+
+    The row with the smallest id stays (null last; then by a hash of the
+    text).  Rows without shingles all stay; of rows equal in id and text one
+    stays.
+    """
+    rows = materialize(_clustered(docs, doc_id, text, shingle_words, threshold).where("n > 0").select("doc", "th", "label"), "sketch-rows")
+    place = F.struct(F.col("doc").isNull().alias("a"), F.col("doc").alias("d"), F.col("th").alias("t"))
+    first = rows.groupBy("label").agg(F.min(place).alias("first"))
+    other = ~(F.col("doc").eqNullSafe(F.col("first.d")) & (F.col("th") == F.col("first.t")))
+    gone = rows.join(first, "label").where(other).select(F.col("doc").alias("g_doc"), F.col("th").alias("g_th")).distinct()
+    gone = bounded(materialize(gone, "sketch-gone"))
+    th = F.xxhash64(F.col(text).cast("string"))
+    left = docs.join(gone, (th == gone["g_th"]) & docs[doc_id].eqNullSafe(gone["g_doc"]), "left_anti")
+    twice = materialize(rows.groupBy("doc", "th").count().where("count > 1").select(F.col("doc").alias("t_doc"), F.col("th").alias("t_th")), "sketch-twice")
+    if twice.isEmpty():
+        return left
+    twice = bounded(twice)
+    same = (th == twice["t_th"]) & left[doc_id].eqNullSafe(twice["t_doc"])
+    return left.join(twice, same, "left_anti").union(left.join(twice, same, "left_semi").dropDuplicates([doc_id, text]))

@@ -15,6 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.bloom import build, contains
+from zonecast.llm.components import bounded
+from zonecast.llm.groups import column
 from zonecast.llm.shared import materialize
 from zonecast.llm.textbytes import ALNUM, gram_hashes, mix, slices, word_hashes, words
 
@@ -91,20 +94,12 @@ def _merge(found, width):
     return rows[order], hashes[order], at[order], size[order], context[order]
 
 
-def _probe(hashes: np.ndarray, j: int) -> np.ndarray:
-    return (mix(hashes.view(np.uint64) + np.uint64(j)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
-def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
 def _items(items: DataFrame, window: int, k: int) -> DataFrame:
     """One row per fingerprint of each (item, text) row: item, h, i_at, i_size, i_context."""
     def run(batches):
         for batch in batches:
-            ids = _column(batch, "item").to_pylist()
-            for lo, hi, data, offsets in slices(_column(batch, "text")):
+            ids = column(batch, "item").to_pylist()
+            for lo, hi, data, offsets in slices(column(batch, "text")):
                 _, found = _fingerprints(data, offsets, range(1, window), window, k, True, -1)
                 rows, hashes, at, size, context = _merge(found, 2 * (window - k))
                 if len(rows):
@@ -120,24 +115,10 @@ def _lists(context: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(context.ravel()))
 
 
-def _filter_bits(prints: DataFrame) -> bytes:
-    """A Bloom filter of the item fingerprints: 1 MB however many there are."""
-    def run(batches):
-        for batch in batches:
-            h = _column(batch, "h").to_numpy()
-            bit = np.unique(np.concatenate([_probe(h, j) for j in range(3)]))
-            yield pa.RecordBatch.from_arrays([pa.array(bit >> 5), pa.array(np.int64(1) << (bit & 31))], names=["word", "bits"])
-    words_ = prints.select("h").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    got = words_.toArrow()          # at most FILTER_BITS / 32 rows
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[got.column("word").to_numpy()] = got.column("bits").to_numpy().astype(np.uint32)
-    return table.tobytes()
-
-
 def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW_WORDS,
                   gram: int = GRAM_WORDS) -> DataFrame:
-    """Per document row: n_words, n_hit, n_items, items (sorted ids), spans (merged word ranges), contaminated.
+    """Per document row: its id, n_words, n_hit, n_items, items (sorted ids), spans (merged word ranges), contaminated, text_hash.
 
     Words are runs of ASCII letters and digits and of all characters from
     U+0080, with A-Z lower-cased.  A null or empty text has no words and no
@@ -155,20 +136,16 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     prints = materialize(_items(classes.select("item", "text"), window, gram), "winnow-items")
     lengths = sorted(r[0] for r in prints.where(F.size("i_context") > 0).where(
         (F.col("i_size") != gram) | (F.element_at("i_context", 1) == 0)).select("i_size").distinct().collect())
-    bits = spark.sparkContext.broadcast(_filter_bits(prints))       # FILTER_BITS / 8 bytes
+    bits = spark.sparkContext.broadcast(build(prints, "h", FILTER_BITS))       # FILTER_BITS / 8 bytes
 
     def scan(batches):
-        table = np.frombuffer(bits.value, np.uint32)
         for batch in batches:
-            ids = _column(batch, "doc")
-            for lo, hi, data, offsets in slices(_column(batch, "text")):
+            ids, th = column(batch, "doc"), column(batch, "text_hash")
+            for lo, hi, data, offsets in slices(column(batch, "text")):
                 count, found = _fingerprints(data, offsets, lengths, window, gram, False, -2)
                 kept = []
                 for part in found:
-                    ok = np.ones(len(part[1]), bool)
-                    for j in range(3):
-                        bit = _probe(part[1], j)
-                        ok &= (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
+                    ok = contains(bits.value, part[1])
                     kept.append(tuple(x[ok] for x in part))
                 rows, hashes, at, size, context = _merge(kept, 2 * reach)
                 structs = pa.StructArray.from_arrays(
@@ -177,11 +154,12 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
                 ends = np.zeros(hi - lo + 1, np.int32)
                 np.cumsum(np.bincount(rows, minlength=hi - lo), out=ends[1:])
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(count.astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), structs)],
-                    names=["doc", "n_words", "hits"])
+                    [ids.slice(lo, hi - lo), th.slice(lo, hi - lo), pa.array(count.astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), structs)],
+                    names=["doc", "text_hash", "n_words", "hits"])
     kind = docs.schema[doc_id].dataType.simpleString()
-    scanned = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text")).mapInArrow(
-        scan, f"doc {kind}, n_words long, hits array<struct<h:long,at:long,size:int,context:array<long>>>")
+    source = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"))
+    scanned = source.mapInArrow(
+        scan, f"doc {kind}, text_hash long, n_words long, hits array<struct<h:long,at:long,size:int,context:array<long>>>")
     base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "winnow-docs")
 
     hits = base.where(F.size("hits") > 0).select("row", F.explode("hits").alias("x")).select("row", "x.*")
@@ -211,11 +189,20 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     ids = (by_doc.select("row", F.explode("items").alias("item")).join(classes.select("item", "ids"), "item")
            .groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items")))
     by_doc = by_doc.select("row", "spans").join(ids, "row")
-    out = base.select("row", "doc", "n_words").join(by_doc, "row", "left")
+    out = base.select("row", "doc", "n_words", "text_hash").join(by_doc, "row", "left")
     return out.select(
         F.col("doc").alias(doc_id), "n_words",
         F.expr("coalesce(aggregate(spans, 0L, (n, s) -> n + s.hi - s.lo), 0L)").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
         F.coalesce("spans", F.expr("cast(array() as array<struct<lo:bigint,hi:bigint>>)")).alias("spans"),
-        F.col("spans").isNotNull().alias("contaminated"))
+        F.col("spans").isNotNull().alias("contaminated"), "text_hash")
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that :func:`contamination` marks."""
+    found = contamination(docs, items, doc_id=doc_id, text=text, **options).where("contaminated")
+    gone = found.select(F.col(doc_id).alias("g_doc"), F.col("text_hash").alias("g_th")).distinct()
+    gone = bounded(materialize(gone, "winnow-gone"))
+    th = F.xxhash64(F.col(text).cast("string"))
+    return docs.join(gone, (th == gone["g_th"]) & docs[doc_id].eqNullSafe(gone["g_doc"]), "left_anti")

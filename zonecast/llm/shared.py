@@ -34,10 +34,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     recomputation, and branches that start from the result share one scan
     with column pruning.
     """
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`materialize`, with the path, for tables that are dropped before the session ends."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 _SHIPPED: set[str] = set()

@@ -47,7 +47,7 @@ def test_pages_without_marks_lose_what_their_neighbour_shares(spark):
         return f"<body><div>Site slogan</div><div>Home | About</div><p>{own}</p><p>Subtle end line</p></body>"
     rows = [(1, "http://a.org/x/1", page("alpha")), (2, "http://a.org/x/2", page("beta")), (3, "http://a.org/y/9", page("gamma")),
             (4, "http://b.org/x/1", page("alone")), (5, "http://c.org/1", page("copy")), (6, "http://c.org/1", page("copy")),
-            (7, "http://a.org/x/3", "<article><p>Site slogan</p></article><div>Home | About</div>"),
+            (7, "http://a.org/w/3", "<article><p>Site slogan</p></article><div>Home | About</div>"),
             (8, None, page("nowhere")), (9, "http://a.org/z", None), (10, "http://a.org/x/4", ""), (None, "::", "<p>odd</p>")]
     got = {r.page_id: (r.text, r.n_chars) for r in extract_text(page_frame(spark, rows)).collect()}
     whole = "Site slogan\nHome | About\n{}\nSubtle end line"
@@ -100,7 +100,7 @@ def test_salvage_recovers_later_records_and_logs_gaps(spark, packed):
     assert [r[2]["page_id"] for r in good] == list(range(8)) and good[-1][1] == sum(map(len, order))
 
     broken = [bytearray(p) for p in order]
-    broken[1][len(broken[1]) // 2] ^= 0xFF                    # a flipped byte
+    broken[1][-8] ^= 0xFF                                     # a flipped byte of the payload, or of the member's checksum
     del broken[3][-20:]                                       # cut
     broken[5][:6] = b"NOTHIN"                                 # no version line, no member
     data = b"junk\r\n" + b"".join(broken)

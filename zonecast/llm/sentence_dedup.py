@@ -36,6 +36,10 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     sentence before, or after where there is none.
     """
     n = len(data)
+    data = data.copy()
+    for wide in _WIDE_STOPS if n >= 3 else ():         # their bytes are no part of words, and end a sentence
+        at = np.flatnonzero((data[:-2] == wide[0]) & (data[1:-1] == wide[1]) & (data[2:] == wide[2]))
+        data[at], data[at + 1], data[at + 2] = 0x2E, 0x2E, 0x0A
     start, end, row = words(data, offsets, ALNUM)
     hashes = word_hashes(data, start, end)
     if not len(start):
@@ -45,10 +49,6 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     after = np.zeros(n, bool)
     after[:-1] = _SPACE[data[1:]]
     stops[1:] = (_STOP[data] & after) | (data == 0x0A)
-    for wide in _WIDE_STOPS:
-        if n >= 3:
-            hit = (data[:-2] == wide[0]) & (data[1:-1] == wide[1]) & (data[2:] == wide[2])
-            stops[3:][hit[:n - 2]] = True
     # a word begins a sentence if a stop, or a text, begins between the word before and it
     count = np.cumsum(stops)
     first = np.ones(len(start), bool)

@@ -25,13 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.bloom import build, contains
 from zonecast.llm.groups import binary, by_group, column, lists
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import drop, materialize, written
 from zonecast.llm.textbytes import BYTE_VALUES, mix, prefix_hash, slices, span_hash
 
 LENGTH = 400
-GROUP = 400          # contexts of one anchor searched in one task; larger groups are split by longer keys
+GROUP = 8192         # contexts of one anchor searched in one task; larger groups are split by longer keys
 PARTS = 4
+FILTER_BITS = 1 << 27        # which texts hold a place to look at: 16 MB whatever the corpus
 _POSITION_BITS = np.uint64(32)
 
 
@@ -136,35 +138,26 @@ def backward_extension(group: np.ndarray, left: np.ndarray, n_left: np.ndarray,
     return out
 
 
-def _runs(marks: np.ndarray, shift: np.ndarray, length: int) -> tuple[np.ndarray, pa.Array]:
-    """Covered byte ranges relative to the anchor, per member: counts and the flat structs."""
-    padded = np.pad(marks, ((0, 0), (1, 1)))
-    edge = padded[:, 1:].astype(np.int8) - padded[:, :-1]
-    row, first = np.nonzero(edge > 0)
-    _, after = np.nonzero(edge < 0)
-    lo = -(after - 1) - shift[row]
-    hi = length - first - shift[row]
-    return np.bincount(row, minlength=len(marks)), pa.StructArray.from_arrays(
-        [pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], names=["lo", "hi"])
-
-
 _CONTEXT = "g long, c long, k long, shift int, l binary, r binary"
-_SPANS = "g long, c long, spans array<struct<lo:int,hi:int>>"
+# All windows of a context hold its anchor, so together they cover one range.
+_SPANS = "g long, c long, lo int, hi int"
 
 
 def _search(contexts: DataFrame, span: int, length: int) -> DataFrame:
     """Backward extension within every group ``k``."""
     def run(batches):
-        for t in by_group(batches, "k", 8192):
+        for t in by_group(batches, "k", GROUP):
             group = t.column("k").to_numpy()
             left, n_left = _matrix(t.column("l"), span, True)
             right, n_right = _matrix(t.column("r"), span, False)
             marks = backward_extension(group, left, n_left, right, n_right, span)
             keep = np.flatnonzero(marks.any(1))
-            count, runs = _runs(marks[keep], t.column("shift").to_numpy()[keep], length)
-            t = t.take(pa.array(keep))
+            t, marks = t.take(pa.array(keep)), marks[keep]
+            shift = t.column("shift").to_numpy()
+            lo, hi = marks[:, ::-1].argmax(1) - span - shift, length - marks.argmax(1) - shift
             yield pa.RecordBatch.from_arrays(
-                [t.column("g").combine_chunks(), t.column("c").combine_chunks(), lists(count, runs)], names=["g", "c", "spans"])
+                [t.column("g").combine_chunks(), t.column("c").combine_chunks(), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
+                names=["g", "c", "lo", "hi"])
     return contexts.repartition("k").sortWithinPartitions("k").mapInArrow(run, _SPANS)
 
 
@@ -234,32 +227,37 @@ def _windows(contexts: DataFrame, span: int) -> DataFrame:
     return contexts.mapInArrow(run, "g long, c long, e int, w long")
 
 
-def _split(contexts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Contexts of groups that one task searches, and of larger ones; lone contexts go."""
-    contexts = materialize(contexts, name)
-    sizes = contexts.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    sized = materialize(contexts.join(sizes, "k"), name)
+def _halves(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts of groups that one task searches, and of larger ones."""
     return sized.where(F.col("n") <= GROUP).drop("n"), sized.where(F.col("n") > GROUP).drop("n")
 
 
 def repeated_spans(contexts: DataFrame, span: int, length: int) -> DataFrame:
-    """Ranges (relative to the anchor) that repeat, for context rows (g, c, k, shift, l, r, n).
+    """The range (relative to the anchor) that repeats, for context rows (g, c, k, shift, l, r, n).
 
-    ``n`` counts the contexts of the anchor.
+    ``n`` counts the contexts of the anchor.  Groups of more than ``GROUP``
+    are split by longer keys; what is then still larger is settled window by
+    window, by counting equal ones.
     """
-    contexts = materialize(contexts, "suffix-contexts")
-    small, large = contexts.where(F.col("n") <= GROUP).drop("n"), contexts.where(F.col("n") > GROUP).drop("n")
-    found = _search(small, span, length)
-    if large.isEmpty():
-        return found
-    share = span // PARTS
-    small, large = _split(_finer(large, span), "suffix-finer")
-    found = found.union(_search(small, share, length))
-    windows = materialize(_windows(large, share), "suffix-windows")
-    twice = windows.groupBy("w").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a <> z").select("w")
-    exact = windows.join(twice, "w").select("g", "c", F.array(F.struct(
-        (-F.col("e")).alias("lo"), (F.lit(length) - F.col("e")).alias("hi"))).alias("spans"))
-    return found.union(exact)
+    spark = contexts.sparkSession
+    contexts, path = written(contexts, "suffix-contexts")
+    small, large = _halves(contexts)
+    found = materialize(_search(small, span, length), "suffix-spans")
+    if not large.isEmpty():
+        share = span // PARTS
+        finer, finer_path = written(_finer(large, span), "suffix-finer")
+        sizes = finer.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")      # lone contexts go
+        small, large = _halves(finer.join(sizes, "k"))
+        more = _search(small, share, length)
+        windows, windows_path = written(_windows(large, share), "suffix-windows")
+        twice = windows.groupBy("w").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a <> z").select("w")
+        exact = windows.join(twice, "w").select("g", "c", (-F.col("e")).alias("lo"), (F.lit(length) - F.col("e")).alias("hi"))
+        more = more.union(exact).groupBy("g", "c").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        found = found.union(materialize(more, "suffix-spans"))
+        drop(spark, finer_path)
+        drop(spark, windows_path)
+    drop(spark, path)
+    return found
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -296,10 +294,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     scanned = source.select("doc", "th", "text").mapInArrow(
         scan, f"doc {kind}, th long, n long, anchors array<struct<g:long,c:long,at:int>>")
     base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "suffix-anchors")
-    occ = base.select("row", "n", F.explode("anchors").alias("x")).select("row", "n", "x.*")
+    occ = base.select("row", F.explode("anchors").alias("x")).select("row", "x.*")
 
     grams = occ.groupBy("g").agg(F.count("*").alias("total"), F.min("c").alias("a"), F.max("c").alias("z"))
-    grams = grams.where("total > 1").select("g", (F.col("a") != F.col("z")).alias("several"))
+    grams = materialize(grams.where("total > 1").select("g", (F.col("a") != F.col("z")).alias("several")), "suffix-grams")
     hits = materialize(occ.join(grams, "g"), "suffix-hits")
 
     # One place for every different context of an anchor that has several.
@@ -309,8 +307,15 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     wanted = places.select("g", "c", "p.row", "p.at").join(sizes, "g")
     wanted = wanted.groupBy("row").agg(F.collect_list(F.struct("g", "c", "at", "n")).alias("places"))
     wanted = wanted.join(base.select("row", F.col("doc").alias("w_doc"), F.col("th").alias("w_th")), "row")
-    texts = source.select("doc", "th", "text").join(
-        wanted, (source["th"] == wanted["w_th"]) & source["doc"].eqNullSafe(wanted["w_doc"])).select("text", "places")
+    wanted = materialize(wanted, "suffix-wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(build(wanted, "w_th", FILTER_BITS))       # FILTER_BITS / 8 bytes
+
+    def thin(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(contains(bits.value, column(batch, "th").to_numpy())))
+    texts = source.select("doc", "th", "text")
+    texts = texts.mapInArrow(thin, texts.schema)
+    texts = texts.join(wanted, (texts["th"] == wanted["w_th"]) & texts["doc"].eqNullSafe(wanted["w_doc"])).select("text", "places")
 
     def cut(batches):
         for batch in batches:
@@ -329,18 +334,16 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     contexts = texts.mapInArrow(cut, _CONTEXT + ", n long")
     found = repeated_spans(contexts, span, length)
 
-    # A context that occurs more than once repeats as a whole.
-    whole = F.array(F.struct(F.greatest(F.lit(-span), -F.col("at")).alias("lo"),
-                             F.least(F.lit(length), F.col("n") - F.col("at")).cast("int").alias("hi"))).alias("spans")
-    often = places.where("times > 1").select("g", "c")
-    once = hits.where("not several").select("row", "at", whole)
-    twice = hits.where("several").join(often, ["g", "c"]).select("row", "at", whole)
-    other = hits.where("several").join(found, ["g", "c"]).select("row", "at", "spans")
-    covers = once.union(twice).union(other).select(
-        "row", F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi"))).alias("spans"))
-    covers = covers.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    covers = base.select("row", "doc", "th").join(covers, "row").groupBy("th", "doc").agg(F.first("spans").alias("spans"))
-    covers = covers.select(F.col("th").alias("c_th"), F.col("doc").alias("c_doc"), "spans")
+    # A context that occurs more than once repeats as a whole (cut to the text below).
+    often = materialize(places.where("times > 1").select("g", "c").withColumn("whole", F.lit(True)).join(found, ["g", "c"], "full"), "suffix-ranges")
+    often = often.select("g", "c", F.when(F.col("whole"), F.lit(-span)).otherwise(F.col("lo")).alias("lo"),
+                         F.when(F.col("whole"), F.lit(length)).otherwise(F.col("hi")).alias("hi"))
+    once = hits.where("not several").select("row", "at", F.lit(-span).alias("lo"), F.lit(length).alias("hi"))
+    covers = once.union(hits.where("several").join(often, ["g", "c"]).select("row", "at", "lo", "hi"))
+    covers = covers.groupBy("row").agg(F.collect_list(F.struct(
+        (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))).alias("spans"))
+    one = base.groupBy("doc", "th").agg(F.min("row").alias("row"))
+    covers = covers.join(one, "row").select(F.col("th").alias("c_th"), F.col("doc").alias("c_doc"), "spans")
 
     def remove(batches):
         for batch in batches:
@@ -349,8 +352,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 flat = part.flatten()
                 row = np.repeat(np.arange(hi - lo), pc.fill_null(pc.list_value_length(part), 0).to_numpy())
                 depth = np.zeros(len(data) + 1, np.int64)
-                np.add.at(depth, flat.field("lo").to_numpy() + offsets[row], 1)
-                np.add.at(depth, flat.field("hi").to_numpy() + offsets[row], -1)
+                np.add.at(depth, np.maximum(flat.field("lo").to_numpy() + offsets[row], offsets[row]), 1)
+                np.add.at(depth, np.minimum(flat.field("hi").to_numpy() + offsets[row], offsets[row + 1]), -1)
                 gone = np.cumsum(depth[:-1]) > 0
                 if whole_characters:
                     lead = np.flatnonzero((data & 0xC0) != 0x80)

@@ -23,9 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.components import bounded
 from zonecast.llm.groups import binary, by_group, column
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import bounded, materialize
 from zonecast.llm.textbytes import mix, powers
 
 SHARD = 16384               # distinct vectors in one graph

@@ -8,17 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm.groups import column
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import bounded, materialize
 
-BROADCAST_ROWS = 500_000       # of two longs each, 8 MB; larger maps are joined by a shuffle
 CHUNK_EDGES = 1_000_000        # edges that a task contracts at a time
 
 
-def bounded(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table marked for broadcast if it has at most ``rows`` rows; else Spark's own choice of join holds."""
-    return F.broadcast(small) if small.count() <= rows else small
-
-
 def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(smallest node, node)`` for every other node of each component of these edges."""
     nodes, code = np.unique(np.concatenate([a, b]), return_inverse=True)

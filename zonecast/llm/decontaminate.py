@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm.bloom import build, contains
-from zonecast.llm.components import bounded
 from zonecast.llm.groups import column
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import bounded, materialize
 from zonecast.llm.textbytes import ALNUM, gram_hashes, mix, slices, word_hashes, words
 
 WINDOW_WORDS = 10

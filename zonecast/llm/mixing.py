@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import bounded, materialize
 
 HASH_BITS = 60
 STEP_BITS = 12
 WEIGHTS = (3, 1, 2)
-BROADCAST_SOURCES = 20_000       # one row of about 100 bytes each; more sources are joined by a shuffle
 
 
 def hash60(doc_id: Column, text: Column) -> Column:
@@ -82,7 +81,7 @@ def cuts(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     state = materialize(state, "mix-state")
     for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
         open_ = state.where("source_size > 0").select(*_KEY, "rest", "spent", F.shiftright("lo", shift + STEP_BITS).alias("prefix"))
-        inside = docs.select(*_KEY, "_size", F.shiftright("_hash", shift).alias("bucket")).join(checked(open_), _KEY).where(
+        inside = docs.select(*_KEY, "_size", F.shiftright("_hash", shift).alias("bucket")).join(bounded(open_), _KEY).where(
             F.shiftright("bucket", STEP_BITS) == F.col("prefix"))
         sums = inside.groupBy(*_KEY, "bucket").agg(F.sum("_size").alias("n"), F.first("rest").alias("rest"), F.first("spent").alias("spent"))
         upto = Window.partitionBy(*_KEY).orderBy("bucket")       # at most 2 ** STEP_BITS rows a source
@@ -99,15 +98,10 @@ def cuts(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     return state.select(*_KEY, "source_size", "target", "passes", (F.col("lo") + nearer.cast("long")).alias("cut"))
 
 
-def checked(small: DataFrame) -> DataFrame:
-    """``small`` marked for broadcast if it has few rows; otherwise Spark's own choice of join holds."""
-    return F.broadcast(small) if small.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES else small
-
-
 def take(docs: DataFrame, state: DataFrame) -> DataFrame:
     """A :func:`sized` table with size, source_size, target and taken, in words."""
     copies = F.col("passes") + (F.col("_hash") < F.col("cut")).cast("long")
-    return docs.join(checked(state), _KEY).withColumns(
+    return docs.join(bounded(state), _KEY).withColumns(
         {"size": F.col("_size"), "taken": F.col("_size") * copies}).drop("passes", "cut", "_size", "_hash", *_KEY)
 
 

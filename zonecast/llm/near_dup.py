@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonecast.llm.components import bounded, components
+from zonecast.llm.components import components
 from zonecast.llm.groups import binary, by_group, column
-from zonecast.llm.shared import materialize
+from zonecast.llm.shared import bounded, materialize
 from zonecast.llm.textbytes import (MULTIPLIER, NOT_SPACE, gram_hashes, mix, slices, stream,
                                     word_hashes, words)
 

@@ -8,6 +8,8 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.session import checkpoint_dir
 
@@ -37,6 +39,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return written(df, name)[0]
 
 
+BROADCAST_BYTES = 16 << 20
+
+
+def bounded(small: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table marked for broadcast if its values measure at most ``limit`` bytes.
+
+    Beyond that there is no hint: Spark joins by a shuffle, whose exchanges it
+    can split at a hot key.
+    """
+    def width(f):
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.lit(8)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(f.name), F.lit(0)) + 8
+        return F.octet_length(F.to_json(F.struct(f.name)))
+    size = F.lit(0)
+    for f in small.schema.fields:
+        size = size + width(f)
+    total = small.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(small) if total <= limit else small
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """:func:`materialize`, with the path, for tables that are dropped before the session ends."""
     spark = df.sparkSession

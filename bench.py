@@ -40,17 +40,20 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001"))
     if not os.path.isdir(warm_dir):
         warm_dir = sf_dir
-    for name in HEADLINE:                                          # warm-up pass, not timed
-        try:
-            run(catalog.QUERIES[name](spark, warm_dir))
-        except Exception:  # noqa: BLE001 - a failure shows up in the timed pass
-            pass
+    cold = None
     try:
+        t0 = time.perf_counter()
         warm = forecast_report(catalog.clean_events(spark, warm_dir), catalog.zone_dim(spark, warm_dir))
         for df in (warm.metrics, warm.model_table, warm.top_k):
             run(df)
+        cold = round(time.perf_counter() - t0, 3)
     except Exception:  # noqa: BLE001
         pass
+    for name in HEADLINE:                                          # warm-up pass, not timed
+        try:
+            run(catalog.QUERIES[name](spark, warm_dir))
+        except Exception:  # noqa: BLE001 - a failure shows up in the timed pass
+            pass
     times, failed = {}, {}
 
     def timed(name, fn):
@@ -70,9 +73,10 @@ def main() -> None:
         for df in (rep.metrics, rep.model_table, rep.top_k):
             run(df)
     timed("end_to_end", end_to_end)
-    # the reference publishes one figure: a whole run on a 3,360-cell grid (~5 s);
-    # the warm end-to-end flow on the sf0.001 tables (10,080 cells) is the
-    # closest like-for-like size, reported beside the headline total
+    # the reference publishes one figure: a whole run over 50,000 trips and 3,360
+    # cells (~5 s); the end-to-end flow on the sf0.001 tables (927 trips, 10,080
+    # cells) is reported beside the headline total, as the first thing that runs
+    # in the session and again when it is warm; no size here matches it exactly
     small = {}
     if os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
         t0 = time.perf_counter()
@@ -80,7 +84,7 @@ def main() -> None:
             rep = forecast_report(catalog.clean_events(spark, warm_dir), catalog.zone_dim(spark, warm_dir))
             for df in (rep.metrics, rep.model_table, rep.top_k):
                 run(df)
-            small = {"end_to_end_seconds": round(time.perf_counter() - t0, 3),
+            small = {"end_to_end_seconds": round(time.perf_counter() - t0, 3), "first_run_seconds": cold,
                      "sf": os.path.basename(warm_dir.rstrip("/")).replace("sf", "")}
         except Exception as exc:  # noqa: BLE001
             failed["end_to_end_small"] = f"{type(exc).__name__}: {str(exc)[:200]}"

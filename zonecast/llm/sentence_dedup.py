@@ -114,10 +114,11 @@ def remove_repeated_sentences(docs: DataFrame, *, doc_id: str = "doc_id", text:
         scan, f"doc {kind}, th long, n_sentences long, spans array<struct<h:long,h2:int,at:int,n:int>>")
     base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "sentence-spans")
     spans = base.select("row", F.explode("spans").alias("s")).select("row", "s.*")
-    often = spans.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    # written first, so that both sides of the join have exchanges of their own, which Spark can split at a very common run
+    often = materialize(spans.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "sentence-often")
     again = materialize(spans.join(often, "h").join(base.select("row", "doc", "th"), "row").drop("row"), "sentence-repeats")
     place = F.struct(F.col("doc").isNull().alias("a"), F.col("doc").alias("d"), F.col("th").alias("t"), F.col("at").alias("p"))
-    first = again.groupBy("h", "h2").agg(F.min(place).alias("first"))
+    first = materialize(again.groupBy("h", "h2").agg(F.min(place).alias("first")), "sentence-first")
     later = again.join(first, ["h", "h2"]).where(~(F.col("doc").eqNullSafe(F.col("first.d")) & (F.col("th") == F.col("first.t"))
                                                   & (F.col("at") == F.col("first.p"))))
     covers = later.groupBy("doc", "th").agg(F.collect_set(F.struct("at", "n")).alias("covers"))

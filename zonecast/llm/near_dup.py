@@ -24,8 +24,8 @@ from zonecast.llm.shared import bounded, materialize
 from zonecast.llm.textbytes import (MULTIPLIER, NOT_SPACE, gram_hashes, mix, slices, stream,
                                     word_hashes, words)
 
-REGISTERS = 128              # a power of two: odd strides visit every register once
-MISS = 1e-6                  # a pair at the threshold shares no band at most this often
+REGISTERS = 256              # a power of two: odd strides visit every register once
+MISS = 5e-6                  # a pair at the threshold shares no band at most this often
 SCALE = 20.0
 BASE = 1.05
 TOP = (1 << 16) - 2
@@ -220,7 +220,7 @@ def _large_clusters(large: DataFrame, threshold: int) -> DataFrame:
     return components(found.union(more))
 
 
-def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, threshold: int) -> DataFrame:
+def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, threshold: int, m: int) -> DataFrame:
     """Per row: doc, th (hash of the text), n, label (equal for connected documents, null without shingles), component_id."""
     kind = docs.schema[doc_id].dataType.simpleString()
     source = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
@@ -239,7 +239,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
                     ends = np.cumsum(size)
                     total = c[ends] - c[ends - size]
                     digest.append(pa.array(total.view(np.int64)))
-                regs = registers(row, h, n)
+                regs = registers(row, h, n, m)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, n), th.slice(lo, n), pa.array(size.astype(np.int64)), *digest,
                      binary(regs.reshape(-1).view(np.uint8), np.full(n, regs.shape[1] * 2))],
@@ -253,7 +253,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
     reps = base.select("row", "doc", "th", "n", "regs").join(classes.select(F.col("cid").alias("row")), "row")
     reps = materialize(reps.withColumnRenamed("row", "cid"), "sketch-reps")
 
-    per_band = band_rows(threshold)
+    per_band = band_rows(threshold, m)
 
     def bands(batches):
         for batch in batches:
@@ -304,7 +304,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5,
-                    threshold: int = 80) -> DataFrame:
+                    threshold: int = 80, m: int = REGISTERS) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id, kept.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased.  Two
@@ -312,26 +312,28 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     a Jaccard similarity of at least ``threshold`` per cent;
     ``component_id`` is the smallest doc_id that links reach.
 
-    Identical sets form a class that is represented once.  Null and empty
+    ``m``, a power of two, is the number of registers: the more, the longer
+    the bands can be, and the fewer documents that share little become
+    candidates.  Identical sets form a class that is represented once.  Null and empty
     texts (and those of white space) have no shingles and are linked with
     nothing.  Rows with a repeated id each count as a document.  A null id is
     never the smallest where another exists; ``kept`` compares null-safely.
     Other columns are ignored; an empty table gives an empty result.
     """
-    out = _clustered(docs, doc_id, text, shingle_words, threshold)
+    out = _clustered(docs, doc_id, text, shingle_words, threshold, m)
     return out.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), "component_id",
                       F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 5,
-                         threshold: int = 80) -> DataFrame:
+                         threshold: int = 80, m: int = REGISTERS) -> DataFrame:
     """``docs`` with one row left of every component of :func:`near_duplicates`.
 
     The row with the smallest id stays (null last; then by a hash of the
     text).  Rows without shingles all stay; of rows equal in id and text one
     stays.
     """
-    rows = materialize(_clustered(docs, doc_id, text, shingle_words, threshold).where("n > 0").select("doc", "th", "label"), "sketch-rows")
+    rows = materialize(_clustered(docs, doc_id, text, shingle_words, threshold, m).where("n > 0").select("doc", "th", "label"), "sketch-rows")
     place = F.struct(F.col("doc").isNull().alias("a"), F.col("doc").alias("d"), F.col("th").alias("t"))
     first = rows.groupBy("label").agg(F.min(place).alias("first"))
     other = ~(F.col("doc").eqNullSafe(F.col("first.d")) & (F.col("th") == F.col("first.t")))

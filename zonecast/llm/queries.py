@@ -157,7 +157,7 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reac
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r USING (doc_id)""")
 def op9_near_duplicates(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, threshold=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, threshold=85, m=128)
 
 
 @query("op10_sentence_dedup")

@@ -143,6 +143,28 @@ def test_recall_on_the_embeddings(spark):
     assert sum(len(got[q] & {i for i, _ in w}) for q, w in want.items()) >= 0.95 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("norm", [1e4, 1e20, 1e200])
+def test_a_vector_of_huge_norm_does_not_blind_its_shard(spark, norm):
+    v = np.random.default_rng(4).normal(size=(3000, 32))
+    v /= np.sqrt((v * v).sum(1, keepdims=True))
+    v[1] *= norm
+    v[40] *= 1e-200
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(20000, [norm] * 32), (20020, [-norm] * 16 + [norm] * 16)]
+    got = collections.defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    want = brute_nearest(rows[:-2], 20, 20)
+    recall = [len({i for i, _ in got[q]} & {i for i, _ in w}) / 20 for q, w in want.items()]
+    assert np.mean(recall) > 0.9 and got[20000] and len(got[20020]) == 20
+    assert all(not np.isnan(s) for found in got.values() for _, s in found)
+
+
+def test_products_out_of_range_are_infinite_not_nan():
+    v = np.array([[1e200, -1e200], [1e200, 1e200], [1e-300, 1e200], [-1e308, -1e308]])
+    assert ann.inner_products(v, np.array([1e200, 1e200])).tolist() == [0.0, np.inf, np.inf, -np.inf]
+    assert ann.inner_products(v, np.array([1.0, 0.0])).tolist() == [1e200, 1e200, 1e-300, -1e308]
+
+
 def test_graph_edges_are_bounded_and_the_graph_is_searchable():
     x = ann.lift(np.random.default_rng(0).normal(size=(1500, 16)))
     graph, entry = ann.build_graph(x)

@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by inner product on robust-pruned directed graphs.
 
-Vectors are dealt by hash into shards of bounded size.  Each shard's graph is
-built in one task: points are inserted in batches, a greedy beam search from
+Vectors are dealt by norm class (a factor of 16) and by hash into shards of
+bounded size, so that a vector of huge norm does not share a graph with
+ordinary ones.  Each shard's graph is built in one task: points are inserted in batches, a greedy beam search from
 the entry point proposes neighbours, and robust pruning keeps the nearest and
 drops what is closer (by the factor ``ALPHA``) to a kept one than to the point,
 so that edges stay diverse.  Inner product becomes Euclidean distance by one
-extra coordinate that gives all vectors of a shard the same norm.  Blocks of
+extra coordinate that gives all vectors of a shard the same norm; shards and
+queries are scaled by powers of two, so no finite vector overflows.  Blocks of
 queries are searched in every shard by the same beam search, candidates are
 scored exactly in double precision, and the best of all shards are kept.
 
@@ -35,6 +37,7 @@ ALPHA = 1.2
 BATCH = 512
 STEP = 4                    # nodes that a beam expands at once
 QUERY_BLOCK = 4096
+CLASS_BITS = 4              # norms of one graph are within this many powers of two
 
 
 def _distances(x: np.ndarray, norms: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -145,12 +148,23 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM) ->
 
 
 def lift(v: np.ndarray) -> np.ndarray:
-    """Vectors with a coordinate more that gives all of them the same norm (float32)."""
+    """Vectors, scaled by a power of two, with a coordinate more that gives all of them the same norm (float32)."""
     v = v.astype(np.float64)
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(initial=0.0))[1])
     norms = (v * v).sum(1)
     return np.c_[v, np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0))].astype(np.float32)
 
 
+def inner_products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The product of each row with ``q``; infinite only if it is itself beyond the range of doubles, never nan."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = v @ q
+        for i in np.flatnonzero(~np.isfinite(out)):
+            a, b = (np.frexp(np.abs(x).max())[1] for x in (v[i], q))
+            out[i] = np.ldexp(np.ldexp(v[i], -a) @ np.ldexp(q, -b), a + b)
+    return out
+
+
 def _pack(**arrays) -> bytes:
     out = io.BytesIO()
     np.savez(out, **arrays)
@@ -158,7 +172,10 @@ def _pack(**arrays) -> bytes:
 
 
 def prepare(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``(id, dim, k1, k2, v)`` of the vectors that take part; equal vectors have equal keys."""
+    """``(id, dim, k1, k2, class, v)`` of the vectors that take part; equal vectors have equal keys.
+
+    Norms of a class are within a factor of 16; 1 and 16 are in the middle of theirs.
+    """
     def run(batches):
         for batch in batches:
             ids = column(batch, "id")
@@ -175,15 +192,22 @@ def prepare(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
             raw = np.ascontiguousarray(values).view(np.uint64)
             ends = np.cumsum(size)
             place = np.arange(len(values)) - np.repeat(ends - size, size)
+            row = np.repeat(np.arange(len(size)), size)
+            top = np.zeros(len(size))
+            np.maximum.at(top, row, np.abs(values))
+            exponent = np.frexp(top)[1]
+            square = np.bincount(row, np.ldexp(values, -exponent[row]) ** 2, len(size))
+            norm_class = np.floor((exponent + np.log2(square) / 2 + CLASS_BITS / 2) / CLASS_BITS)
             keys = []
             for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
                 c = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(raw ^ np.uint64(base)) * powers(base, int(size.max(initial=1)))[place])]
                 keys.append(pa.array(mix(c[ends] - c[ends - size]).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [ids.filter(pa.array(keep)), pa.array(size.astype(np.int32)), *keys, binary(values.view(np.uint8), size * 8)],
-                names=["id", "dim", "k1", "k2", "v"])
+                [ids.filter(pa.array(keep)), pa.array(size.astype(np.int32)), *keys, pa.array(norm_class.astype(np.int32)),
+                 binary(values.view(np.uint8), size * 8)],
+                names=["id", "dim", "k1", "k2", "class", "v"])
     picked = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("e"))
-    return picked.mapInArrow(run, "id long, dim int, k1 long, k2 long, v binary")
+    return picked.mapInArrow(run, "id long, dim int, k1 long, k2 long, class int, v binary")
 
 
 def _matrix(binary_column, dim: int) -> np.ndarray:
@@ -199,17 +223,18 @@ def nearest(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "emb
     smaller id.  Null, zero and non-finite vectors, vectors with a null in
     them and rows without id take no part; repeated rows count once.  A query
     with fewer than ``k`` candidates gets them all, one with none no row.
+    A product beyond the range of doubles is an infinite score.
     """
     base = materialize(prepare(vectors, vec_id, embedding), "ann-vectors")
     key = ["dim", "k1", "k2"]
     place = F.dense_rank().over(Window.partitionBy(*key).orderBy("id"))
     nodes = (base.withColumn("place", place).where(F.col("place") <= k + 1).groupBy(*key)
-             .agg(F.array_sort(F.collect_set("id")).alias("ids"), F.first("v").alias("v")))
+             .agg(F.array_sort(F.collect_set("id")).alias("ids"), F.first("class").alias("class"), F.first("v").alias("v")))
     nodes = materialize(nodes, "ann-nodes")
-    shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("shards"))
+    shards = nodes.groupBy("dim", "class").agg(F.ceil(F.count("*") / shard).alias("shards"))
     shards = bounded(materialize(shards, "ann-shards"))
-    dealt = nodes.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("k1", "k2"), F.col("shards"))).withColumn(
-        "task", F.xxhash64("dim", "shard"))
+    dealt = nodes.join(shards, ["dim", "class"]).withColumn("shard", F.pmod(F.xxhash64("k1", "k2"), F.col("shards"))).withColumn(
+        "task", F.xxhash64("dim", "class", "shard"))
 
     def build(batches):
         for t in by_group(batches, "task"):
@@ -223,18 +248,19 @@ def nearest(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "emb
             index = _pack(v=v, graph=graph.astype(np.int32), entry=np.array(entry), ids=np.array([i for many in ids for i in many]),
                           ends=np.r_[0, np.cumsum([len(many) for many in ids])])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([t.column("shard")[0].as_py()], pa.int64()), pa.array([index], pa.binary())],
-                names=["dim", "shard", "index"])
-    graphs = (dealt.select("task", "dim", "shard", "k1", "k2", "ids", "v").repartition("task").sortWithinPartitions("task")
-              .mapInArrow(build, "dim int, shard long, index binary"))
+                [pa.array([dim], pa.int32()), pa.array([t.column("class")[0].as_py()], pa.int32()),
+                 pa.array([t.column("shard")[0].as_py()], pa.int64()), pa.array([index], pa.binary())],
+                names=["dim", "class", "shard", "index"])
+    graphs = (dealt.select("task", "dim", "class", "shard", "k1", "k2", "ids", "v").repartition("task").sortWithinPartitions("task")
+              .mapInArrow(build, "dim int, class int, shard long, index binary"))
     graphs = materialize(graphs, "ann-graphs")
 
     # every block of queries meets every shard
     asked = base.where(F.col("id") % query_every == 0).select("id", "dim", "v").dropDuplicates(["id", "v"])
-    asked = asked.join(shards, "dim")
     blocks = materialize(asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")), "ann-blocks")
     asked = asked.join(bounded(blocks), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    task = F.xxhash64("dim", "shard", "block").alias("task")
+    asked = asked.join(shards, "dim")
+    task = F.xxhash64("dim", "class", "shard", "block").alias("task")
     none = F.lit(None)
     questions = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).select(
         task, F.lit(1).alias("part"), "id", "dim", "v", none.cast("binary").alias("index"))
@@ -252,17 +278,18 @@ def nearest(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "emb
             own = t.column("id").to_numpy()
             q = _matrix(t.column("v"), v.shape[1])
             x = lift(v)
-            norms = (x * x).sum(1)
-            norms = np.r_[norms, 0.0].astype(np.float32)
+            norms = np.zeros(len(x) + 1, np.float32)         # equal for all rows, so the products alone rank
             x_pad = np.r_[x, np.zeros((1, x.shape[1]), np.float32)]
             out = []
             for lo in range(0, len(q), BATCH):
-                part = np.c_[q[lo:lo + BATCH], np.zeros(len(q[lo:lo + BATCH]))].astype(np.float32)
+                part = q[lo:lo + BATCH]
+                part = np.ldexp(part, -np.frexp(np.abs(part).max(1, keepdims=True))[1])
+                part = np.c_[part, np.zeros(len(part))].astype(np.float32)
                 found, _ = beam_search(x_pad, norms, graph, entry, part, min(max(SEARCH_BEAM, 2 * k), len(v)))
                 for i, row in enumerate(found):
                     row = row[row >= 0]
-                    score = v[row] @ q[lo + i]
-                    best = np.argsort(-score, kind="stable")[:k + 1]
+                    score = inner_products(v[row], q[lo + i])
+                    best = np.lexsort((ids[ends[row]], -score))[:k + 1]
                     hits = [(-score[b], j) for b in best for j in ids[ends[row[b]]:ends[row[b] + 1]] if j != own[lo + i]]
                     out += [(own[lo + i], j, -s) for s, j in sorted(hits)[:k]]
             if out:

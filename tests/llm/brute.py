@@ -93,7 +93,7 @@ def sentence_split(text):
     return out
 
 
-def sentence_dedup(docs, run, min_words):
+def sentence_dedup(docs, run, min_words, alone=50):
     """(id, n_sentences, removed, text) of every (id, text); ids distinct and not null."""
     split = {d: sentence_split(t or "") for d, t in docs}
     places = {}
@@ -103,7 +103,12 @@ def sentence_dedup(docs, run, min_words):
             n = run
             while i + n <= len(s) and sum(len(x[0]) for x in s[i:i + n]) < min_words:
                 n += 1
-            if i + n <= len(s):
+            lengths = {n} if i + n <= len(s) else set()
+            if len(s[i][0]) >= max(alone, min_words):
+                lengths.add(1)
+            if i == 0 and len(s) < run and sum(len(x[0]) for x in s) >= min_words:
+                lengths.add(len(s))
+            for n in lengths:
                 places.setdefault(tuple(w for x in s[i:i + n] for w in x[0]), []).append((d, i, n))
     gone = {d: set() for d, _ in docs}
     for found in places.values():

@@ -169,6 +169,28 @@ def test_sentences_equal_brute_force(spark, seed):
     assert sorted(have) == sorted(brute.sentence_dedup(rows, 2, 6), key=lambda x: x[0])
 
 
+def test_single_sentences_that_are_repeated(spark):
+    def words(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, words("a", 30)), (2, words("a", 30)), (3, words("A", 30) + "."),                  # whole texts of one sentence
+            (4, f"One. {words('b', 50)}. Two."), (5, f"Three. {words('b', 50)}! Four."),          # a long one between other sentences
+            (6, f"Five. {words('c', 49)}. Six."), (7, f"Seven. {words('c', 49)}. Eight."),        # not long enough
+            (8, words("d", 11)), (9, words("d", 11)), (10, words("b", 50)),
+            (11, words("e", 60)), (12, words("e", 60)), (13, f"Nine. {words('e', 60)}")]
+    have = sorted((r.doc_id, r.n_sentences, list(r.removed), r.text) for r in remove_repeated_sentences(docs_frame(spark, rows)).collect())
+    assert {d: gone for d, _, gone, _ in have if gone} == {2: [0], 3: [0], 5: [1], 10: [0], 12: [0], 13: [1]}
+    assert have == brute.sentence_dedup(rows, 2, 12)
+
+
+@pytest.mark.parametrize("run,min_words,alone", [(1, 3, 5), (2, 6, 7), (3, 6, 7), (4, 9, 5)])
+def test_runs_of_any_size_equal_brute_force(spark, run, min_words, alone):
+    rnd = random.Random(run)
+    pool = [" ".join(f"w{rnd.randrange(40)}" for _ in range(rnd.randrange(1, 12))) + rnd.choice([". ", "!\n", "。"]) for _ in range(20)]
+    rows = [(i, "".join(rnd.choice(pool) for _ in range(rnd.randrange(6)))) for i in range(120)]
+    got = remove_repeated_sentences(docs_frame(spark, rows), run=run, min_words=min_words, alone=alone).collect()
+    assert sorted((r.doc_id, r.n_sentences, list(r.removed), r.text) for r in got) == brute.sentence_dedup(rows, run, min_words, alone)
+
+
 def test_sentences_of_equal_rows_and_null_ids(spark):
     text = "One two three four five six. Seven eight nine ten eleven twelve. And the end of it all."
     rows = [(None, text), (7, text), (7, text), (9, "First. " + text)]

@@ -1,7 +1,8 @@
 """Removal of repeated passages by sliding spans of sentences.
 
 From every sentence on, the shortest run of at least ``run`` sentences and
-``min_words`` words is hashed.  Runs that occur more than once anywhere are
+``min_words`` words is hashed, and as runs of their own a text of fewer than
+``run`` sentences and a sentence of at least ``alone`` words.  Runs that occur more than once anywhere are
 found by one global aggregate and join; the first occurrence in order of
 document and position stays, and every sentence covered by another occurrence
 is removed.  Words are compared by their hashes with A-Z folded, so spacing
@@ -22,6 +23,7 @@ from zonecast.llm.textbytes import ALNUM, byte_class, prefix_hash, slices, span_
 
 RUN = 2
 MIN_WORDS = 12
+ALONE = 50                  # words of a sentence that is a run of its own
 _STOP = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 _SPACE = byte_class((0x20, 0x20), (0x09, 0x0D))
 _WIDE_STOPS = (b"\xe3\x80\x82", b"\xef\xbc\x81", b"\xef\xbc\x9f")      # ideographic full stop, full-width ! and ?
@@ -58,14 +60,14 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     # its bytes begin at the white space's end behind the last stop, or at the text's begin
     opens = np.flatnonzero(stops)
     before = np.searchsorted(opens, at, "right") - 1
-    begin = np.where(before >= 0, opens[np.maximum(before, 0)], 0)
+    begin = np.where(before >= 0, np.r_[opens, 0][np.maximum(before, 0)], 0)
     begin = np.maximum(begin, offsets[row[lead]])
     head = np.r_[True, row[lead][1:] != row[lead][:-1]]
     begin[head] = offsets[row[lead]][head]
     return row[lead], begin, lead, hashes
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
+def runs(data: np.ndarray, offsets: np.ndarray, run: int, min_words: int, alone: int = ALONE):
     """``(row, sentence index in its text, sentences in the run, hash, second hash)``, and sentences per text."""
     n_rows = len(offsets) - 1
     row, _, lead, hashes = sentences(data, offsets)
@@ -78,7 +80,13 @@ def runs(data: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
     index = np.arange(len(row))
     to = np.maximum(index + run, np.searchsorted(ends, lead + min_words, "left") + 1)
     ok = to <= last[row]
-    index, to = index[ok], to[ok]
+    # a long sentence is a run of its own, and so is a text of too few sentences
+    long = np.flatnonzero(ends - lead >= max(alone, min_words))
+    few = np.flatnonzero((per > 0) & (per < run))
+    few = few[ends[last[few] - 1] - lead[last[few] - per[few]] >= min_words]
+    found = np.unique(np.r_[index[ok] * (len(row) + 1) + to[ok], long * (len(row) + 1) + long + 1,
+                            (last[few] - per[few]) * (len(row) + 1) + last[few]])
+    index, to = np.divmod(found, len(row) + 1)
     a, b = lead[index], ends[to - 1]
     h = span_hash(prefix_hash(hashes), a, b)
     h2 = span_hash(prefix_hash(stream(hashes, 7)), a, b) >> np.uint64(33)
@@ -86,12 +94,14 @@ def runs(data: np.ndarray, offsets: np.ndarray, run: int, min_words: int):
 
 
 def remove_repeated_sentences(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", run: int = RUN,
-                              min_words: int = MIN_WORDS) -> DataFrame:
+                              min_words: int = MIN_WORDS, alone: int = ALONE) -> DataFrame:
     """Per document row: doc_id, n_sentences, n_removed, removed (sentence indexes), text (what is left).
 
     Order is by doc_id (null last), then by a hash of the text, then by
     position.  A null or empty text has no sentences and stays as it is; a
-    text of fewer than ``run`` sentences or ``min_words`` words loses nothing.
+    text of fewer than ``min_words`` words loses nothing, one of fewer than
+    ``run`` sentences goes as a whole.  A repeated sentence of fewer than
+    ``alone`` words between differing neighbours stays.
     Rows equal in id and text are one document and keep or lose the same
     sentences.  Other columns are ignored; an empty table gives an empty
     result.
@@ -102,7 +112,7 @@ def remove_repeated_sentences(docs: DataFrame, *, doc_id: str = "doc_id", text:
     def scan(batches):
         for batch in batches:
             for lo, hi, data, offsets in slices(column(batch, "text")):
-                row, at, n, h, h2, per = runs(data, offsets, run, min_words)
+                row, at, n, h, h2, per = runs(data, offsets, run, min_words, alone)
                 spans = pa.StructArray.from_arrays(
                     [pa.array(h), pa.array(h2.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))],
                     names=["h", "h2", "at", "n"])

@@ -57,6 +57,25 @@ def test_pages_without_marks_lose_what_their_neighbour_shares(spark):
     assert extract_text(page_frame(spark, [])).count() == 0
 
 
+def test_class_words_do_not_lose_the_article(spark):
+    def page(body):
+        return f"<body><div>Home | About</div>{body}<div class='site-footer'>Imprint</div></body>"
+    rows = [(1, "http://a.org/1", page("<div class='post no-sidebar'><article><p>one</p></article></div>")),
+            (2, "http://a.org/2", page("<div class='content has-comments'><article>two</article></div>")),
+            (3, "http://a.org/3", page("<section id='social-policy'><article>three</article></section>")),
+            (4, "http://b.org/1", page("<div class='post-title'>Title 4</div><div class='content'>four</div>")),
+            (5, "http://b.org/2", page("<div class='post'>Title 5</div><div class='content'>five</div>")),
+            (6, "http://b.org/3", page("<div class='post'>only a post</div>")),
+            (7, "http://c.org/1", page("<div class='post'>Title 7</div><div class='content'>seven</div>")),
+            (8, "http://c.org/1", page("<div class='post'>Title 7</div><div class='content'>seven</div>")),
+            (9, "http://d.org/1", page("<div class='story'><h1>Title 9</h1><div class='entry-content'>nine</div></div><div>more</div>")),
+            (10, "http://e.org/1", page("<div class='post'><header>Title 10</header><div class='related posts'>other</div>ten</div>"))]
+    got = {r.page_id: r.text for r in extract_text(page_frame(spark, rows)).collect()}
+    assert got == {1: "one", 2: "two", 3: "three", 4: "Title 4\nfour", 5: "Title 5\nfive", 6: "only a post",
+                   7: "Home | About\nTitle 7\nseven", 8: "Home | About\nTitle 7\nseven", 9: "Title 9\nnine",
+                   10: "Home | About\nTitle 10\nten"}
+
+
 def test_positions_follow_the_order(spark):
     rows = [(i * 37 % 101, "k") for i in range(101)]
     got = with_position(spark.createDataFrame(rows, "a long, b string").repartition(7), "a", name="t").collect()

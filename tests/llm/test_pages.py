@@ -76,6 +76,15 @@ def test_class_words_do_not_lose_the_article(spark):
                    10: "Home | About\nTitle 10\nten"}
 
 
+def test_furniture_on_blocks_that_are_no_containers():
+    html = """<article><p class='advert'>buy<p>one<ul><li class=related>see<li>two</li></ul><table><tr><td class='ad'><p>x</p><p>y</p><td>three
+      </table><h2 class="sponsored">z</h2>four<blockquote class="promo"><p>q</p></blockquote>five<ul><li class="ad"><ul><li>in</li></ul>on</ul>six
+      <p class="intro">seven</p></article><article class='comment'>first!</article><article class="post no-comments">eight</article>"""
+    got = blocks(html)
+    assert [t for t, k in got if k == ARTICLE] == "one two three four five six seven eight".split()
+    assert [t for t, k in got if k == FURNITURE] == ["buy", "see", "x", "y", "z", "q", "in", "on", "first!"]
+
+
 def test_positions_follow_the_order(spark):
     rows = [(i * 37 % 101, "k") for i in range(101)]
     got = with_position(spark.createDataFrame(rows, "a long, b string").repartition(7), "a", name="t").collect()

@@ -36,8 +36,8 @@ def contamination(docs, items, t=10):
     return out
 
 
-def repeats(texts, length):
-    """(n_bytes, n_removed, n_spans, kept) of every text."""
+def repeats(texts, length, keep_first=False):
+    """(n_bytes, n_removed, n_spans, kept) of every text; with ``keep_first`` a string's first place in the list stays."""
     raw = [(t or "").encode() for t in texts]
     seen = {}
     for i, b in enumerate(raw):
@@ -46,7 +46,7 @@ def repeats(texts, length):
     marks = [bytearray(len(b)) for b in raw]
     for places in seen.values():
         if len(places) > 1:
-            for i, p in places:
+            for i, p in places[keep_first:]:
                 marks[i][p:p + length] = b"\1" * length
     return [(len(b), sum(m), sum(1 for j in range(len(m)) if m[j] and (j == 0 or not m[j - 1])),
              bytes(x for x, y in zip(b, m, strict=True) if not y)) for b, m in zip(raw, marks, strict=True)]
@@ -120,3 +120,68 @@ def sentence_dedup(docs, run, min_words, alone=50):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+
+
+def chat_turns(rows):
+    """Turns of every conversation in order, (role, text), from (conv, turn, role, text)."""
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def turn_faults(rows):
+    """blank / duplicate / truncated / None of every (turn, role, text) in order."""
+    seen, out = set(), []
+    for _, role, text in rows:
+        said = re.findall("[^\x20\x09-\x0d]", text)
+        out.append("blank" if not said else "duplicate" if (role, text) in seen else None if said[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    return out
+
+
+def repair_turns(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, repaired lines) of one conversation, by searching all edit sequences."""
+    faults = turn_faults(rows)
+    known = sorted({t for t, _, _ in rows if t is not None})
+    gaps = known[-1] - known[0] + 1 - len(known) if known else 0
+    illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in zip(rows, rows[1:], strict=False))
+    legal = re.compile("(s?(ua)+)?")
+    most = 3 * len(rows) + 1
+
+    def search(budget):
+        """All (cost, audit, lines) within a budget, least audit first among the cheapest."""
+        found = []
+
+        def step(i, cost, audit, roles, lines):
+            if cost > budget or not any(legal.fullmatch(roles + more) for more in ("", "a", "ua")):
+                return
+            if i == len(rows) and legal.fullmatch(roles):
+                found.append((cost, audit, lines))
+            for new, name in (("u", "user"), ("a", "assistant")):
+                step(i, cost + 2, audit + "I", roles + new, [*lines, name + ":"])
+            if i < len(rows):
+                _, role, text = rows[i]
+                step(i + 1, cost + 3, audit + "D", roles, lines)
+                if faults[i] not in ("blank", "duplicate"):
+                    extra = faults[i] == "truncated"
+                    step(i + 1, cost + extra, audit + "K", roles + (role[:1] or "?"), [*lines, role + ":" + text])
+                    for new, name in (("u", "user"), ("a", "assistant")):
+                        step(i + 1, cost + 2 + extra, audit + "R", roles + new, [*lines, name + ":" + text])
+        step(0, 0, "", "", [])
+        return min(found, default=None)
+    best = next(b for b in map(search, range(most + 1)) if b)
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, best[0], best[1], best[2])
+
+
+def hard_negatives(rows, every=100, n_pos=5, n_neg=10, low=30, high=90):
+    """(anchor, positive, rank, negative, positive score, negative score) from (id, label, whole numbers)."""
+    out = []
+    for a, label, v in rows:
+        if a % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i, k) for i, k, w in rows if len(w) == len(v))
+        for p, i, _ in [s for s in scored if s[2] == label and s[1] != a][:n_pos]:
+            inside = [s for s in scored if s[2] != label and low * -p <= 100 * -s[0] <= high * -p][:n_neg]
+            out += [(a, i, r, j, -p, -s) for r, (s, j, _) in enumerate(inside, 1)]
+    return out

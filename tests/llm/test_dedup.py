@@ -136,6 +136,24 @@ def test_removed_bytes_equal_brute_force(spark, monkeypatch, seed, length, group
     assert sorted(have, key=key) == sorted([(i, *w) for i, w in zip(ids, want, strict=True)], key=key)
 
 
+@pytest.mark.parametrize("seed,length,group", [(1, 16, 8192), (2, 16, 3), (3, 40, 8192), (4, 40, 4), (5, 64, 10)])
+def test_first_occurrences_stay_as_in_brute_force(spark, monkeypatch, seed, length, group):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    texts = suffix_corpus(seed, length)
+    docs = docs_frame(spark, [*enumerate(texts)][::-1]).repartition(5)         # the order of ids, not of rows
+    got = [(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in remove_repeats(docs, length=length, keep_first=True).collect()]
+    assert sorted(got) == [(i, *w) for i, w in enumerate(brute.repeats(texts, length, keep_first=True))]
+
+
+def test_first_occurrences_among_null_and_repeated_ids(spark):
+    long = "".join(f"{i:02d}" for i in range(25))
+    rows = [(5, long + "1"), (5, long + "1"), (None, long), (3, "x" + long)]
+    got = remove_repeats(docs_frame(spark, rows), length=16, keep_first=True).collect()
+    assert sorted(((r.doc_id, r.n_removed) for r in got), key=key) == sorted([(None, 0), (3, 50), (5, 50), (5, 50)], key=key)
+    same = remove_repeats(docs_frame(spark, rows[:2]), length=16, keep_first=True).collect()        # equal in id and text: one
+    assert [r.n_removed for r in same] == [0, 0]
+
+
 def test_whole_characters_and_carried_columns(spark):
     rows = [(1, "é" * 40 + "a"), (2, "b" + "é" * 40), (3, "keep ü")]
     got = {r.doc_id: r for r in remove_repeats(docs_frame(spark, rows), length=16, whole_characters=True, keep=("lang", "th")).collect()}

@@ -7,6 +7,7 @@ import brute
 import duckdb
 import pytest
 from corpus import docs_frame, empty_docs, messy_rows, word_texts
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from zonecast.llm import mixing, queries, toxicity
@@ -79,10 +80,7 @@ def plain_pipeline(spark, rows, items, scores):
             seen.add(component)
             one.append(r)
     texts = [t for _, t in one]
-    cut = []
-    for (d, t), (_, _, _, _) in zip(one, brute.repeats(texts, 400), strict=True):
-        cut.append((d, t))
-    marks = brute.repeats(texts, 400)
+    marks = brute.repeats(texts, corpus_pipeline.PASSAGE_BYTES, keep_first=True)
     cut = [(d, None if t is None else k.decode("utf-8", "ignore")) for (d, t), (_, _, _, k) in zip(one, marks, strict=True)]
     hit = brute.contamination(cut, items)
     return [r for r, h in zip(cut, hit, strict=True) if not h[4]]
@@ -95,7 +93,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     rows += [(400 + i, f"vile scum word{i} thing{i}") for i in range(8)] + [(420 + i, f"nice word{i} and more{i}") for i in range(8)]
     rows += [(440, "q1 q2 q3 q4 q5 q6 q7 q8 q9 q10 q11 q12")]
     items = [(1, "z q2 q3 q4 q5 q6 q7 q8 q9 q10 q11 z"), (2, "never there at all in any of these texts of ours ok")]
-    docs_frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    more = ("kept", "n_bytes", "n_removed", "spans", "_null", "row")            # names that the stages use themselves
+    docs_frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(c).alias(c) for c in more]).write.parquet(
+        str(tmp_path / "documents.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     labels = [(400 + i, 1, 1) for i in range(8)] + [(420 + i, 1, 0) for i in range(8)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
@@ -110,10 +110,12 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:4]:
         step = stage(spark, step, str(tmp_path))
         assert step.columns == docs.columns, name
-    got = [(r.doc_id, r.text) for r in step.collect()]
+    left = step.collect()
+    assert all(r[c] == c for r in left for c in more) and all(r.n_chars == len(r.text) for r in left if r.text is not None)
+    got = [(r.doc_id, r.text) for r in left]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert 440 not in dict(got) and not any(400 <= (d or 0) < 408 for d, _ in got)
-    assert all("block40" not in (t or "") for d, t in got if d and 300 <= d < 304)
+    assert [d for d, t in got if d and 300 <= d < 304 and "block40" in (t or "")] == [300]
     final = corpus_pipeline.run(spark, str(tmp_path))
     words = {d: len(brute.SPACED.findall(t or "")) for d, t in want}
     assert all(r.taken in (r.size, 2 * r.size) and r.taken > 0 and words[r.doc_id] == r.size for r in final.where("doc_id is not null").collect())

@@ -24,10 +24,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.llm.bloom import build, contains
 from zonecast.llm.groups import binary, by_group, column, lists
-from zonecast.llm.shared import drop, materialize, written
+from zonecast.llm.shared import bounded, drop, materialize, written
 from zonecast.llm.textbytes import BYTE_VALUES, mix, prefix_hash, slices, span_hash
 
 LENGTH = 400
@@ -92,12 +93,13 @@ def _matrix(column_: pa.Array, width: int, reverse: bool) -> tuple[np.ndarray, n
 
 
 def backward_extension(group: np.ndarray, left: np.ndarray, n_left: np.ndarray, right: np.ndarray,
-                       n_right: np.ndarray, span: int) -> np.ndarray:
+                       n_right: np.ndarray, span: int, rank: np.ndarray | None = None) -> np.ndarray:
     """Which windows repeat: ``out[i, e]`` for the window that begins ``e`` bytes before member ``i``'s anchor.
 
     ``left[i, j]`` is byte ``j`` counted backwards from the anchor, ``right[i, j]``
     byte ``j`` behind it; a window takes ``e`` bytes of the one and ``span - e`` of
-    the other.  Members of one group share the anchor.
+    the other.  Members of one group share the anchor.  With ``rank`` the member
+    of least rank among those with an equal window is spared.
     """
     n = len(group)
     out = np.zeros((n, span + 1), bool)
@@ -119,6 +121,10 @@ def backward_extension(group: np.ndarray, left: np.ndarray, n_left: np.ndarray,
         mine = cls[member]
         same = (part[1:] == part[:-1]) & (mine[1:] == mine[:-1])
         hit = np.r_[same, False] | np.r_[False, same]
+        if rank is not None:
+            begin = np.flatnonzero(np.r_[True, ~same])
+            place = rank[order[member]]
+            hit &= place != np.repeat(np.minimum.reduceat(place, begin), np.diff(np.r_[begin, len(member)]))
         out[order[member[hit]], e] = True
         if e == span:
             break
@@ -138,19 +144,27 @@ def backward_extension(group: np.ndarray, left: np.ndarray, n_left: np.ndarray,
     return out
 
 
-_CONTEXT = "g long, c long, k long, shift int, l binary, r binary"
+# ``o, t, p`` say where the context stands first: id, row and position.
+_CONTEXT = "g long, c long, o long, t long, p int, k long, shift int, l binary, r binary"
+_NAMES = ["g", "c", "o", "t", "p", "k", "shift", "l", "r"]
 # All windows of a context hold its anchor, so together they cover one range.
 _SPANS = "g long, c long, lo int, hi int"
 
 
-def _search(contexts: DataFrame, span: int, length: int) -> DataFrame:
+def _search(contexts: DataFrame, span: int, length: int, keep_first: bool) -> DataFrame:
     """Backward extension within every group ``k``."""
     def run(batches):
         for t in by_group(batches, "k", GROUP):
             group = t.column("k").to_numpy()
             left, n_left = _matrix(t.column("l"), span, True)
             right, n_right = _matrix(t.column("r"), span, False)
-            marks = backward_extension(group, left, n_left, right, n_right, span)
+            rank = None
+            if keep_first:
+                first = [t.column(name).to_numpy() for name in ("p", "t", "o")]
+                step = np.lexsort(first)
+                rank = np.empty(len(group), np.int64)      # a context that came twice has one rank
+                rank[step] = np.cumsum(np.r_[False, np.any([f[step][1:] != f[step][:-1] for f in first], 0)])
+            marks = backward_extension(group, left, n_left, right, n_right, span, rank)
             keep = np.flatnonzero(marks.any(1))
             t, marks = t.take(pa.array(keep)), marks[keep]
             shift = t.column("shift").to_numpy()
@@ -199,14 +213,13 @@ def _finer(contexts: DataFrame, span: int) -> DataFrame:
                 l_bytes = left[ok, q:q + share][:, ::-1][(share - 1 - inside)[None, :] < more_left[:, None]]
                 r_bytes = right[ok, rest:rest + share][inside[None, :] < more_right[:, None]]
                 yield pa.RecordBatch.from_arrays(
-                    [column(batch, "g").take(pa.array(ok)), column(batch, "c").take(pa.array(ok)), pa.array(key.view(np.int64)),
-                     pa.array((shift[ok] + q).astype(np.int32)), binary(l_bytes, more_left), binary(r_bytes, more_right)],
-                    names=["g", "c", "k", "shift", "l", "r"])
+                    [*[column(batch, name).take(pa.array(ok)) for name in ("g", "c", "o", "t", "p")], pa.array(key.view(np.int64)),
+                     pa.array((shift[ok] + q).astype(np.int32)), binary(l_bytes, more_left), binary(r_bytes, more_right)], names=_NAMES)
     return contexts.mapInArrow(run, _CONTEXT)
 
 
 def _windows(contexts: DataFrame, span: int) -> DataFrame:
-    """One row per window of each context: (g, c, shift of the window's begin, w)."""
+    """One row per window of each context: (g, c, o, t, p, shift of the window's begin, w)."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -221,10 +234,10 @@ def _windows(contexts: DataFrame, span: int) -> DataFrame:
                     continue
                 ends = _ends_hash(batch, span, np.full(len(ok), e), np.full(len(ok), span - e), left[ok], right[ok])
                 yield pa.RecordBatch.from_arrays(
-                    [column(batch, "g").take(pa.array(ok)), column(batch, "c").take(pa.array(ok)),
+                    [*[column(batch, name).take(pa.array(ok)) for name in ("g", "c", "o", "t", "p")],
                      pa.array((shift[ok] + e).astype(np.int32)), pa.array(mix(ends ^ mix(k[ok] + np.uint64(e + 1))).view(np.int64))],
-                    names=["g", "c", "e", "w"])
-    return contexts.mapInArrow(run, "g long, c long, e int, w long")
+                    names=["g", "c", "o", "t", "p", "e", "w"])
+    return contexts.mapInArrow(run, "g long, c long, o long, t long, p int, e int, w long")
 
 
 def _halves(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -232,26 +245,32 @@ def _halves(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return sized.where(F.col("n") <= GROUP).drop("n"), sized.where(F.col("n") > GROUP).drop("n")
 
 
-def repeated_spans(contexts: DataFrame, span: int, length: int) -> DataFrame:
-    """The range (relative to the anchor) that repeats, for context rows (g, c, k, shift, l, r, n).
+def repeated_spans(contexts: DataFrame, span: int, length: int, keep_first: bool = False) -> DataFrame:
+    """The range (relative to the anchor) that repeats, for context rows (g, c, o, t, p, k, shift, l, r, n).
 
     ``n`` counts the contexts of the anchor.  Groups of more than ``GROUP``
     are split by longer keys; what is then still larger is settled window by
-    window, by counting equal ones.
+    window, by counting equal ones.  Counts are written before they are joined,
+    so that the partition of a very common key is a plain shuffle that the
+    skew join can split.
     """
     spark = contexts.sparkSession
     contexts, path = written(contexts, "suffix-contexts")
     small, large = _halves(contexts)
-    found = materialize(_search(small, span, length), "suffix-spans")
+    found = materialize(_search(small, span, length, keep_first), "suffix-spans")
     if not large.isEmpty():
         share = span // PARTS
         finer, finer_path = written(_finer(large, span), "suffix-finer")
-        sizes = finer.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")      # lone contexts go
-        small, large = _halves(finer.join(sizes, "k"))
-        more = _search(small, share, length)
+        sizes = materialize(finer.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "suffix-sizes")      # lone contexts go
+        small, large = _halves(finer.join(bounded(sizes), "k"))
+        more = _search(small, share, length, keep_first)
         windows, windows_path = written(_windows(large, share), "suffix-windows")
-        twice = windows.groupBy("w").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a <> z").select("w")
-        exact = windows.join(twice, "w").select("g", "c", (-F.col("e")).alias("lo"), (F.lit(length) - F.col("e")).alias("hi"))
+        twice = windows.groupBy("w").agg(F.min("c").alias("a"), F.max("c").alias("z"), F.min(F.struct("o", "t", "p", "c")).alias("first"))
+        twice = materialize(twice.where("a <> z").select("w", F.col("first.c").alias("spared")), "suffix-twice")
+        exact = windows.join(bounded(twice), "w")
+        if keep_first:
+            exact = exact.where("c <> spared")
+        exact = exact.select("g", "c", (-F.col("e")).alias("lo"), (F.lit(length) - F.col("e")).alias("hi"))
         more = more.union(exact).groupBy("g", "c").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         found = found.union(materialize(more, "suffix-spans"))
         drop(spark, finer_path)
@@ -261,12 +280,16 @@ def repeated_spans(contexts: DataFrame, span: int, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   whole_characters: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+                   whole_characters: bool = False, keep_first: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, spans (removed byte ranges, merged), kept (binary).
 
     Every byte covered by a ``length``-byte string that also starts somewhere
     else, in any text or the same one (overlaps count), is removed; what
-    repeats is judged on the input.  With ``whole_characters`` a character
+    repeats is judged on the input.  With ``keep_first`` the first occurrence
+    of each such string does not count: the one of the smallest id (null ids
+    first; ids that are no integers by their hash), rows that share an id in
+    the order of the table, then the earliest in the text; rows equal in id
+    and text are treated as one.  With ``whole_characters`` a character
     goes only if all its bytes are covered, so ``kept`` stays valid UTF-8.
     A null text is empty; a text shorter than ``length`` loses nothing;
     repeated rows repeat each other.  ``keep`` names further columns to carry
@@ -293,8 +316,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                     names=["doc", "th", "n", "anchors"])
     scanned = source.select("doc", "th", "text").mapInArrow(
         scan, f"doc {kind}, th long, n long, anchors array<struct<g:long,c:long,at:int>>")
-    base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()), "suffix-anchors")
-    occ = base.select("row", F.explode("anchors").alias("x")).select("row", "x.*")
+    order = F.col("doc").cast("long") if isinstance(docs.schema[doc_id].dataType, T.IntegralType) else F.xxhash64("doc")
+    base = materialize(scanned.withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "o", F.coalesce(order, F.lit(-(1 << 63)).cast("long"))), "suffix-anchors")
+    occ = base.select("row", "o", F.explode("anchors").alias("x")).select("row", "o", "x.*")
 
     grams = occ.groupBy("g").agg(F.count("*").alias("total"), F.min("c").alias("a"), F.max("c").alias("z"))
     grams = materialize(grams.where("total > 1").select("g", (F.col("a") != F.col("z")).alias("several")), "suffix-grams")
@@ -302,11 +327,11 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     # One place for every different context of an anchor that has several.
     places = materialize(hits.where("several").groupBy("g", "c").agg(
-        F.count("*").alias("times"), F.min(F.struct("row", "at")).alias("p")), "suffix-places")
-    sizes = places.groupBy("g").agg(F.count("*").alias("n"))
-    wanted = places.select("g", "c", "p.row", "p.at").join(sizes, "g")
+        F.count("*").alias("times"), F.min(F.struct("o", "row", "at")).alias("p")), "suffix-places")
+    sizes = materialize(places.groupBy("g").agg(F.count("*").alias("n")), "suffix-sizes")
+    wanted = places.select("g", "c", "p.row", "p.at").join(bounded(sizes), "g")
     wanted = wanted.groupBy("row").agg(F.collect_list(F.struct("g", "c", "at", "n")).alias("places"))
-    wanted = wanted.join(base.select("row", F.col("doc").alias("w_doc"), F.col("th").alias("w_th")), "row")
+    wanted = wanted.join(base.select("row", "o", F.col("doc").alias("w_doc"), F.col("th").alias("w_th")), "row")
     wanted = materialize(wanted, "suffix-wanted")
     bits = docs.sparkSession.sparkContext.broadcast(build(wanted, "w_th", FILTER_BITS))       # FILTER_BITS / 8 bytes
 
@@ -315,7 +340,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             yield batch.filter(pa.array(contains(bits.value, column(batch, "th").to_numpy())))
     texts = source.select("doc", "th", "text")
     texts = texts.mapInArrow(thin, texts.schema)
-    texts = texts.join(wanted, (texts["th"] == wanted["w_th"]) & texts["doc"].eqNullSafe(wanted["w_doc"])).select("text", "places")
+    texts = texts.join(wanted, (texts["th"] == wanted["w_th"]) & texts["doc"].eqNullSafe(wanted["w_doc"])).select("text", "places", "o", "row")
 
     def cut(batches):
         for batch in batches:
@@ -327,19 +352,29 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 a, b = np.maximum(offsets[row], at - span), np.minimum(offsets[row + 1], at + length)
                 k = flat.field("g")
                 yield pa.RecordBatch.from_arrays(
-                    [k, flat.field("c"), k, pa.array(np.zeros(len(row), np.int32)),
-                     _pieces(data, a, at), _pieces(data, at + gram, b), flat.field("n")],
-                    names=["g", "c", "k", "shift", "l", "r", "n"])
+                    [k, flat.field("c"), *[column(batch, name).slice(lo, hi - lo).take(pa.array(row)) for name in ("o", "row")], flat.field("at"),
+                     k, pa.array(np.zeros(len(row), np.int32)), _pieces(data, a, at), _pieces(data, at + gram, b), flat.field("n")],
+                    names=[*_NAMES, "n"])
     # a document that stands twice under one id gives its places twice
     contexts = texts.mapInArrow(cut, _CONTEXT + ", n long")
-    found = repeated_spans(contexts, span, length)
+    found = repeated_spans(contexts, span, length, keep_first)
 
     # A context that occurs more than once repeats as a whole (cut to the text below).
-    often = materialize(places.where("times > 1").select("g", "c").withColumn("whole", F.lit(True)).join(found, ["g", "c"], "full"), "suffix-ranges")
-    often = often.select("g", "c", F.when(F.col("whole"), F.lit(-span)).otherwise(F.col("lo")).alias("lo"),
-                         F.when(F.col("whole"), F.lit(length)).otherwise(F.col("hi")).alias("hi"))
-    once = hits.where("not several").select("row", "at", F.lit(-span).alias("lo"), F.lit(length).alias("hi"))
-    covers = once.union(hits.where("several").join(often, ["g", "c"]).select("row", "at", "lo", "hi"))
+    whole = (F.lit(-span), F.lit(length))
+    often = places.where("times > 1").select("g", "c", "p", F.lit(True).alias("whole")).join(found, ["g", "c"], "full")
+    often = materialize(often, "suffix-ranges")
+    one_context = hits.where("not several")
+    if keep_first:
+        # spared: the first occurrence, but for what repeats an earlier text of another context
+        leads = materialize(one_context.groupBy("g").agg(F.min(F.struct("o", "row", "at")).alias("p")), "suffix-leads")
+        later = (F.struct("o", "row", "at") > F.col("p"))
+        once = one_context.join(bounded(leads), "g").where(later)
+        covered = hits.where("several").join(often, ["g", "c"]).withColumn("whole", F.col("whole") & later)
+        covered = covered.where(F.col("whole") | F.col("lo").isNotNull())
+    else:
+        once, covered = one_context, hits.where("several").join(often, ["g", "c"])
+    covers = once.select("row", "at", whole[0].alias("lo"), whole[1].alias("hi")).union(covered.select(
+        "row", "at", F.when(F.col("whole"), whole[0]).otherwise(F.col("lo")), F.when(F.col("whole"), whole[1]).otherwise(F.col("hi"))))
     covers = covers.groupBy("row").agg(F.collect_list(F.struct(
         (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))).alias("spans"))
     one = base.groupBy("doc", "th").agg(F.min("row").alias("row"))

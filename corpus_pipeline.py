@@ -36,17 +36,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+# Fifty words of natural text rarely have fewer bytes than this.
+PASSAGE_BYTES = 240
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without the characters of any 400-byte string that stands elsewhere too.
+    """All documents, their texts without the characters of any string of ``PASSAGE_BYTES`` bytes that stood earlier.
 
-    ``n_chars`` is counted anew; a null text stays null.
+    The first occurrence (smallest id, then position) stays.  ``n_chars`` is
+    counted anew; a null text stays null; other columns pass unchanged,
+    whatever their names.
     """
     ship_package(spark)
     columns = docs.columns
-    other = tuple(c for c in columns if c not in ("doc_id", "text"))
-    found = remove_repeats(docs.withColumn("_null", F.col("text").isNull()), whole_characters=True, keep=(*other, "_null"))
-    found = found.withColumn("text", F.when(~F.col("_null"), F.col("kept").cast("string")))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    whole = docs.select("doc_id", "text", F.struct(*[docs[c] for c in columns]).alias("row"))
+    found = remove_repeats(whole, length=PASSAGE_BYTES, whole_characters=True, keep_first=True, keep=("row",))
+    text = F.when(F.col("row.text").isNotNull(), F.col("kept").cast("string"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,6 +132,32 @@ def test_running_sum_form_skips_nulls_and_holds_large_values(spark):
     assert got[(4, hour + dt.timedelta(hours=1))]["roll_std_3h"] == 0.0
 
 
+def test_running_sums_of_any_sign_and_size_are_exact(spark):
+    """Against whole-number arithmetic: negatives, limbs that cancel, values at the edges of the limbs."""
+    import datetime as dt
+    import random
+    from fractions import Fraction
+    from zonecast.operators.windows import add_window_features
+    rnd = random.Random(8)
+    edges = [0, 1, -1, 2**21 - 1, 2**21, -2**21, 2**42, -2**42, 2**42 - 1, 10**15, -10**15, None]
+    zones = {z: [rnd.choice(edges) for _ in range(40)] for z in range(6)}
+    zones[7] = [2**42, -2**42, 2**42, -2**42]
+    rows = [(z, dt.datetime(2026, 1, 1) + dt.timedelta(hours=i), v) for z, vs in zones.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "zone_id bigint, hour timestamp_ntz, demand bigint")
+    start = dt.datetime(2026, 1, 1)
+    for r in add_window_features(df, (), (2, 9)).collect():
+        i = int((r.hour - start).total_seconds() // 3600)
+        for n in (2, 9):
+            seen = [v for v in zones[r.zone_id][max(0, i - n):i] if v is not None]
+            if not seen:
+                assert r[f"roll_mean_{n}h"] is None and r[f"roll_std_{n}h"] == 0.0
+                continue
+            mean = Fraction(sum(seen), len(seen))
+            std = float(sum((v - mean) ** 2 for v in seen) / len(seen)) ** 0.5
+            assert abs(r[f"roll_mean_{n}h"] - float(mean)) <= 1e-15 * abs(float(mean)) + 1e-12
+            assert abs(r[f"roll_std_{n}h"] - std) <= 1e-14 * std
+
+
 def test_lags_default(spark):
     from zonecast.operators.windows import add_lags
     import datetime as dt

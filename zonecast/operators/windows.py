@@ -8,6 +8,8 @@ zone is bounded by the time span, however hot the zone is.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +17,6 @@ from pyspark.sql import types as T
 from zonecast.functions.columns import positive_ints, require_columns
 
 
-_EXACT = "decimal(38,0)"
-
-
 def _spec(key: str, time: str):
     return Window.partitionBy(key).orderBy(time)
 
@@ -46,29 +45,63 @@ def rolling_columns(windows, *, key="zone_id", time="hour", target="demand"):
     return cols
 
 
-def _running_sum_columns(windows, key, time):
-    """Rolling mean / population std from prefix sums, exact for integer targets.
+# A whole number x is three limbs, x = _x2 * 2^42 + _x1 * 2^21 + _x0 with the two
+# lower ones in 0 .. 2^21 - 1, so that a BIGINT holds the sum of 2^19 of the
+# widest products of two limbs (2^44), and 2^21 of the usual ones (2^42).
+_LIMB = 21
+_PAIRS = ((0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2))
+_SUMS = ("x0", "x1", "x2", *(f"x{i}x{j}" for i, j in _PAIRS), "n")
+# up to this width c * sum(x^2) of values below 2^21 is below 2^63
+_NARROW = 1 << 10
+_EXACT = "decimal(38,0)"
 
-    With ``S``, ``Q`` and ``C`` the running sum of ``x``, of ``x²`` and the
-    running count of non-null ``x`` up to the current row, the previous-``w``
-    window has ``c = C[t-1] - C[t-w-1]`` values, their sum from ``S`` and the
-    population variance ``(c·ΣQ - (ΣS)²) / c²``.  The sums and the numerator
-    are ``DECIMAL(38,0)``, so the subtraction loses nothing for counts of up
-    to about 10^15, and the result equals the frame form in O(rows) whatever
-    ``w`` is.  Nulls count neither in ``c`` nor in the sums.
-    """
+
+def _limb_sums(target: str, running) -> list:
+    """Running sums of the limbs, of their products and of the non-null count."""
+    x = F.col(target).cast("bigint")
+    mask = F.lit((1 << _LIMB) - 1).cast("bigint")
+    limbs = (x.bitwiseAND(mask), F.shiftright(x, _LIMB).bitwiseAND(mask), F.shiftright(x, 2 * _LIMB))
+    values = [*limbs, *[limbs[i] * limbs[j] for i, j in _PAIRS], F.when(x.isNotNull(), F.lit(1).cast("bigint"))]
+    return [F.sum(v).over(running).alias(f"_{name}") for name, v in zip(_SUMS, values, strict=True)]
+
+
+def _difference_columns(windows, key, time) -> list:
+    """The limb sums of the previous ``w`` records: differences of running sums, one struct a window."""
     w = _spec(key, time)
+    zero = F.lit(0).cast("bigint")
+
+    def back(n):
+        return F.lag(F.struct(*[F.col(f"_{name}").alias(name) for name in _SUMS]), n).over(w)
+    # a running sum is null until the first value of the zone
+    return [F.struct(*[(F.coalesce(back(1)[name], zero) - F.coalesce(back(n + 1)[name], zero)).alias(name) for name in _SUMS]).alias(f"_w{n}")
+            for n in windows]
 
-    def back(name, n):
-        return (F.coalesce(F.lag(name, 1).over(w), F.lit(0)) - F.coalesce(F.lag(name, n + 1).over(w), F.lit(0)))
-    cols = []
-    for n in windows:
-        s, q, c = back("_rs", n).cast(_EXACT), back("_rq", n).cast(_EXACT), back("_rc", n)
-        mean = F.when(c > 0, s.cast("double") / c)
-        spread = (c.cast("decimal(10,0)") * q).cast(_EXACT) - (s * s).cast(_EXACT)
-        std = F.when(c > 0, F.sqrt(spread.cast("double")) / c).otherwise(F.lit(0.0))
-        cols += [mean.alias(f"roll_mean_{n}h"), std.alias(f"roll_std_{n}h")]
-    return cols
+
+def _rolling_from_limbs(n: int) -> list:
+    """Mean and population std of a window, exact until the last division.
+
+    The variance is ``(c * sum(x^2) - sum(x)^2) / c^2``.  Where all values are
+    in 0 .. 2^21 - 1 (only the lowest limb is used) and the window is narrow,
+    both terms fit a BIGINT; else the limbs are put together in DECIMAL(38,0).
+    """
+    def s(name):
+        return F.col(f"_w{n}.{name}")
+    c = s("n")
+    small = (s("x1") == 0) & (s("x2x2") == 0) & F.lit(n <= _NARROW)        # neither can be a sum of opposite signs
+
+    def put(parts):
+        """Limb sums at their weights; a sum of negative upper limbs is negative too."""
+        total = F.lit(0).cast(_EXACT)
+        for name, weight in parts:
+            total = (total + (s(name).cast("decimal(19,0)") * F.lit(Decimal(1 << weight))).cast(_EXACT)).cast(_EXACT)
+        return total
+    total = put([("x0", 0), ("x1", _LIMB), ("x2", 2 * _LIMB)])
+    squares = put([(f"x{i}x{j}", _LIMB * (i + j) + (i != j)) for i, j in _PAIRS])
+    wide = ((c.cast("decimal(10,0)") * squares).cast(_EXACT) - (total * total).cast(_EXACT)).cast("double")
+    mean = F.when(c > 0, F.when(small, s("x0").cast("double")).otherwise(total.cast("double")) / c)
+    spread = F.when(small, (c * s("x0x0") - s("x0") * s("x0")).cast("double")).otherwise(wide)
+    std = F.when(c > 0, F.sqrt(spread) / c).otherwise(F.lit(0.0))
+    return [mean.alias(f"roll_mean_{n}h"), std.alias(f"roll_std_{n}h")]
 
 
 def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", time="hour",
@@ -76,8 +109,11 @@ def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", ti
     """Lags and rolling statistics in one sorted pass per zone.
 
     Integral targets (counts) take the running-sum form: one window operator
-    computes prefix sums, a second one the lags and window differences, both
-    on the same exchange and sort.  Other targets use the frame form.
+    computes running sums of machine words, a second one the lags and window
+    differences, both on the same exchange and sort, so a row costs the same
+    whatever the width.  Other targets use the frame form.  The result equals
+    the frame form, nulls included, without its rounding, for sums of squares
+    below 10^38 and zones of fewer than 2^19 records.
     """
     require_columns(df, (key, time, target), "demand panel")
     lag_cols = lag_columns(lags, key=key, time=time, target=target)
@@ -85,14 +121,12 @@ def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", ti
         return df.select("*", *lag_cols)
     if not isinstance(df.schema[target].dataType, T.IntegralType):
         return df.select("*", *lag_cols, *rolling_columns(windows, key=key, time=time, target=target))
-    w = _spec(key, time)
-    x = F.col(target).cast("decimal(19,0)")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    base = df.select("*", F.sum(x).over(running).alias("_rs"),
-                     F.sum((x * x).cast(_EXACT)).over(running).alias("_rq"),
-                     F.count(target).over(running).alias("_rc"))
-    return base.select(*[F.col(c) for c in df.columns], *lag_cols,
-                       *_running_sum_columns(windows, key, time))
+    running = _spec(key, time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = [F.col(c) for c in df.columns]
+    base = df.select(*own, *_limb_sums(target, running))
+    base = base.select(*own, *lag_cols, *_difference_columns(windows, key, time))
+    lag_names = [F.col(f"lag_{k}h") for k in lags]
+    return base.select(*own, *lag_names, *[c for n in windows for c in _rolling_from_limbs(n)])
 
 
 def add_lags(df: DataFrame, lags=None, *, key="zone_id", time="hour",

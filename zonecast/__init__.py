@@ -8,9 +8,12 @@ the parquet scan, columns are pruned, window stages share their exchange.
 """
 
 from zonecast.session import checkpoint_dir, configure, get_session
-from zonecast.sources.trips import (NUM_TAXI_ZONES, REQUIRED_COLUMNS, load, month_path,
+from zonecast.sources.trips import (NUM_TAXI_ZONES, REQUIRED_COLUMNS, footer_stats, load, month_path,
                                     read_months, read_raw, schema_profile)
-from zonecast.sources.zones import EXPECTED_COLUMNS, load_zone_lookup
+from zonecast.sources.month_store import read_month_range, read_month_store, stored_months, write_months
+from zonecast.sources.sinks import read_positions, write_bucketed, write_sorted
+from zonecast.sources.zones import EXPECTED_COLUMNS, load_zone_lookup, read_zone_lookup
+from zonecast.functions.guards import guard_report
 from zonecast.operators.cleaning import clean_report, clean_trips
 from zonecast.operators.demand import aggregate, fill_grid, grid, hour_bounds
 from zonecast.operators.windows import add_lags, add_rolling_features, add_window_features
@@ -29,7 +32,9 @@ from zonecast.operators.reports import (column_profile, daily_counts, daily_summ
                                         zone_totals)
 from zonecast.ml.models import (DEFAULT_FEATURE_COLUMNS, DEFAULT_RANDOM_STATE, SUPPORTED_MODELS,
                                 make_pipeline, train_models)
-from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster
+from zonecast.ml.forecaster import DemandForecaster, MultiModelForecaster, saved_versions
+from zonecast.ml.columns import ColumnModel, LinearColumns
+from zonecast.ml.forest_nodes import NodeForest, check_nodes, node_table, score_by_nodes
 from zonecast.ml.evaluate import evaluate_model, model_comparison, naive_baseline
 from zonecast.plans.features import build_features
 from zonecast.plans.forecast import forecast_report, top_k_forecast

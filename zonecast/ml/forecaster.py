@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.functions.columns import require_columns
 from zonecast.ml.models import (DEFAULT_FEATURE_COLUMNS, DEFAULT_RANDOM_STATE,
@@ -14,6 +16,7 @@ from zonecast.ml.models import (DEFAULT_FEATURE_COLUMNS, DEFAULT_RANDOM_STATE,
                                 linear_coefficients, make_pipeline, train_models)
 
 _CONTRACT = "zonecast_contract"
+_VERSIONS = "versions"
 
 
 class DemandForecaster:
@@ -54,33 +57,55 @@ class DemandForecaster:
     def coefficients(self) -> dict[str, float]:
         return linear_coefficients(self._fitted(), self.feature_columns)
 
-    def save(self, path: str) -> None:
-        """Write the pipeline plus a one-row contract with the column names."""
-        model = self._fitted()
-        model.write().overwrite().save(f"{path}/pipeline")
-        spark = SparkSession.getActiveSession()
-        contract = json.dumps({"feature_columns": self.feature_columns,
-                               "target_column": self.target_column})
-        spark.createDataFrame([(contract,)], "contract string").coalesce(1) \
-             .write.mode("overwrite").json(f"{path}/{_CONTRACT}")
+    def save(self, path: str) -> str:
+        """Add a version below ``path`` and return its name.
 
-    def load(self, path: str) -> "DemandForecaster":
-        """Restore the pipeline; the saved contract overrides constructor columns."""
+        The pipeline goes to a folder of its own; the contract row (column
+        names, coefficients, place in the order of versions) is appended
+        after it and is what commits the version.  A save that is broken off
+        leaves the versions before it untouched, and readers never see half
+        of one.
+        """
+        model = self._fitted()
         spark = SparkSession.getActiveSession()
-        self.model = PipelineModel.load(f"{path}/pipeline")
-        try:
-            row = spark.read.json(f"{path}/{_CONTRACT}").first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            row = None       # saved without a contract: the constructor's columns hold
-        if row is not None:
-            c = json.loads(row["contract"])
-            self.feature_columns = list(c["feature_columns"])
-            self.target_column = c["target_column"]
+        version = uuid.uuid4().hex
+        done = saved_versions(path)
+        place = 1 if done is None else done.agg(F.max("place")).first()[0] + 1
+        model.write().save(f"{path}/{_VERSIONS}/{version}")
+        contract = json.dumps({"feature_columns": self.feature_columns, "target_column": self.target_column,
+                               "coefficients": self.coefficients()})
+        row = spark.range(1).select(F.lit(version).alias("version"), F.lit(place).cast("bigint").alias("place"), F.lit(contract).alias("contract"))
+        row.coalesce(1).write.mode("append").json(f"{path}/{_CONTRACT}")
+        return version
+
+    def load(self, path: str, version: str | None = None) -> "DemandForecaster":
+        """Restore the latest committed version, or the one named; its contract overrides constructor columns."""
+        done = saved_versions(path)
+        if done is None:         # saved without a contract: the constructor's columns hold
+            self.model = PipelineModel.load(f"{path}/pipeline")
+            return self
+        if version is not None:
+            done = done.where(F.col("version") == version)
+        row = done.orderBy(F.desc("place"), "version").first()
+        if row is None:
+            raise FileNotFoundError(f"no committed version {version or ''} below {path}")
+        self.model = PipelineModel.load(f"{path}/{_VERSIONS}/{row['version']}")
+        c = json.loads(row["contract"])
+        self.feature_columns = list(c["feature_columns"])
+        self.target_column = c["target_column"]
         return self
 
 
+def saved_versions(path: str) -> DataFrame | None:
+    """``version, place, contract`` of every committed version, or None where there is no contract table."""
+    try:
+        return SparkSession.getActiveSession().read.schema("version string, place bigint, contract string").json(f"{path}/{_CONTRACT}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 class MultiModelForecaster:
     """Fit several model families on the same rows and score them side by side."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonecast.functions.columns import is_time_type, require_columns
+from zonecast.functions.columns import is_numeric_type, is_time_type, require_columns
 
 HOURS_OF_DAY = range(24)
 
@@ -138,24 +138,37 @@ def top_zones_share(trips: DataFrame, k: int = 10, *, id_column: str = "PULocati
 def column_profile(df: DataFrame, columns, *, lo: int = 1, hi: int | None = None) -> DataFrame:
     """Per column: type, nulls, min, max, exact distinct count, out of ``[lo, hi]``.
 
-    Each column is counted by value first (combined map-side, reading that
-    column only), and everything else is a small aggregate over its distinct
-    values; several distinct counts in one aggregate would multiply every row.
+    One pass for any number of columns: rows are unpivoted to (column, value),
+    with a slot for each of the types that occur, and counted by value, which
+    combines map-side; all figures are then aggregates of those counts.
     """
-    cols = list(columns)
+    cols = list(dict.fromkeys(columns))
     require_columns(df, cols, "DataFrame")
-
-    def profile(c):
-        values = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        rows = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0))
-        outside = F.lit(None).cast("bigint") if hi is None else \
-            F.coalesce(F.sum(F.when(~F.col("v").between(lo, hi), F.col("n"))), F.lit(0))
-        return values.agg(rows.alias("null_count"), F.min("v").cast("string").alias("min_value"),
-                          F.max("v").cast("string").alias("max_value"), F.count("v").alias("n_distinct"),
-                          outside.alias("out_of_range")).select(
-            F.lit(c).alias("column"), F.lit(df.schema[c].dataType.simpleString()).alias("type"),
-            "null_count", "min_value", "max_value", "n_distinct", "out_of_range")
-    out = profile(cols[0])
-    for c in cols[1:]:
-        out = out.unionByName(profile(c))
-    return out
+    types = [df.schema[c].dataType.simpleString() for c in cols]
+    slots = {t: f"v{i}" for i, t in enumerate(dict.fromkeys(types))}
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), *[(F.col(f"`{c}`") if t == types[i] else F.lit(None).cast(t)).alias(v) for t, v in slots.items()])
+                      for i, c in enumerate(cols)])
+    counts = df.select(F.inline(cells)).groupBy("c", *slots.values()).agg(F.count(F.lit(1)).alias("n"))
+
+    def of_type(make):
+        """``make(slot)`` for the slot that the row's column uses."""
+        return F.coalesce(*[F.when(F.col("c").isin([i for i, u in enumerate(types) if u == t]), make(F.col(v))) for t, v in slots.items()])
+    value_is_null = of_type(lambda v: v.isNull())
+    aggregates = [F.sum(F.when(value_is_null, F.col("n"))).alias("null_count"), F.count_if(~value_is_null).alias("n_distinct")]
+    for v in slots.values():
+        aggregates += [F.min(v).cast("string").alias(f"min_{v}"), F.max(v).cast("string").alias(f"max_{v}")]
+    outside = F.lit(None).cast("bigint")
+    if hi is not None:
+        # null for a column that cannot be compared with numbers
+        numeric = [v for t, v in slots.items() if is_numeric_type(df.schema[cols[types.index(t)]].dataType)]
+        aggregates += [F.coalesce(F.sum(F.when(~F.col(v).between(lo, hi), F.col("n"))), F.lit(0)).alias(f"out_{v}") for v in numeric]
+    found = counts.groupBy("c").agg(*aggregates)
+    meta = F.array(*[F.struct(F.lit(i).alias("c"), F.lit(c).alias("column"), F.lit(t).alias("type")) for i, (c, t) in enumerate(zip(cols, types))])
+    named = df.sparkSession.range(1).select(F.inline(meta)).join(found, "c", "left")       # a table without rows has a profile too
+    if hi is not None:
+        outside = F.coalesce(*[F.when(F.col("type") == t, F.coalesce(f"out_{v}", F.lit(0))) for t, v in slots.items() if v in numeric], outside)
+
+    def pick(kind):
+        return F.coalesce(*[F.when(F.col("type") == t, F.col(f"{kind}_{v}")) for t, v in slots.items()])
+    return named.select("column", "type", F.coalesce("null_count", F.lit(0)).alias("null_count"), pick("min").alias("min_value"),
+                        pick("max").alias("max_value"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), outside.alias("out_of_range"))

@@ -7,8 +7,6 @@ same names and types on both sides, doubles are rounded to 6 digits.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,40 +31,13 @@ from zonecast.operators.zones import ZoneResolver, borough_demand, zones_without
 from zonecast.plans import sql_oracle as S
 from zonecast.plans.features import build_features
 from zonecast.plans.forecast import forecast_report, lag_feature_frame, top_k_forecast
+from zonecast.plans.registry import ORACLE, QUERIES, register, round_doubles, table  # noqa: F401
 from zonecast.session import configure
 from zonecast.sources.trips import read_events_trips, schema_profile
 from zonecast.sources.zones import zone_dim_from_tables
 
 NUM_ZONES = S.NUM_ZONES     # every positive id of the events view is a zone
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            return fn(spark, sf_dir)
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-        for f in df.schema.fields])
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_trips(read_events_trips(spark, sf_dir), num_zones=NUM_ZONES)

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from zonecast.llm.html_text import ARTICLE, FURNITURE, PLAIN, blocks, common_lines, extract_text
+from zonecast.llm.html_text import ARTICLE, FURNITURE, PLAIN, blocks, common_lines, difference, extract_text
 from zonecast.llm.order import with_position
 from zonecast.llm.warc import read_warc, salvage, warc_records, write_warc
 
@@ -85,6 +85,67 @@ def test_furniture_on_blocks_that_are_no_containers():
     assert [t for t, k in got if k == FURNITURE] == ["buy", "see", "x", "y", "z", "q", "in", "on", "first!"]
 
 
+def test_inline_furniture_and_text_that_is_not_dropped():
+    html = """<article><p>One <span class="ad">Buy <span>now</span>!</span> two <math><mi>x</mi>=<mn>2</mn></math> <object>three</object><img class="ad"> four
+      <p>five <a class="share" href="x">Share<p>six</a> seven</article><div>eight</div><button>b</button><select><option>o</select>"""
+    got = blocks(html)
+    assert [t for t, k in got if k == ARTICLE] == ["One two x=2 three four", "five", "seven"]
+    assert [t for t, k in got if k == FURNITURE] == ["Buy now!", "Share", "six"] and [t for t, k in got if k == PLAIN] == ["eight"]
+    assert blocks("<article><p>a<span class='ad'>b</p><p>c</p></article>d") == [("a", ARTICLE), ("b", FURNITURE), ("c", ARTICLE), ("d", PLAIN)]
+
+
+def test_markup_that_never_ends_is_read_in_linear_time():
+    import time
+    pieces = ["a <b ", "<p class=\"x ", "<a href='", "<!-- x ", "<textarea>", "<span class='ad'>x", "<div class=ad>y", "<", "</", "<!x ", "<a b='>", "&amp "]
+    for piece in pieces:
+        for end in ("", ">", "\">", "'>"):
+            begin = time.process_time()
+            blocks(piece * (1_000_000 // len(piece)) + end)
+            assert time.process_time() - begin < 4, piece
+    assert blocks("x <b y") == [("x <b y", PLAIN)] and blocks("<p class=\"x>one</p>") == [("one", PLAIN)]
+    assert blocks("1 < 2 <3 <b>4</b>") == [("1 < 2 <3 4", PLAIN)]
+
+
+def lcs_marks(a, b):
+    """How many items of ``a`` and ``b`` a longest common subsequence has, by table."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_differencing_decides_and_markup_settles_conflicts(spark):
+    """Against lines compared by table, on pages with distinct lines (so that the subsequence is unique)."""
+    rnd = random.Random(6)
+    site = [f"site line {i}" for i in range(12)]
+    rows, lines = [], {}
+    for p in range(40):
+        own = [f"own {p} {i}" for i in range(rnd.randrange(1, 6))]
+        have = sorted(rnd.sample(range(12), rnd.randrange(3, 9)))
+        parts = [("div", site[i]) for i in have] + [(rnd.choice(["p", "article", "nav"]), t) for t in own] + [("article", "An article's own repeated line")]
+        rnd.shuffle(parts)
+        rows.append((p, f"http://h.org/{p:03d}", "".join(f"<{t}>{x}</{t}>" for t, x in parts)))
+        lines[p] = parts
+    got = {r.page_id: r for r in difference(page_frame(spark, rows)).collect()}
+    changed = 0
+    for p, parts in lines.items():
+        texts = [x for _, x in parts]
+        near = [[x for _, x in lines[q]] for q in (p - 1, p + 1) if q in lines]
+        text = got[p].text.split("\n")
+        kept = [x for t, x in parts if x in text]
+        assert kept == text                                                             # in order
+        assert {x for t, x in parts if t == "article"} <= set(text) and not {x for t, x in parts if t == "nav"} & set(text)
+        assert {x for t, x in parts if t == "p"} <= set(text)
+        plain = [x for t, x in parts if t == "div"]
+        gone = [x for x in plain if x not in text]
+        assert all(any(x in n for n in near) for x in gone)                             # only what a neighbour has
+        assert got[p].n_shared >= max(lcs_marks(texts, n) for n in near) and got[p].n_lines == len(parts)
+        assert got[p].n_restored == 1 or all(lcs_marks(texts, n) < len(texts) for n in near)
+        changed += bool(gone)
+    assert changed > 30                                                                 # pages that would read otherwise without it
+
+
 def test_positions_follow_the_order(spark):
     rows = [(i * 37 % 101, "k") for i in range(101)]
     got = with_position(spark.createDataFrame(rows, "a long, b string").repartition(7), "a", name="t").collect()

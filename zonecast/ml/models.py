@@ -86,13 +86,12 @@ class ModelSpec:
             return LinearRegression(solver="normal", regParam=reg, elasticNetParam=0.0,
                                     fitIntercept=True, standardization=self.scaler, **common)
         if self.name == "random_forest":
-            # node ids are cached between level passes instead of re-walking
-            # each tree from the root; their lineage is cut every 10 passes
-            # into the shared checkpoint folder
+            # each pass walks the trees from the root: at this depth that is
+            # faster than keeping every row's node in every tree, and needs
+            # neither memory nor checkpoints for them
             return RandomForestRegressor(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH,
                                          seed=self.random_state, featureSubsetStrategy="all",
-                                         maxBins=FOREST_MAX_BINS, cacheNodeIds=True,
-                                         checkpointInterval=10, **common)
+                                         maxBins=FOREST_MAX_BINS, cacheNodeIds=False, **common)
         raise ValueError(f"Unknown model {self.name!r}; supported: {SUPPORTED_MODELS}")
 
     def fit(self, df: DataFrame) -> PipelineModel:
@@ -114,11 +113,14 @@ class ModelSpec:
         return pipe.fit(rows)
 
 
-# A multi-pass fit lays its rows out in partitions of about this many.  The
-# number of partitions follows from the row count alone and a row's place from
-# its values, so the same rows and seed give the same model on any cluster
-# (tree bagging draws by partition and place).
-ROWS_PER_FIT_PARTITION = 20_000
+# A multi-pass fit lays its rows out in partitions of about this many: a task a
+# pass and partition, so they should be worth a task, and there should be enough
+# of them for a cluster.  Their number follows from the row count alone and a
+# row's place from its values, so the same rows and seed give the same model on
+# any cluster (tree bagging draws by partition and place).  Beyond
+# MAX_FIT_PARTITIONS * ROWS_PER_FIT_PARTITION = 5 * 10^8 rows partitions grow instead
+# of their number, which a driver has to track in every pass.
+ROWS_PER_FIT_PARTITION = 50_000
 MAX_FIT_PARTITIONS = 10_000
 
 
@@ -128,7 +130,7 @@ class _prepared:
     One aggregate gives the row count (the empty-set check) and the label's
     population std (the ridge penalty scale).  With ``cache`` (multi-pass
     solvers) the rows are dealt by the hash of all their values, sorted within
-    partitions and cached.
+    partitions, and their features and label cached.
     """
 
     def __init__(self, df: DataFrame, features, target, *, cache: bool = True):
@@ -149,7 +151,8 @@ class _prepared:
             return rows, n, stats["s"]
         parts = max(1, min(MAX_FIT_PARTITIONS, -(-n // ROWS_PER_FIT_PARTITION)))
         plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
-        rows = rows.repartition(parts, *plain).sortWithinPartitions(*plain)
+        # dealt and ordered by all values (equal feature vectors are many), kept with those that the fit reads
+        rows = rows.repartition(parts, *plain).sortWithinPartitions(*plain).select(*dict.fromkeys([*self.features, self.target]))
         self.cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         return self.cached, n, stats["s"]
 

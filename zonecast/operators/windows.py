@@ -65,16 +65,10 @@ def _limb_sums(target: str, running) -> list:
     return [F.sum(v).over(running).alias(f"_{name}") for name, v in zip(_SUMS, values, strict=True)]
 
 
-def _difference_columns(windows, key, time) -> list:
-    """The limb sums of the previous ``w`` records: differences of running sums, one struct a window."""
+def _earlier_sums(windows, key, time) -> list:
+    """The running sums one record and ``w + 1`` records ago, each window expression once."""
     w = _spec(key, time)
-    zero = F.lit(0).cast("bigint")
-
-    def back(n):
-        return F.lag(F.struct(*[F.col(f"_{name}").alias(name) for name in _SUMS]), n).over(w)
-    # a running sum is null until the first value of the zone
-    return [F.struct(*[(F.coalesce(back(1)[name], zero) - F.coalesce(back(n + 1)[name], zero)).alias(name) for name in _SUMS]).alias(f"_w{n}")
-            for n in windows]
+    return [F.lag(f"_{name}", n).over(w).alias(f"_{name}_{n}") for n in sorted({1, *(n + 1 for n in windows)}) for name in _SUMS]
 
 
 def _rolling_from_limbs(n: int) -> list:
@@ -83,9 +77,14 @@ def _rolling_from_limbs(n: int) -> list:
     The variance is ``(c * sum(x^2) - sum(x)^2) / c^2``.  Where all values are
     in 0 .. 2^21 - 1 (only the lowest limb is used) and the window is narrow,
     both terms fit a BIGINT; else the limbs are put together in DECIMAL(38,0).
+    The decimals stand inside a one-element transform, which keeps them out of
+    the generated code of the usual case: with them it is too long to be
+    compiled, and several times slower.
     """
     def s(name):
-        return F.col(f"_w{n}.{name}")
+        # a running sum is null until the first value of the zone
+        zero = F.lit(0).cast("bigint")
+        return F.coalesce(F.col(f"_{name}_1"), zero) - F.coalesce(F.col(f"_{name}_{n + 1}"), zero)
     c = s("n")
     small = (s("x1") == 0) & (s("x2x2") == 0) & F.lit(n <= _NARROW)        # neither can be a sum of opposite signs
 
@@ -98,8 +97,11 @@ def _rolling_from_limbs(n: int) -> list:
     total = put([("x0", 0), ("x1", _LIMB), ("x2", 2 * _LIMB)])
     squares = put([(f"x{i}x{j}", _LIMB * (i + j) + (i != j)) for i, j in _PAIRS])
     wide = ((c.cast("decimal(10,0)") * squares).cast(_EXACT) - (total * total).cast(_EXACT)).cast("double")
-    mean = F.when(c > 0, F.when(small, s("x0").cast("double")).otherwise(total.cast("double")) / c)
-    spread = F.when(small, (c * s("x0x0") - s("x0") * s("x0")).cast("double")).otherwise(wide)
+
+    def apart(value):
+        return F.get(F.transform(F.array(F.lit(0)), lambda _: value), F.lit(0))
+    mean = F.when(c > 0, F.when(small, s("x0").cast("double")).otherwise(apart(total.cast("double"))) / c)
+    spread = F.when(small, (c * s("x0x0") - s("x0") * s("x0")).cast("double")).otherwise(apart(wide))
     std = F.when(c > 0, F.sqrt(spread) / c).otherwise(F.lit(0.0))
     return [mean.alias(f"roll_mean_{n}h"), std.alias(f"roll_std_{n}h")]
 
@@ -124,7 +126,7 @@ def add_window_features(df: DataFrame, lags=(), windows=(), *, key="zone_id", ti
     running = _spec(key, time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = [F.col(c) for c in df.columns]
     base = df.select(*own, *_limb_sums(target, running))
-    base = base.select(*own, *lag_cols, *_difference_columns(windows, key, time))
+    base = base.select(*own, *lag_cols, *_earlier_sums(windows, key, time))
     lag_names = [F.col(f"lag_{k}h") for k in lags]
     return base.select(*own, *lag_names, *[c for n in windows for c in _rolling_from_limbs(n)])
 

@@ -7,9 +7,9 @@ the entry point proposes neighbours, and robust pruning keeps the nearest and
 drops what is closer (by the factor ``ALPHA``) to a kept one than to the point,
 so that edges stay diverse.  Inner product becomes Euclidean distance by one
 extra coordinate that gives all vectors of a shard the same norm; shards and
-queries are scaled by powers of two, so no finite vector overflows.  Blocks of
-queries are searched in every shard by the same beam search, candidates are
-scored exactly in double precision, and the best of all shards are kept.
+queries are scaled by powers of two, so no finite vector overflows.  Queries
+are sent to every shard and searched there by the same beam search, candidates
+are scored exactly in double precision, and the best of all shards are kept.
 
 Equal vectors are one node that lists its smallest ids, so a vector that
 stands in a third of the rows neither floods a graph nor a result.
@@ -36,7 +36,6 @@ SEARCH_BEAM = 160
 ALPHA = 1.2
 BATCH = 512
 STEP = 4                    # nodes that a beam expands at once
-QUERY_BLOCK = 4096
 CLASS_BITS = 4              # norms of one graph are within this many powers of two
 
 
@@ -214,6 +213,39 @@ def _matrix(binary_column, dim: int) -> np.ndarray:
     return np.stack([np.frombuffer(b.as_buffer(), np.float64, dim) for b in binary_column])
 
 
+class Index:
+    """A shard's graph, unpacked, and its search."""
+
+    def __init__(self, packed: bytes):
+        with np.load(io.BytesIO(packed)) as z:
+            self.v, self.graph, self.entry = z["v"], z["graph"].astype(np.int64), int(z["entry"])
+            self.ids, self.ends = z["ids"], z["ends"]
+        x = lift(self.v)
+        self.norms = np.zeros(len(x) + 1, np.float32)         # equal for all rows, so the products alone rank
+        self.x = np.r_[x, np.zeros((1, x.shape[1]), np.float32)]
+
+    def search(self, own: np.ndarray, vectors, k: int):
+        """Record batches ``query_id, vec_id, score`` of the nearest found for a batch of queries."""
+        v, ids, ends = self.v, self.ids, self.ends
+        q = _matrix(vectors, v.shape[1])
+        for lo in range(0, len(q), BATCH):
+            part = q[lo:lo + BATCH]
+            part = np.ldexp(part, -np.frexp(np.abs(part).max(1, keepdims=True))[1])
+            part = np.c_[part, np.zeros(len(part))].astype(np.float32)
+            found, _ = beam_search(self.x, self.norms, self.graph, self.entry, part, min(max(SEARCH_BEAM, 2 * k), len(v)))
+            out = []
+            for i, row in enumerate(found):
+                row = row[row >= 0]
+                score = inner_products(v[row], q[lo + i])
+                best = np.lexsort((ids[ends[row]], -score))[:k + 1]
+                hits = [(-score[b], j) for b in best for j in ids[ends[row[b]]:ends[row[b] + 1]] if j != own[lo + i]]
+                out += [(own[lo + i], j, -s) for s, j in sorted(hits)[:k]]
+            if out:
+                a, b, c = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
+                                                 names=["query_id", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", query_every: int = 20, k: int = 20,
             shard: int = SHARD) -> DataFrame:
     """The ``k`` nearest of every query: query_id, rank (from 1), vec_id, score (inner product, double).
@@ -255,48 +287,36 @@ def nearest(vectors: DataFrame, *, vec_id: str = "vec_id", embedding: str = "emb
               .mapInArrow(build, "dim int, class int, shard long, index binary"))
     graphs = materialize(graphs, "ann-graphs")
 
-    # every block of queries meets every shard
+    # Every query goes to every shard.  A shard's index is read by one task, or by as many as there are
+    # cores to spare where shards are few, so it is copied a bounded number of times whatever the queries.
     asked = base.where(F.col("id") % query_every == 0).select("id", "dim", "v").dropDuplicates(["id", "v"])
-    blocks = materialize(asked.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks")), "ann-blocks")
-    asked = asked.join(bounded(blocks), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    asked = asked.join(shards, "dim")
-    task = F.xxhash64("dim", "class", "shard", "block").alias("task")
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    asked_of = asked.groupBy("dim").agg(F.count("*").alias("asked"))
+    parts = shards.groupBy("dim").agg(F.sum("shards").alias("all")).join(asked_of, "dim").select(
+        "dim", F.least(F.ceil(F.lit(cores) / F.col("all")), F.ceil(F.col("asked") / BATCH)).alias("parts"))
+    places = bounded(materialize(shards.join(parts, "dim"), "ann-places"))
+    task = F.xxhash64("dim", "class", "shard", "part").alias("task")
     none = F.lit(None)
-    questions = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).select(
-        task, F.lit(1).alias("part"), "id", "dim", "v", none.cast("binary").alias("index"))
-    indexes = graphs.join(bounded(blocks), "dim").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        task, F.lit(0).alias("part"), none.cast("long").alias("id"), "dim", none.cast("binary").alias("v"), "index")
+    asked = asked.join(places, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+    questions = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))).select(
+        task, F.lit(1).alias("kind"), "id", "dim", "v", none.cast("binary").alias("index"))
+    indexes = graphs.join(places, ["dim", "class"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
+        task, F.lit(0).alias("kind"), none.cast("long").alias("id"), "dim", none.cast("binary").alias("v"), "index")
 
     def search(batches):
-        for t in by_group(batches, "task"):
-            index = t.column("index")[0].as_py()
-            if index is None or t.num_rows < 2:
-                continue
-            with np.load(io.BytesIO(index)) as z:
-                v, graph, entry, ids, ends = z["v"], z["graph"].astype(np.int64), int(z["entry"]), z["ids"], z["ends"]
-            t = t.slice(1)
-            own = t.column("id").to_numpy()
-            q = _matrix(t.column("v"), v.shape[1])
-            x = lift(v)
-            norms = np.zeros(len(x) + 1, np.float32)         # equal for all rows, so the products alone rank
-            x_pad = np.r_[x, np.zeros((1, x.shape[1]), np.float32)]
-            out = []
-            for lo in range(0, len(q), BATCH):
-                part = q[lo:lo + BATCH]
-                part = np.ldexp(part, -np.frexp(np.abs(part).max(1, keepdims=True))[1])
-                part = np.c_[part, np.zeros(len(part))].astype(np.float32)
-                found, _ = beam_search(x_pad, norms, graph, entry, part, min(max(SEARCH_BEAM, 2 * k), len(v)))
-                for i, row in enumerate(found):
-                    row = row[row >= 0]
-                    score = inner_products(v[row], q[lo + i])
-                    best = np.lexsort((ids[ends[row]], -score))[:k + 1]
-                    hits = [(-score[b], j) for b in best for j in ids[ends[row[b]]:ends[row[b] + 1]] if j != own[lo + i]]
-                    out += [(own[lo + i], j, -s) for s, j in sorted(hits)[:k]]
-            if out:
-                a, b, c = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
-                                                 names=["query_id", "vec_id", "score"])
-    tasks = questions.union(indexes).repartition("task").sortWithinPartitions("task", "part")
+        index = task = None
+        for batch in batches:
+            tasks, kinds = column(batch, "task").to_numpy(), column(batch, "kind").to_numpy()
+            cuts = np.flatnonzero((tasks[1:] != tasks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(tasks)], strict=True):
+                if lo == hi:
+                    continue
+                if kinds[lo] == 0:              # a task's index comes first, its queries after it, in any number of batches
+                    index, task = Index(column(batch, "index")[int(lo)].as_py()), tasks[lo]
+                elif task == tasks[lo]:
+                    own = column(batch, "id").to_numpy(zero_copy_only=False)[lo:hi].astype(np.int64)
+                    yield from index.search(own, column(batch, "v").slice(lo, hi - lo), k)
+    tasks = questions.union(indexes).repartition("task").sortWithinPartitions("task", "kind")
     found = tasks.mapInArrow(search, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

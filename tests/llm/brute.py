@@ -185,3 +185,81 @@ def hard_negatives(rows, every=100, n_pos=5, n_neg=10, low=30, high=90):
             inside = [s for s in scored if s[2] != label and low * -p <= 100 * -s[0] <= high * -p][:n_neg]
             out += [(a, i, r, j, -p, -s) for r, (s, j, _) in enumerate(inside, 1)]
     return out
+
+
+M64 = (1 << 64) - 1
+
+
+def mixed(x):
+    """A 64-bit finaliser, in whole numbers."""
+    for _ in range(2):
+        x ^= x >> 32
+        x = x * 0xD6E8FEB86659FD93 & M64
+    return x ^ x >> 32
+
+
+BYTES = [mixed((b + 1) * 0x9E3779B97F4A7C15 & M64) for b in range(256)]
+
+
+def bytes_hash(data):
+    base, power, total = 0xB5297A4D3F84D5B5 | 1, 1, 0
+    for b in data:
+        total += BYTES[b] * power
+        power = power * base & M64
+    return mixed(total & M64)
+
+
+def toxicity_features(text, bits, prefixes):
+    """The features of a text: hashed words, and their hashed beginnings, as a set."""
+    out = set()
+    for w in re.findall(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", fold(text).encode()):
+        out.add(bytes_hash(w) >> (64 - bits))
+        for k in prefixes:
+            out.add(mixed((bytes_hash(w[:k]) + (k + 1) * 0x9E3779B97F4A7C15) & M64) >> (64 - bits))
+    return out
+
+
+def language_grams(text, orders=(1, 2, 3), bits=16):
+    """Counts of the hashed n-grams of letters, with one space behind every run of them that is followed by something else."""
+    letters = []
+    for c in text or "":
+        if c.isalpha():
+            letters.append(c.lower() if len(c.lower()) == 1 else c)
+        elif letters and letters[-1] != " ":
+            letters.append(" ")
+    out = {}
+    for k in orders:
+        for i in range(len(letters) - k + 1):
+            h = k
+            for c in letters[i:i + k]:
+                h = (h + ord(c)) * 0x9E3779B97F4A7C15 & M64
+                h ^= h >> 31
+            b = mixed(h) >> (64 - bits)
+            out[b] = out.get(b, 0) + 1
+    return out, sum(c != " " for c in letters)
+
+
+def languages(train, texts, smoothing=0.5, buckets=1 << 16):
+    """(language, probability) of every text by multinomial naive Bayes, from (text, language) rows."""
+    import math
+    counts, rows = {}, {}
+    for text, lang in train:
+        if lang is not None:
+            rows[lang] = rows.get(lang, 0) + 1
+            mine = counts.setdefault(lang, {})
+            for b, n in language_grams(text)[0].items():
+                mine[b] = mine.get(b, 0) + n
+    out = []
+    for text in texts:
+        found, letters = language_grams(text)
+        if not letters or not rows:
+            out.append(("und", 0.0))
+            continue
+        logs = {}
+        for lang in sorted(rows):
+            total = sum(counts[lang].values()) + smoothing * buckets
+            logs[lang] = math.log(rows[lang] / sum(rows.values())) + sum(
+                n * math.log((counts[lang].get(b, 0) + smoothing) / total) for b, n in found.items())
+        best = max(sorted(logs), key=lambda x: logs[x])
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out

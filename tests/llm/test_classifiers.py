@@ -4,6 +4,7 @@ import collections
 import os
 import random
 
+import brute
 import numpy as np
 import pytest
 from corpus import docs_frame, empty_docs, messy_rows
@@ -96,6 +97,45 @@ def test_language_model_edge_cases(spark):
     assert langid.predict(probes.where("false"), model).count() == 0
 
 
+def test_scores_equal_a_plain_sum_of_weights(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.fit(docs, labels)
+    rows = docs.select("doc_id", "text").where("length(text) < 5000 or text is null").collect()
+    got = toxicity.score(docs.where("length(text) < 5000 or text is null"), model, to="s").collect()
+    want = []
+    for r in rows:
+        z = sum(float(model.weights[f]) for f in brute.toxicity_features(r.text, toxicity.FEATURE_BITS, toxicity.PREFIXES)) + model.bias
+        want.append((r.doc_id, r.text, 1 / (1 + np.exp(-z))))
+    got = [(r.doc_id, r.text, r.s) for r in got]
+    key = lambda r: (str(r[0]), r[1] or "")
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
+
+
+def test_repeated_ids_and_long_texts_do_not_widen_the_sample(spark):
+    docs, labels = labelled(spark)
+    once = toxicity.fit(docs, labels)
+    many = docs.union(docs).union(docs.where("doc_id < 100"))
+    again = toxicity.fit(many, labels)
+    assert np.array_equal(once.weights, again.weights) and once.bias == again.bias
+    longest = docs.union(docs_frame(spark, [(9999, "vile " * 100000)]))
+    bounded = toxicity.fit(longest, labels, sample_bytes=200_000)
+    assert abs(bounded.bias - once.bias) < 1.0 and np.count_nonzero(bounded.weights) > 0
+
+
+def test_languages_equal_plain_naive_bayes(spark):
+    rnd = random.Random(3)
+    words = {"en": ["the", "and", "Being", "of"], "fr": ["le", "était", "çà", "et"], "de": ["Straße", "und", "İst", "ö"]}
+    train = [(" ".join(rnd.choice(words[k]) for _ in range(rnd.randrange(1, 12))) + rnd.choice(["", ".", " 1 2", "!a"]), k) for k in words for _ in range(12)]
+    train += [("the und le", None), (None, "fr"), ("", "en")]
+    probes = [" ".join(rnd.choice(words[rnd.choice(list(words))]) for _ in range(rnd.randrange(1, 6))) for _ in range(60)] + [None, "", "12 ?", "ж", " the", "the "]
+    model = langid.fit(spark.createDataFrame(train, "text string, lang string"))
+    frame = spark.createDataFrame(list(enumerate(probes)), "i int, text string")
+    got = [(r.lang_pred, r.score) for r in langid.predict(frame, model).orderBy("i").collect()]
+    for (a, p), (b, q) in zip(got, brute.languages(train, probes), strict=True):
+        assert abs(p - q) < 1e-3 and (a == b or abs(q - 0.5) < 1e-3)
+
+
 # ------------------------------------------------------ nearest neighbours ---
 
 def brute_nearest(rows, k, every):

@@ -16,17 +16,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.llm.groups import column, lists
+from zonecast.llm.shared import materialize
 from zonecast.llm.textbytes import ALNUM, FOLDED_VALUES, prefix_hash, slices, span_hash, stream, words
 
 FEATURE_BITS = 18
 PREFIXES = (4, 5, 6)
 # The sample: so many labelled documents of either class at most, smallest id hash first.
 SAMPLE_PER_CLASS = 5000
+SAMPLE_BYTES = 256 << 20
 MIN_ROWS = 3
 ITERATIONS = 80
 L2 = 1.0
@@ -141,12 +143,16 @@ def fit_rows(ends: np.ndarray, index: np.ndarray, y: np.ndarray, pairs) -> Toxic
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        sample_per_class: int = SAMPLE_PER_CLASS, terms=IDENTITY_TERMS) -> ToxicityModel:
+        sample_per_class: int = SAMPLE_PER_CLASS, sample_bytes: int = SAMPLE_BYTES, terms=IDENTITY_TERMS) -> ToxicityModel:
     """Fit to the labelled documents: ``labels`` has ``doc_id`` and a 0/1 ``label``.
 
     At most ``sample_per_class`` rows of either class are used, picked by a
-    hash of the id, and only their features reach the driver.  Null ids and labels are left out.  With one
-    class only, every score is that class's smoothed share.
+    hash of the id, and only their features reach the driver: at most
+    ``sample_bytes`` of text, longer texts first to go (one of equal texts of
+    an id counts, and of an id with several texts the one of least hash, so an
+    id that stands in many rows is one row of the sample).  Null ids and
+    labels are left out.  With one class only, every score is that class's
+    smoothed share.
     """
     known = labels.select(F.col(doc_id).alias("doc"), F.col(label).cast("int").alias("y")).where("doc is not null and y in (0, 1)")
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -156,7 +162,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     by_hash = [F.xxhash64("doc"), F.col("doc")]
     sample = known.where("y = 0").orderBy(*by_hash).limit(sample_per_class).union(
         known.where("y = 1").orderBy(*by_hash).limit(sample_per_class))
-    rows = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "doc")
+    texts = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "doc")
+    # one row a label, and a bound on what the driver gets; the table is as large as the sample at most
+    texts = texts.groupBy("doc", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
+    rows = materialize(texts.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")), "toxicity-sample")
+    if (rows.agg(F.sum("size")).first()[0] or 0) > sample_bytes:
+        room = Window.orderBy("size", F.xxhash64("doc"), "doc", "y")
+        sizes = rows.select("doc", "y", "size").withColumn("upto", F.sum("size").over(room))          # at most two classes of the sample
+        rows = rows.join(sizes.where(F.col("upto") <= sample_bytes).select("doc", "y"), ["doc", "y"])
+    rows = rows.select("doc", "y", "text")
 
     def extract(batches):
         for batch in batches:

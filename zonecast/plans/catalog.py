@@ -537,8 +537,8 @@ _FVA_ZONE = 1
 
 
 @register("forecast_vs_actual", FEATS_SQL + _OLS_SQL + f"""
-  SELECT t.hour, t.demand, round(c.b0 + c.b1 * t.lag_1h + c.b2 * t.lag_24h, 6) AS prediction
-  FROM test t, coef c WHERE t.zone_id = {_FVA_ZONE}""")
+  SELECT hour, demand, round((SELECT b0 FROM coef) + (SELECT b1 FROM coef) * lag_1h + (SELECT b2 FROM coef) * lag_24h, 6) AS prediction
+  FROM test WHERE zone_id = {_FVA_ZONE}""")
 def q_forecast_vs_actual(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     m = DemandForecaster().fit(train)

@@ -151,7 +151,7 @@ def with_positions(df: DataFrame, order_cols, *, pos_col: str = "pos",
     Range-partition and sort within partitions, materialise (so the range
     sample cannot change between the two passes), then position = offset of
     the partition (prefix sum over the per-partition counts, one row per
-    partition, broadcast) + index within the partition.
+    partition) + index within the partition.
     """
     cols = list(order_cols)
     require_columns(df, cols, "DataFrame")
@@ -162,7 +162,7 @@ def with_positions(df: DataFrame, order_cols, *, pos_col: str = "pos",
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", (F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    offsets = F.broadcast(offsets.fillna(0, ["_off"]))
+    offsets = offsets.fillna(0, ["_off"])
     # monotonically_increasing_id = (partition index << 33) + index in partition
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (ranged.join(offsets, "_pid")

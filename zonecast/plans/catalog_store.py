@@ -15,6 +15,7 @@ from zonecast.ml.models import make_pipeline
 from zonecast.operators import links as L
 from zonecast.operators.cleaning import clean_trips
 from zonecast.operators.demand import aggregate, materialized
+from zonecast.operators.splits import with_positions
 from zonecast.operators.zones import ZoneResolver
 from zonecast.plans import catalog as C
 from zonecast.plans import sql_oracle as S
@@ -193,6 +194,12 @@ def q_bucketed_demand(spark, sf_dir):
         F.count(F.lit(1)).alias("n_hours"), F.sum("demand").cast("bigint").alias("demand"))
 
 
+@register("row_positions", S.base_ctes() + " SELECT zone_id, hour, demand, row_number() OVER (ORDER BY hour, zone_id) - 1 AS pos FROM hourly")
+def q_row_positions(spark, sf_dir):
+    """The place of every panel row in the order of time, without a sort in one task."""
+    return with_positions(C.hourly(spark, sf_dir), ("hour", "zone_id"))
+
+
 # ----------------------------------------------------------- guards, footers ---
 
 _GUARDED = ("pickup_datetime", "PULocationID", "DOLocationID", "tip")

@@ -57,11 +57,11 @@ def test_unparseable_hour_fails(spark):
 
 
 def test_calendar_sizes(spark):
-    fed = holiday_table(spark, "federal")
+    fed = holiday_table(spark, "federal", 2019, 2026)
     per_year = {r[0]: r[1] for r in fed.groupBy(F.year("holiday_date")).count().collect()}
     assert fed.count() == 86
     assert per_year == {2019: 10, 2020: 10, 2021: 12, 2022: 10, 2023: 11, 2024: 11, 2025: 11, 2026: 11}
-    state = holiday_table(spark, "state")
+    state = holiday_table(spark, "state", 2019, 2026)
     assert state.count() == 110
     assert state.join(fed, "holiday_date", "left_anti").count() == 24
     dates = {str(r[0]) for r in fed.collect()}
@@ -74,3 +74,11 @@ def test_rule_calendars_have_unique_dates(spark):
     for cal in ("federal", "state"):
         t = holiday_table(spark, cal, 1990, 2060)
         assert t.count() == t.select("holiday_date").distinct().count()
+
+
+def test_built_in_calendars_name_their_years(spark):
+    from zonecast.functions.holidays import holiday_dates
+    with pytest.raises(ValueError, match="first_year"):
+        holiday_dates(spark)
+    got = [str(r[0]) for r in holiday_dates(spark, "federal", 2030, 2030).collect()]
+    assert "2030-07-04" in got and len(got) == 11 and holiday_dates(spark, ["2026-01-01", "2026-01-01"]).count() == 1

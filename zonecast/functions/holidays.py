@@ -39,8 +39,6 @@ STATE_EXTRA_RULES = [
     ("Election Day", 11, "after_first_monday", None),
 ]
 JUNETEENTH_FIRST_YEAR = 2021
-DEFAULT_FIRST_YEAR = 2019
-DEFAULT_LAST_YEAR = 2026
 CALENDARS = ("federal", "state")
 
 
@@ -96,9 +94,7 @@ def holidays_from_years(years: DataFrame, calendar: str = "federal", year: str =
                  .where(F.col("holiday_date").isNotNull()))
 
 
-def holiday_table(spark: SparkSession, calendar: str = "federal",
-                  first_year: int = DEFAULT_FIRST_YEAR,
-                  last_year: int = DEFAULT_LAST_YEAR) -> DataFrame:
+def holiday_table(spark: SparkSession, calendar: str, first_year: int, last_year: int) -> DataFrame:
     """Observed holidays of the holiday years ``first_year..last_year``."""
     if first_year > last_year:
         raise ValueError("first_year must not be after last_year")
@@ -136,19 +132,23 @@ def is_holiday(date: Column, calendar: str = "federal") -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def holiday_dates(spark: SparkSession, holidays=None) -> DataFrame:
+def holiday_dates(spark: SparkSession, holidays=None, first_year: int | None = None,
+                  last_year: int | None = None) -> DataFrame:
     """Normalise a holiday argument to a one-column distinct ``holiday_date`` table.
 
-    ``None`` → federal calendar; ``"federal"`` / ``"state"`` → that calendar;
-    a DataFrame → its first date-like column; an iterable of date-likes → a
-    small literal table (the caller owns its size).
+    ``None`` → federal calendar; ``"federal"`` / ``"state"`` → that calendar,
+    for the years given, which a built-in calendar needs (:func:`is_holiday`
+    holds for any year); a DataFrame → its first date-like column; an iterable
+    of date-likes → a small literal table (the caller owns its size).
     """
     if holidays is None:
         holidays = "federal"
     if isinstance(holidays, str):
         # rule-generated dates are unique by construction (no two rules can
         # land on the same day; tested over a wide year range): no distinct
-        return holiday_table(spark, holidays).select("holiday_date")
+        if first_year is None or last_year is None:
+            raise ValueError("a built-in calendar needs first_year and last_year")
+        return holiday_table(spark, holidays, first_year, last_year).select("holiday_date")
     if isinstance(holidays, DataFrame):
         col = "holiday_date" if "holiday_date" in holidays.columns else holidays.columns[0]
         df = holidays.select(F.to_date(F.col(col)).alias("holiday_date"))

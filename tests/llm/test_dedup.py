@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pytest
 from corpus import docs_frame, empty_docs, messy_rows, word_texts
+from pyspark.sql import functions as F
 
 from zonecast.llm import near_dup, suffix_dedup
 from zonecast.llm.components import components, spanning_stars
@@ -73,6 +74,24 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, seed, block, k, t
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_a_chain_of_unrelated_candidates_is_searched_by_bucket(spark, monkeypatch):
+    """Every text is a candidate of the next one, so that all make one cluster; few are linked."""
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
+    monkeypatch.setattr(near_dup, "PIVOTS", 2)
+    asked, plain = [], near_dup._ask
+
+    def watch(search, threshold):
+        per = search.groupBy("group").agg(F.count_if("query").alias("q"), F.count("*").alias("n"))
+        asked.append(per.agg(F.count("*"), F.sum(F.col("q") * F.col("n"))).first())
+        return plain(search, threshold)
+    monkeypatch.setattr(near_dup, "_ask", watch)
+    rows = [(i, " ".join(f"c{j}" for j in range(6 * i, 6 * i + 60))) for i in range(150)]
+    rows += [(200 + i, rows[i][1] + " tail") for i in range(0, 150, 5)]
+    got = near_duplicates(docs_frame(spark, rows), shingle_words=3, threshold=85).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(brute.near_duplicates(rows, 3, 85))
+    assert len(asked) == 1 and asked[0][0] > 20 and asked[0][1] < len(rows) ** 2 / 2
+
+
 def test_drop_near_duplicates_keeps_one_row_of_each_component(spark):
     rows = near_corpus(4)
     left = [(r.doc_id, r.text) for r in drop_near_duplicates(docs_frame(spark, rows)).collect()]

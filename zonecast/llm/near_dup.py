@@ -186,13 +186,15 @@ def _verify(tasks: DataFrame, threshold: int, labelled: bool) -> DataFrame:
     return tasks.select(*cols).repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def _large_clusters(large: DataFrame, threshold: int) -> DataFrame:
+def _large_clusters(large: DataFrame, banded: DataFrame, threshold: int) -> DataFrame:
     """``(node, label)`` of the documents of clusters of several blocks.
 
     Each block is searched on its own together with some pivots of the whole
     cluster, so that its blocks join up without meeting each other.  Documents
-    that are then outside the cluster's main component are compared with
-    every block.
+    that are then outside the cluster's main component still have to meet the
+    others: those of their buckets (``banded``), or the whole cluster where
+    that takes fewer comparisons.  A cluster that chance collisions hold
+    together has many small buckets, copies of one text share nearly all.
     """
     task = F.xxhash64("cluster", "block").alias("task")
     own = large.select(task, "cid", F.lit(True).alias("query"), "regs", "shingles")
@@ -208,16 +210,37 @@ def _large_clusters(large: DataFrame, threshold: int) -> DataFrame:
     per = split.groupBy("cluster", "label").agg(F.count("*").alias("n"))
     main = per.groupBy("cluster").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("parts"))
     split = materialize(split.join(main.where("parts > 1"), "cluster").withColumn("query", F.col("label") != F.col("main")), "sketch-split")
-    asking = split.where("query")
-    if asking.isEmpty():
+    if split.where("query").isEmpty():
         return known
-    groups = asking.select("cluster", F.col("block").alias("from")).distinct()
+
+    # Comparisons bucket by bucket, where a bucket of one label has none, against those of the whole cluster.
+    asks = F.count_if("query")
+    placed = banded.join(split.select("cid", "cluster", "label", "query"), "cid")
+    buckets = materialize(
+        placed.groupBy("cluster", "key").agg(F.count("*").alias("size"), asks.alias("asks"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+        .where("asks > 0 and l0 < l1").select("cluster", "key", "size", "asks"), "sketch-asked")
+    whole = split.groupBy("cluster").agg((asks.cast("double") * F.count("*")).alias("whole"))
+    apart = buckets.groupBy("cluster").agg(F.sum(F.col("asks").cast("double") * F.col("size")).alias("apart"))
+    choice = materialize(whole.join(apart, "cluster").select("cluster", (F.col("apart") < F.col("whole")).alias("by_bucket")), "sketch-choice")
+
+    cols = ["group", "blocks", "block", "cid", "query", "regs", "shingles", "label"]
+    by_cluster = split.join(choice.where("not by_bucket").select("cluster"), "cluster").withColumn("group", F.col("cluster"))
+    kept = buckets.join(choice.where("by_bucket").select("cluster"), "cluster").select(
+        "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    members = banded.join(kept, "key").withColumnRenamed("key", "group").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    by_bucket = members.join(split.drop("blocks", "block"), "cid")
+    search = by_cluster.select(*cols).union(by_bucket.select(*cols))
+    return components(found.union(_ask(search, threshold)))
+
+
+def _ask(search: DataFrame, threshold: int) -> DataFrame:
+    """Links of the documents marked in ``query`` with those of all blocks of their group."""
+    groups = search.where("query").select("group", F.col("block").alias("from")).distinct()
     cols = ["task", "cid", "query", "regs", "shingles", "label"]
-    targets = split.join(groups, "cluster").select(
-        F.xxhash64("cluster", "block", "from").alias("task"), "cid", F.lit(False).alias("query"), "regs", "shingles", "label")
-    queries = asking.withColumn("to", every).withColumn("task", F.xxhash64("cluster", "to", "block")).select(*cols)
-    more = _verify(queries.union(targets), threshold, True)
-    return components(found.union(more))
+    targets = search.join(groups, "group").withColumn("task", F.xxhash64("group", "block", "from")).withColumn("query", F.lit(False))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    queries = search.where("query").withColumn("to", every).withColumn("task", F.xxhash64("group", "to", "block"))
+    return _verify(queries.select(*cols).union(targets.select(*cols)), threshold, True)
 
 
 def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, threshold: int, m: int) -> DataFrame:
@@ -294,7 +317,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
     label = materialize(_verify(alone, threshold, False), "sketch-links").select(F.col("b").alias("node"), F.col("a").alias("label"))
     large = members.where("blocks > 1")
     if not large.isEmpty():
-        label = label.union(_large_clusters(large, threshold))
+        label = label.union(_large_clusters(large, banded, threshold))
     labelled = classes.join(label, classes["cid"] == label["node"], "left").withColumn("label", F.coalesce("label", "cid"))
     smallest = labelled.groupBy("label").agg(F.min("doc0").alias("component_id"))
     by_class = labelled.join(smallest, "label").select(*keys, "label", "component_id")

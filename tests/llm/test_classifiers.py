@@ -123,6 +123,18 @@ def test_repeated_ids_and_long_texts_do_not_widen_the_sample(spark):
     assert abs(bounded.bias - once.bias) < 1.0 and np.count_nonzero(bounded.weights) > 0
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_sums_part_by_part(monkeypatch, chunk):
+    monkeypatch.setattr(toxicity, "CHUNK", chunk)
+    rnd = np.random.default_rng(chunk)
+    for sizes in ([], [0], [0, 0, 3, 0, 9, 1, 0], rnd.integers(0, 6, 200)):
+        ends = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+        index, w, v = rnd.integers(0, 40, ends[-1]).astype(np.int32), rnd.normal(size=40), rnd.normal(size=len(sizes))
+        held = np.zeros((len(sizes), 40))
+        np.add.at(held, (np.repeat(np.arange(len(sizes)), np.diff(ends)), index), 1)
+        assert np.allclose(toxicity._dot(w, ends, index), held @ w) and np.allclose(toxicity._spread(v, ends, index, 40), v @ held)
+
+
 def test_languages_equal_plain_naive_bayes(spark):
     rnd = random.Random(3)
     words = {"en": ["the", "and", "Being", "of"], "fr": ["le", "était", "çà", "et"], "de": ["Straße", "und", "İst", "ö"]}

@@ -33,6 +33,7 @@ MIN_ROWS = 3
 ITERATIONS = 80
 L2 = 1.0
 COUNTERFACTUAL = 1.0
+CHUNK = 1 << 20               # entries of the sample that the fit widens at a time
 
 # Names of groups of people, by kind (fixed values; pass others for other corpora).
 IDENTITY_TERMS = (
@@ -86,9 +87,28 @@ class ToxicityModel:
     bias: float
 
 
-def _dot(w, index, ends):
-    c = np.r_[0.0, np.cumsum(w[index], dtype=np.float64)]
-    return c[ends[1:]] - c[ends[:-1]]
+def _parts(ends: np.ndarray):
+    """Row ranges ``(lo, hi)`` of about ``CHUNK`` entries; the driver widens no more than that at a time."""
+    cuts = np.unique(np.r_[np.searchsorted(ends, np.arange(0, ends[-1], CHUNK)), len(ends) - 1])
+    return zip(cuts[:-1], cuts[1:], strict=True)
+
+
+def _dot(w, ends, index):
+    """The sum of ``w`` over the entries of every row."""
+    out = np.zeros(len(ends) - 1)
+    for lo, hi in _parts(ends):
+        at = ends[lo:hi + 1] - ends[lo]
+        c = np.r_[0.0, np.cumsum(w[index[ends[lo]:ends[hi]]], dtype=np.float64)]
+        out[lo:hi] = c[at[1:]] - c[at[:-1]]
+    return out
+
+
+def _spread(values, ends, index, d):
+    """Per entry number below ``d``: the sum of ``values`` over the rows that hold it."""
+    out = np.zeros(d)
+    for lo, hi in _parts(ends):
+        out += np.bincount(index[ends[lo]:ends[hi]], np.repeat(values[lo:hi], np.diff(ends[lo:hi + 1])), d)
+    return out
 
 
 def fit_rows(ends: np.ndarray, index: np.ndarray, y: np.ndarray, pairs) -> ToxicityModel:
@@ -99,20 +119,18 @@ def fit_rows(ends: np.ndarray, index: np.ndarray, y: np.ndarray, pairs) -> Toxic
     an L2 term.  Features of fewer than ``MIN_ROWS`` rows keep weight 0.
     """
     d = 1 << FEATURE_BITS
-    size = np.diff(ends)
-    common = np.bincount(index, minlength=d) >= MIN_ROWS
-    a_ends, a_index, c_ends, c_index = pairs
-    a_size, c_size = np.diff(a_ends), np.diff(c_ends)
+    common = _spread(np.ones(len(y)), ends, index, d) >= MIN_ROWS
+    own, swapped = pairs[:2], pairs[2:]
 
     def loss(w):
-        z = _dot(w, index, ends) + w[d]
+        z = _dot(w, ends, index) + w[d]
         p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-        gap = _dot(w, a_index, a_ends) - _dot(w, c_index, c_ends)
+        gap = _dot(w, *own) - _dot(w, *swapped)
         value = np.logaddexp(0, z).sum() - y @ z + COUNTERFACTUAL * gap @ gap + 0.5 * L2 * w[:d] @ w[:d]
-        grad = np.bincount(index, np.repeat(p - y, size), d) * common + L2 * w[:d]
+        grad = _spread(p - y, ends, index, d) * common + L2 * w[:d]
         if len(gap):
             g = 2 * COUNTERFACTUAL * gap
-            grad += (np.bincount(a_index, np.repeat(g, a_size), d) - np.bincount(c_index, np.repeat(g, c_size), d)) * common
+            grad += (_spread(g, *own, d) - _spread(g, *swapped, d)) * common
         return value, np.r_[grad, (p - y).sum()]
 
     w = np.zeros(d + 1)
@@ -202,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     def csr(column_):
         array = column_.combine_chunks()
         size = pc.list_value_length(array).to_numpy()
-        return np.r_[0, np.cumsum(size)].astype(np.int64), array.flatten().to_numpy().astype(np.int64)
+        return np.r_[0, np.cumsum(size)].astype(np.int64), array.flatten().to_numpy()
     pairs = []
     for side in ("a", "c"):
         flat = got.column(side).combine_chunks().flatten()

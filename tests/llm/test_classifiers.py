@@ -215,6 +215,9 @@ def test_products_out_of_range_are_infinite_not_nan():
     v = np.array([[1e200, -1e200], [1e200, 1e200], [1e-300, 1e200], [-1e308, -1e308]])
     assert ann.inner_products(v, np.array([1e200, 1e200])).tolist() == [0.0, np.inf, np.inf, -np.inf]
     assert ann.inner_products(v, np.array([1.0, 0.0])).tolist() == [1e200, 1e200, 1e-300, -1e308]
+    # products that cancel leave nothing, whether or not the machine fuses multiplication and addition
+    x = np.array([[1.1e200, -1.1e200, 1.3e190], [1.3e200, 0.0, -1.3e200]])
+    assert ann.inner_products(x, np.array([1.7e200, 1.7e200, 0.0])).tolist() == [0.0, np.inf]
 
 
 def test_graph_edges_are_bounded_and_the_graph_is_searchable():

@@ -18,6 +18,7 @@ stands in a third of the rows neither floods a graph nor a result.
 from __future__ import annotations
 
 import io
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -160,7 +161,8 @@ def inner_products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
         out = v @ q
         for i in np.flatnonzero(~np.isfinite(out)):
             a, b = (np.frexp(np.abs(x).max())[1] for x in (v[i], q))
-            out[i] = np.ldexp(np.ldexp(v[i], -a) @ np.ldexp(q, -b), a + b)
+            # rounded products, exactly summed: a fused multiply-add leaves a rest where products cancel
+            out[i] = np.ldexp(math.fsum(np.ldexp(v[i], -a) * np.ldexp(q, -b)), a + b)
     return out
 
 

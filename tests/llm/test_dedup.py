@@ -92,6 +92,16 @@ def test_a_chain_of_unrelated_candidates_is_searched_by_bucket(spark, monkeypatc
     assert len(asked) == 1 and asked[0][0] > 20 and asked[0][1] < len(rows) ** 2 / 2
 
 
+def test_members_of_a_large_cluster_are_placed_without_a_join(spark):
+    """One row a member and band, with the columns that the bucket counts need."""
+    regs = np.random.default_rng(5).integers(0, 9, (3, 8)).astype(np.uint16)
+    rows = [(i, bytearray(r.tobytes()), i == 1, 70 + i) for i, r in enumerate(regs)]
+    placed = near_dup._bands(spark.createDataFrame(rows, "cid long, regs binary, query boolean, label long"), 3, carry="query boolean, label long")
+    want = [(int(k), i, i == 1, 70 + i) for i, keys in enumerate(near_dup.band_keys(regs, 3).view(np.int64)) for k in keys]
+    assert sorted(tuple(r) for r in placed.collect()) == sorted(want) and len(want) == 6
+    assert "Join" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_drop_near_duplicates_keeps_one_row_of_each_component(spark):
     rows = near_corpus(4)
     left = [(r.doc_id, r.text) for r in drop_near_duplicates(docs_frame(spark, rows)).collect()]

@@ -104,6 +104,22 @@ def band_keys(regs: np.ndarray, per_band: int) -> np.ndarray:
     return out
 
 
+def _bands(docs: DataFrame, per_band: int, *, carry: str = "") -> DataFrame:
+    """``(key, cid)`` for every band of the ``regs`` of each document, with the columns that ``carry`` names."""
+    extra = [c.split()[0] for c in carry.split(", ")] if carry else []
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                regs = np.stack([np.frombuffer(b.as_buffer(), np.uint16) for b in column(batch, "regs")])
+                keys = band_keys(regs, per_band)
+                row = pa.array(np.repeat(np.arange(len(regs)), keys.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.reshape(-1).view(np.int64)), *(column(batch, c).take(row) for c in ["cid", *extra])],
+                    names=["key", "cid", *extra])
+    return docs.select("cid", "regs", *extra).mapInArrow(run, "key long, cid long" + (", " + carry if carry else ""))
+
+
 _GRID = (np.arange(128) + 0.5) / 128
 
 
@@ -186,14 +202,14 @@ def _verify(tasks: DataFrame, threshold: int, labelled: bool) -> DataFrame:
     return tasks.select(*cols).repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def _large_clusters(large: DataFrame, banded: DataFrame, threshold: int) -> DataFrame:
+def _large_clusters(large: DataFrame, per_band: int, threshold: int) -> DataFrame:
     """``(node, label)`` of the documents of clusters of several blocks.
 
     Each block is searched on its own together with some pivots of the whole
     cluster, so that its blocks join up without meeting each other.  Documents
     that are then outside the cluster's main component still have to meet the
-    others: those of their buckets (``banded``), or the whole cluster where
-    that takes fewer comparisons.  A cluster that chance collisions hold
+    others: those of their buckets, whose keys come from the registers again, or
+    the whole cluster where that takes fewer comparisons.  A cluster that chance collisions hold
     together has many small buckets, copies of one text share nearly all.
     """
     task = F.xxhash64("cluster", "block").alias("task")
@@ -215,7 +231,7 @@ def _large_clusters(large: DataFrame, banded: DataFrame, threshold: int) -> Data
 
     # Comparisons bucket by bucket, where a bucket of one label has none, against those of the whole cluster.
     asks = F.count_if("query")
-    placed = banded.join(split.select("cid", "cluster", "label", "query"), "cid")
+    placed = materialize(_bands(split, per_band, carry="cluster long, label long, query boolean"), "sketch-placed")
     buckets = materialize(
         placed.groupBy("cluster", "key").agg(F.count("*").alias("size"), asks.alias("asks"), F.min("label").alias("l0"), F.max("label").alias("l1"))
         .where("asks > 0 and l0 < l1").select("cluster", "key", "size", "asks"), "sketch-asked")
@@ -226,8 +242,9 @@ def _large_clusters(large: DataFrame, banded: DataFrame, threshold: int) -> Data
     cols = ["group", "blocks", "block", "cid", "query", "regs", "shingles", "label"]
     by_cluster = split.join(choice.where("not by_bucket").select("cluster"), "cluster").withColumn("group", F.col("cluster"))
     kept = buckets.join(choice.where("by_bucket").select("cluster"), "cluster").select(
-        "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    members = banded.join(kept, "key").withColumnRenamed("key", "group").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+        "cluster", "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    members = placed.join(kept, ["cluster", "key"]).select(
+        F.col("key").alias("group"), "cid", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"))
     by_bucket = members.join(split.drop("blocks", "block"), "cid")
     search = by_cluster.select(*cols).union(by_bucket.select(*cols))
     return components(found.union(_ask(search, threshold)))
@@ -277,16 +294,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
     reps = materialize(reps.withColumnRenamed("row", "cid"), "sketch-reps")
 
     per_band = band_rows(threshold, m)
-
-    def bands(batches):
-        for batch in batches:
-            if batch.num_rows:
-                regs = np.stack([np.frombuffer(b.as_buffer(), np.uint16) for b in column(batch, "regs")])
-                cid = column(batch, "cid").to_numpy()
-                keys = band_keys(regs, per_band)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(cid, keys.shape[1]))], names=["key", "cid"])
-    banded = materialize(reps.select("cid", "regs").mapInArrow(bands, "key long, cid long"), "sketch-bands")
+    banded = materialize(_bands(reps, per_band), "sketch-bands")
     shared = banded.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a < z").select("key", "a")
     shared = materialize(shared, "sketch-buckets")
     star = banded.join(bounded(shared), "key").where("cid <> a").select("a", F.col("cid").alias("b"))
@@ -317,7 +325,7 @@ def _clustered(docs: DataFrame, doc_id: str, text: str, shingle_words: int, thre
     label = materialize(_verify(alone, threshold, False), "sketch-links").select(F.col("b").alias("node"), F.col("a").alias("label"))
     large = members.where("blocks > 1")
     if not large.isEmpty():
-        label = label.union(_large_clusters(large, banded, threshold))
+        label = label.union(_large_clusters(large, per_band, threshold))
     labelled = classes.join(label, classes["cid"] == label["node"], "left").withColumn("label", F.coalesce("label", "cid"))
     smallest = labelled.groupBy("label").agg(F.min("doc0").alias("component_id"))
     by_class = labelled.join(smallest, "label").select(*keys, "label", "component_id")

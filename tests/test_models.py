@@ -54,6 +54,36 @@ def test_forest_reproducible(feats):
     assert a == b
 
 
+def test_forest_of_repeated_rows_is_fitted_to_the_distinct_ones(spark, monkeypatch):
+    """Few distinct rows: fitted from their bootstrap counts, the same however the rows lie; others as before."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from pyspark.sql import functions as F
+
+    from zonecast.ml import models
+    monkeypatch.setattr(models, "DISTINCT_FROM", 1000)
+    monkeypatch.setattr(models, "FOREST_TREES", 6)
+    a, b = F.col("id") % 3, F.col("id") % 4
+    rows = spark.range(6000).select(a.alias("lag_1h"), b.alias("lag_24h"), (10 * a + b + F.col("id") % 5).alias("demand"))
+    with models._prepared(rows, models.DEFAULT_FEATURE_COLUMNS, "demand") as (_, n, _std):
+        assert n == 6000
+    fit_rows, plain = [], RandomForestRegressor._fit
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: fit_rows.append(df.count()) or plain(self, df))
+
+    def scores(df):
+        model = make_pipeline("random_forest").fit(df)
+        assert model.stages[-1].getNumTrees == 6
+        cells = rows.groupBy("lag_1h", "lag_24h").agg(F.avg("demand").alias("mean")).orderBy("lag_1h", "lag_24h")
+        return [(r.mean, r.prediction) for r in model.transform(cells).collect()]
+    got = scores(rows)
+    assert fit_rows == [] and got == scores(rows.repartition(5))
+    assert len(got) == 12 and all(abs(m - p) < 0.3 for m, p in got)         # 500 rows a cell, six samples
+    scores(rows.withColumn("demand", F.col("demand") + F.monotonically_increasing_id() / 1e6))
+    assert fit_rows == [6000]                                              # all rows differ
+    counts = models.bootstrap_counts(spark.createDataFrame([(1.0, 400), (2.0, 1)], "x double, _n long"), ["x"], 300, 7).orderBy("x").collect()
+    mean, var = zip(*[(np.mean(r._counts), np.var(r._counts)) for r in counts], strict=True)
+    assert mean == pytest.approx((400, 1), rel=0.15) and var == pytest.approx((400, 1), rel=0.4)
+
+
 def test_empty_training_set(spark, feats):
     from pyspark.sql import functions as F
     empty = feats.withColumn("lag_1h", F.lit(None).cast("double"))

@@ -37,8 +37,8 @@ def node_table(model: PipelineModel) -> DataFrame:
     Rows with ``feature <= threshold`` go to the left child.  A leaf has no
     feature and is its own child, so walking on from it stays there.
     ``value`` is the mean label of the node's (resampled) training rows,
-    ``weight`` their resampled number, ``n_rows`` the plain one.  The table
-    has at most ``trees * 2^(depth + 1)`` rows.
+    ``weight`` their resampled number, ``n_rows`` the plain one (of distinct
+    rows, if the forest was fitted to those).  The table has at most ``trees * 2^(depth + 1)`` rows.
     """
     features, forest = _parts(model)
     spark = SparkSession.getActiveSession()

@@ -9,7 +9,9 @@
   label scaled by its own std, so ``regParam = alpha·std_pop(y)/n`` gives
   the same coefficients.  ``n`` and ``std_pop(y)`` come from one aggregate.
 * ``forest``: ``RandomForestRegressor`` with 50 trees, depth 10, every
-  feature considered at each split, fixed seed.
+  feature considered at each split, fixed seed.  Where many training rows are
+  mostly repeats, its trees are fitted to the distinct rows, each weighted by
+  its number in the tree's bootstrap sample (see :func:`bootstrap_counts`).
 
 Feature vectors are assembled inside the pipeline, so a fitted model scores
 any frame that has the feature columns.
@@ -18,11 +20,14 @@ any frame that has the feature columns.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +44,7 @@ RIDGE_ALPHA = 1.0
 FOREST_TREES = 50
 FOREST_DEPTH = 10
 FOREST_MAX_BINS = 256
+FOREST_THREADS = 8           # trees of distinct rows that are fitted at a time
 
 
 def check_model_names(names) -> list[str]:
@@ -103,15 +109,67 @@ class ModelSpec:
         once per tree level, gets them spread out and cached first.
         """
         many_passes = self.name == "random_forest"
-        with _prepared(df, self.features, self.target, cache=many_passes) as (rows, n, y_std):
-            return self.fit_prepared(rows, n, y_std)
+        prepared = _prepared(df, self.features, self.target, cache=many_passes)
+        with prepared as (rows, n, y_std):
+            return self.fit_prepared(rows, n, y_std, prepared.distinct)
 
-    def fit_prepared(self, rows: DataFrame, n: int, y_std: float) -> PipelineModel:
-        """Fit on rows already cleaned by :func:`training_rows` and summarised."""
+    def fit_prepared(self, rows: DataFrame, n: int, y_std: float, distinct: DataFrame | None = None) -> PipelineModel:
+        """Fit on rows already cleaned by :func:`training_rows` and summarised; a forest on their ``distinct`` ones, if given."""
         checkpoint_dir(rows.sparkSession)
+        if distinct is not None and self.name == "random_forest":
+            return self._fit_distinct(distinct)
         pipe = Pipeline(stages=[_assembler(self.features), self._regressor(n, y_std)])
         return pipe.fit(rows)
 
+    def _fit_distinct(self, distinct: DataFrame) -> PipelineModel:
+        """The forest whose trees are fitted one by one, to the distinct rows weighted by the tree's bootstrap counts."""
+        assembler, forest = _assembler(self.features), self._regressor()
+        points = assembler.transform(bootstrap_counts(distinct, [*self.features, self.target], FOREST_TREES, self.random_state))
+        points = points.select("features", self.target, "_counts").persist(StorageLevel.MEMORY_AND_DISK)
+        one = DecisionTreeRegressor(maxDepth=FOREST_DEPTH, maxBins=FOREST_MAX_BINS, seed=self.random_state, weightCol="_weight",
+                                    featuresCol="features", labelCol=self.target, predictionCol=self.prediction_col)
+
+        def fit(tree):
+            weight = F.get("_counts", F.lit(tree)).cast("double")
+            return one.fit(points.withColumn("_weight", weight).where("_weight > 0"))
+        try:
+            with ThreadPool(FOREST_THREADS) as pool:
+                trees = pool.map(inheritable_thread_target(distinct.sparkSession)(fit), range(FOREST_TREES), chunksize=1)
+        finally:
+            points.unpersist()
+        # Spark ML's own forest model around the fitted trees
+        jvm, gateway = distinct.sparkSession._jvm, distinct.sparkSession.sparkContext._gateway
+        array = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+        for i, tree in enumerate(trees):
+            array[i] = tree._java_obj
+        model = jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(forest.uid, array, len(self.features))
+        model = forest._copyValues(forest._create_model(model))
+        model._transfer_params_to_java()
+        return PipelineModel([assembler, model])
+
+
+def bootstrap_counts(distinct: DataFrame, values, n_trees: int, seed: int) -> DataFrame:
+    """Distinct rows with ``_counts``: how often each tree's bootstrap sample holds them.
+
+    A bootstrap draws every training row a Poisson(1) number of times, so the
+    ``_n`` equal rows behind a distinct one come to a Poisson(``_n``) number.
+    The draws follow from the row's values and the seed alone, so they are the
+    same on any cluster.
+    """
+    schema = distinct.select(*values)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields)
+
+    def draw(batches):
+        for batch in batches:
+            keys, n = batch.column("_key").to_numpy().view(np.uint64), batch.column("_n").to_numpy()
+            counts = np.empty((len(n), n_trees), np.int64)
+            for i in range(len(n)):
+                counts[i] = np.random.Generator(np.random.Philox(key=[keys[i], seed % (1 << 64)])).poisson(n[i], n_trees)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * n_trees), pa.array(counts.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in values), lists], names=[*values, "_counts"])
+    keyed = distinct.select(*values, "_n", F.xxhash64(*[F.col(c).cast("double") for c in values]).alias("_key"))
+    return keyed.mapInArrow(draw, f"{schema}, _counts array<bigint>")
+
 
 # A multi-pass fit lays its rows out in partitions of about this many: a task a
 # pass and partition, so they should be worth a task, and there should be enough
@@ -122,6 +180,11 @@ class ModelSpec:
 # of their number, which a driver has to track in every pass.
 ROWS_PER_FIT_PARTITION = 50_000
 MAX_FIT_PARTITIONS = 10_000
+# From this many rows on, a forest is fitted to the distinct rows, if the rows
+# are at least DISTINCT_PAYS times as many.  Fewer rows are passed over quickly
+# and keep Spark's own row sample.
+DISTINCT_FROM = 2_000_000
+DISTINCT_PAYS = 20
 
 
 class _prepared:
@@ -130,7 +193,9 @@ class _prepared:
     One aggregate gives the row count (the empty-set check) and the label's
     population std (the ridge penalty scale).  With ``cache`` (multi-pass
     solvers) the rows are dealt by the hash of all their values, sorted within
-    partitions, and their features and label cached.
+    partitions, and their features and label cached, unless their features and
+    label are mostly repeats: then ``distinct`` holds each combination once,
+    with its number of rows ``_n``, and the rows are left where they are.
     """
 
     def __init__(self, df: DataFrame, features, target, *, cache: bool = True):
@@ -138,10 +203,12 @@ class _prepared:
         self.rows = training_rows(df, features, target)
         self.cache = cache
         self.cached = None
+        self.distinct = None
 
     def __enter__(self):
-        stats = self.rows.agg(F.count(F.lit(1)).alias("n"),
-                              F.stddev_pop(self.target).alias("s")).first()
+        read = list(dict.fromkeys([*self.features, self.target]))
+        different = F.approx_count_distinct(F.xxhash64(*read)) if self.cache else F.lit(None)
+        stats = self.rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(self.target).alias("s"), different.alias("d")).first()
         n = stats["n"]
         if not n:
             raise ValueError("training set is empty after dropping rows with missing "
@@ -149,10 +216,17 @@ class _prepared:
         rows = self.rows
         if not self.cache:
             return rows, n, stats["s"]
+        if n >= DISTINCT_FROM and n >= DISTINCT_PAYS * stats["d"]:
+            counted = rows.groupBy(*read).agg(F.count(F.lit(1)).alias("_n"))
+            parts = max(1, -(-stats["d"] // ROWS_PER_FIT_PARTITION))
+            # dealt and ordered by their values: the same rows are fitted in the same order on any cluster
+            dealt = counted.repartition(parts, *read).sortWithinPartitions(*read)
+            self.cached = self.distinct = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+            return rows, n, stats["s"]
         parts = max(1, min(MAX_FIT_PARTITIONS, -(-n // ROWS_PER_FIT_PARTITION)))
         plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
         # dealt and ordered by all values (equal feature vectors are many), kept with those that the fit reads
-        rows = rows.repartition(parts, *plain).sortWithinPartitions(*plain).select(*dict.fromkeys([*self.features, self.target]))
+        rows = rows.repartition(parts, *plain).sortWithinPartitions(*plain).select(*read)
         self.cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         return self.cached, n, stats["s"]
 
@@ -177,8 +251,9 @@ def train_models(df: DataFrame, model_names=None, *, scaler: bool = True,
     names = check_model_names(SUPPORTED_MODELS if model_names is None else model_names)
     specs = {n: make_pipeline(n, scaler=scaler, random_state=random_state,
                               features=features, target=target) for n in names}
-    with _prepared(df, features, target) as (rows, n, y_std):
-        return {name: spec.fit_prepared(rows, n, y_std) for name, spec in specs.items()}
+    prepared = _prepared(df, features, target)
+    with prepared as (rows, n, y_std):
+        return {name: spec.fit_prepared(rows, n, y_std, prepared.distinct) for name, spec in specs.items()}
 
 
 def linear_coefficients(model: PipelineModel, features) -> dict[str, float]:
